@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 
 def parse_value(text: Column, type_name: str, lenient: bool = False) -> Column:
     """``"$1,250.00"`` -> 1250.0; blank -> null. Other text fails the job, or gives null if lenient."""
-    cleaned = F.nullif(F.regexp_replace(F.trim(text), "[$,]", ""), F.lit(""))
+    cleaned = F.nullif(F.translate(F.trim(text), "$,", ""), F.lit(""))
     return cleaned.try_cast(type_name) if lenient else cleaned.cast(type_name)
 
 

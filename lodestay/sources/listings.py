@@ -25,14 +25,14 @@ def city_path(city: str, data_dir: str) -> str:
     return f"{data_dir.rstrip('/')}/{city.lower()}{FILE_SUFFIX}"
 
 
-def _file_system(spark: SparkSession, path: str):
+def file_system_of(spark: SparkSession, path: str):
     jvm = spark._jvm
     where = jvm.org.apache.hadoop.fs.Path(path)
     return where.getFileSystem(spark._jsc.hadoopConfiguration()), where
 
 
 def path_exists(spark: SparkSession, path: str) -> bool:
-    file_system, where = _file_system(spark, path)
+    file_system, where = file_system_of(spark, path)
     return bool(file_system.exists(where))
 
 
@@ -66,7 +66,8 @@ def read_listings(spark: SparkSession, paths: str | list[str], columns: Iterable
             .option("enforceSchema", False).csv(paths))
     columns = list(columns)
     require_columns(text, columns, "read_listings")
-    source = F.lower(F.regexp_extract(F.col("_metadata.file_name"), f"^(.*){FILE_SUFFIX}$", 1))
+    # the city's "file" may also be a folder of part files
+    source = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), f"([^/]*){FILE_SUFFIX}(/[^/]*)?$", 1)
     typed = [F.col(c).cast(_TYPED[c]).alias(c) if c in _TYPED else F.col(c) for c in columns]
     return text.select(*typed, source.alias("file_city"))
 

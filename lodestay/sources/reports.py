@@ -7,7 +7,7 @@ import posixpath
 from pyspark.sql import DataFrame
 
 from ..errors import RuleError
-from .listings import _file_system
+from .listings import file_system_of
 
 FORMATS = ("parquet", "json", "orc")
 
@@ -17,7 +17,7 @@ def save_report(report: DataFrame, path: str, file_format: str = "parquet") -> s
     if file_format not in FORMATS:
         raise RuleError(f"unknown report format {file_format}")
     spark = report.sparkSession
-    file_system, where = _file_system(spark, path)
+    file_system, where = file_system_of(spark, path)
     full = file_system.makeQualified(where)
     if not file_system.exists(full.getParent()):
         raise RuleError(f"folder {posixpath.dirname(path)} does not exist")

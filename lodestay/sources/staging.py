@@ -34,6 +34,9 @@ def staging_root(spark: SparkSession) -> str:
 
 
 def staging_path(spark: SparkSession, label: str) -> str:
+    """A new path for a table; its parent folder exists."""
+    parent = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/lodestay")
+    parent.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(parent)
     return f"{staging_root(spark)}/lodestay/{label}-{uuid.uuid4().hex}"
 
 

@@ -1,0 +1,6 @@
+"""Registered queries over the star schema; importing this package registers all of them."""
+
+from . import cleaning  # noqa: F401
+from .registry import CHECKS, QUERIES
+
+__all__ = ["CHECKS", "QUERIES"]

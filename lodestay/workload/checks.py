@@ -154,8 +154,9 @@ def check(needs: str | tuple[str, ...], select: str, *extra: str) -> str:
 
     for name in (needs,) if isinstance(needs, str) else needs:
         add(name)
-    parts = [PARTS[n] for n in ordered] + list(extra)
-    return f"WITH {', '.join(parts)} {select}"
+    parts = [PARTS[n].strip() for n in ordered] + [e.strip() for e in extra]
+    # a select that starts with a comma brings expressions of its own
+    return f"WITH {', '.join(parts)}{'' if select.lstrip().startswith(',') else ' '}{select}"
 
 
 AMENITY_LIST = ", ".join(AMENITIES)

@@ -89,11 +89,24 @@ PARTS = {
       SELECT * EXCLUDE (rn, n), rn > n - CAST(round_even(0.2 * n, 0) AS BIGINT) AS is_test FROM (
         SELECT *, row_number() OVER (PARTITION BY city ORDER BY md5(concat(CAST(id AS VARCHAR), ':42')), id) AS rn,
           count(*) OVER (PARTITION BY city) AS n FROM deduped))""",
+    # the split, the size model and the price ranges at the end of the whole run
+    "final_split": """final_split AS (
+      SELECT * EXCLUDE (rn, n), rn > n - CAST(round_even(0.2 * n, 0) AS BIGINT) AS is_test FROM (
+        SELECT *, row_number() OVER (PARTITION BY city ORDER BY md5(concat(CAST(id AS VARCHAR), ':42')), id) AS rn,
+          count(*) OVER (PARTITION BY city) AS n FROM prepared)),
+      train AS (SELECT * FROM final_split WHERE NOT is_test), test AS (SELECT * FROM final_split WHERE is_test)""",
+    "inferred": """inferred AS (SELECT c.* REPLACE (CASE WHEN kept.district IS NULL THEN '_other' ELSE c.district END AS
+        district), pow(review_scores_rating - c_rating, 2) AS rating_sq FROM (
+      SELECT a.* REPLACE (least(accommodates, CAST(cap_accommodates AS INTEGER)) AS accommodates,
+        least(bedrooms, cap_bedrooms) AS bedrooms, least(beds, cap_beds) AS beds, least(bathrooms, cap_bathrooms) AS bathrooms)
+      FROM apartments a JOIN caps USING (city, room_type)) c
+      JOIN centers USING (city) LEFT JOIN kept ON c.city = kept.city AND c.district = kept.district)""",
 }
 _NEEDS = {
     "typed": ("listings", "cities"), "deduped": ("typed",), "booked": ("deduped",), "filled": ("booked",),
     "clean": ("filled",), "caps": ("clean",), "capped": ("caps",), "kept": ("capped",), "centers": ("capped",),
-    "prepared": ("kept", "centers"), "split": ("deduped",),
+    "prepared": ("kept", "centers"), "split": ("deduped",), "final_split": ("prepared",),
+    "inferred": ("apartments", "caps", "kept", "centers"),
 }
 
 

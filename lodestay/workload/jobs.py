@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import replace
 from functools import partial
 
 from pyspark.sql import functions as F
@@ -14,7 +15,7 @@ from ..plans.training import inference_run, training_run
 from ..rules import AMENITIES
 from ..sources.staging import stage, staging_path
 from ..streaming.scorer import stream_score
-from .checks import check, km
+from .checks import Z_90, check, km, one_number_model, t_value
 from .fixture import BY, ORDER, RULES, apartments, listings
 from .registry import query, rounded
 
@@ -62,9 +63,64 @@ def prediction_inputs(spark, sf_dir):
         F.sum("is_superhost").alias("superhosts"), F.count_distinct("district").alias("districts"))
 
 
-def analysed(spark, sf_dir):
+def analysed(spark, sf_dir, rules=RULES):
     df, fitted = train(listings(spark, sf_dir))
-    return analysis_run(df, RULES, by=BY), fitted
+    return analysis_run(df, rules, by=BY), fitted
+
+
+# the same runs with models that have a closed form in SQL
+SMALL = replace(RULES, models=tuple(replace(m, predictors=("room_type", "accommodates"), log1p_predictors=())
+                                    for m in RULES.models))
+_SMALL_SQL = one_number_model("accommodates", "train", "s")
+_SMALL_RANGE = f"""ranged AS (SELECT r.*, exp(linear) AS median, exp(linear) * smearing AS mean, exp(linear - half) AS lower,
+    exp(linear + half) AS upper FROM (SELECT a.*, smearing, g.a + slope * accommodates AS linear,
+      {t_value(Z_90, 'dof')} * sqrt(sigma2 * (1 + 1.0 / g.n + pow(accommodates - mx, 2) / sxx)) AS half
+    FROM inferred a JOIN s_group g USING (city, room_type) JOIN s_fit USING (city)) r)"""
+_SMALL_REFERENCE = """
+  fine AS (SELECT city, district, room_type, count(*) AS n, quantile_cont(occupancy_rate, 0.5) AS q50,
+    quantile_cont(occupancy_rate, 0.75) AS q75 FROM train GROUP BY city, district, room_type),
+  coarse AS (SELECT city, room_type, quantile_cont(occupancy_rate, 0.5) AS q50, quantile_cont(occupancy_rate, 0.75) AS q75
+    FROM train GROUP BY city, room_type),
+  referenced AS (SELECT a.*, CASE WHEN fine.n >= 20 THEN fine.q50 ELSE coarse.q50 END AS reference,
+    CASE WHEN fine.n >= 20 THEN fine.q75 ELSE coarse.q75 END AS high_reference, a.estimated_occupancy_l365d / 365.0 AS own
+    FROM ranged a JOIN coarse USING (city, room_type) LEFT JOIN fine ON a.city = fine.city
+      AND a.district = fine.district AND a.room_type = fine.room_type)"""
+
+
+@query("analysis_run_small", check("final_split", """SELECT city, count(*) AS n,
+    round(1 - sum(pow(y - linear, 2)) / (var_pop(y) * count(*)), 6) AS r2_model_scale,
+    round(1 - sum(pow(price - predicted, 2)) / (var_pop(price) * count(*)), 6) AS r2,
+    round(median(abs(price - predicted)), 6) AS median_ae, round(avg(abs(price - predicted)), 6) AS mae
+    FROM scored GROUP BY city""", _SMALL_SQL, """scored AS (SELECT test.city, price, ln(price) AS y,
+      a + slope * accommodates AS linear, exp(a + slope * accommodates) * smearing AS predicted
+      FROM test JOIN s_group USING (city, room_type) JOIN s_fit USING (city))"""))
+def analysis_run_small(spark, sf_dir):
+    scores = analysed(spark, sf_dir, SMALL)[0].scores.filter("model = 'price'")
+    return scores.select("city", "n", *[rounded(c) for c in ("r2_model_scale", "r2", "median_ae", "mae")])
+
+
+@query("prediction_run_small", check(("final_split", "inferred"), f"""SELECT city, id, "group" AS listing_group, district,
+    room_type, round(median, 6) AS median, round(mean, 6) AS mean, round(lower, 6) AS lower, round(upper, 6) AS upper,
+    round(nights, 6) AS nights, round(mean * nights, 2) AS revenue, CASE WHEN "group" = 'listed' THEN
+      CASE WHEN price < lower THEN CASE WHEN own >= high_reference THEN 'underpriced' ELSE 'not_price_problem' END
+      WHEN price > upper THEN CASE WHEN own >= high_reference THEN 'unexplained_premium' ELSE 'overpriced' END
+      ELSE 'in_line' END END AS status, round(near_km, 6) AS near_km
+    FROM (SELECT *, CASE WHEN "group" = 'listed' THEN estimated_occupancy_l365d ELSE reference * 365 END AS nights
+      FROM referenced) JOIN near USING (id)""", _SMALL_SQL, _SMALL_RANGE, _SMALL_REFERENCE, f"""
+    near AS (SELECT id, sum(distance_km) AS near_km FROM (SELECT id, distance_km, row_number() OVER (PARTITION BY id
+      ORDER BY distance_km) AS rn FROM (SELECT a.id,
+        {km('l.latitude', 'l.longitude', 'a.latitude', 'a.longitude')} AS distance_km,
+        coalesce(l.bedrooms = a.bedrooms, FALSE) AS same,
+        count(CASE WHEN l.bedrooms = a.bedrooms THEN 1 END) OVER (PARTITION BY a.id) AS n_same
+        FROM inferred a JOIN train l ON a.city = l.city AND a.room_type = l.room_type)
+      WHERE same OR n_same < 5) WHERE rn <= 5 GROUP BY id)"""))
+def prediction_run_small(spark, sf_dir):
+    analysis, fitted = analysed(spark, sf_dir, SMALL)
+    df = prediction_run(inference_run(apartments(spark, sf_dir), fitted, SMALL), analysis, SMALL)
+    near = F.aggregate("comparables", F.lit(0.0), lambda acc, c: acc + c["distance_km"])
+    return df.select("city", "id", F.col("group").alias("listing_group"), "district", "room_type",
+                     *[rounded(f"price_range.{c}", c) for c in ("median", "mean", "lower", "upper")], rounded("nights"),
+                     rounded("revenue.estimate", "revenue", 2), "assessment.status", rounded(near, "near_km"))
 
 
 @query("analysis_run")
@@ -114,19 +170,23 @@ def market_job_query(spark, sf_dir):
     return market_job(listings(spark, sf_dir), RULES, by=BY, order_by=ORDER, keep=("copy_order",))
 
 
-@query("stream_score")
+@query("stream_score", check(("final_split", "inferred"), """SELECT city, id,
+    CASE WHEN ok THEN round(median, 6) END AS median, CASE WHEN ok THEN round(mean, 6) END AS mean,
+    CASE WHEN ok THEN round(lower, 6) END AS lower, CASE WHEN ok THEN round(upper, 6) END AS upper,
+    CASE WHEN NOT ok THEN 'missing accommodates' END AS reject_reason
+    FROM (SELECT *, review_scores_rating > 3 AS ok FROM ranged)""", _SMALL_SQL, _SMALL_RANGE))
 def stream_score_query(spark, sf_dir):
-    analysis, fitted = analysed(spark, sf_dir)
-    # a feed has gaps: rows with the lowest rating lack it and are rejected
+    analysis, fitted = analysed(spark, sf_dir, SMALL)
+    # a feed has gaps: the worst-rated apartments do not say how many guests they take and are rejected
     feed = apartments(spark, sf_dir).withColumn(
-        "review_scores_rating", F.when(F.col("review_scores_rating") > 3, F.col("review_scores_rating")))
+        "accommodates", F.when(F.col("review_scores_rating") > 3, F.col("accommodates")))
     path = staging_path(spark, "feed")
     feed.write.parquet(path)
     source = spark.readStream.schema(feed.schema).parquet(path)
     output = staging_path(spark, "stream")
-    run = stream_score(source, fitted, analysis, output=output, checkpoint=staging_path(spark, "progress"), rules=RULES)
+    run = stream_score(source, fitted, analysis, output=output, checkpoint=staging_path(spark, "progress"), rules=SMALL)
     run.awaitTermination()
     scored = spark.read.parquet(f"{output}/scored").withColumn("reject_reason", F.lit(None).cast("string"))
     rejected = spark.read.parquet(f"{output}/rejected")
-    shown = ["city", "id", "median", "mean", "lower", "upper", "reject_reason"]
+    shown = ["city", "id", *[rounded(c) for c in ("median", "mean", "lower", "upper")], "reject_reason"]
     return scored.select(*shown).unionByName(rejected.select(*shown))

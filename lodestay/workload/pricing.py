@@ -65,15 +65,15 @@ def assess_listing_query(spark, sf_dir):
 
 
 @query("revenue_estimate", check(("split", "apartments"), """SELECT id, round(nights, 6) AS nights,
-    round(mean * nights, 4) AS revenue, round(CASE WHEN "group" = 'listed' THEN lower * nights END, 4) AS revenue_lower,
-    round(CASE WHEN "group" = 'listed' THEN upper * nights END, 4) AS revenue_upper,
-    round(CASE WHEN "group" = 'listed' THEN price * nights END, 4) AS own_revenue
+    round(mean * nights, 2) AS revenue, round(CASE WHEN "group" = 'listed' THEN lower * nights END, 2) AS revenue_lower,
+    round(CASE WHEN "group" = 'listed' THEN upper * nights END, 2) AS revenue_upper,
+    round(CASE WHEN "group" = 'listed' THEN price * nights END, 2) AS own_revenue
     FROM (SELECT *, CASE WHEN "group" = 'listed' THEN estimated_occupancy_l365d ELSE reference * 365 END AS nights
     FROM ranged)""", *_PRICED))
 def revenue_estimate_query(spark, sf_dir):
     revenue = revenue_estimate(_ranged(spark, sf_dir))
     return revenue.select("id", rounded("nights"), *[
-        rounded(c, digits=4) for c in ("revenue", "revenue_lower", "revenue_upper", "own_revenue")])
+        rounded(c, digits=2) for c in ("revenue", "revenue_lower", "revenue_upper", "own_revenue")])
 
 
 @query("comparable_listings", check(("deduped", "apartments"), f"""SELECT id, rank, listing, district,

@@ -10,12 +10,13 @@ from .plans.findings import market_findings, market_job
 from .plans.scoring import prediction_run, price_apartments, pricing_report
 from .plans.training import Fitted, clean_listings, inference_run, training_run
 from .rules import Rules
+from .session import tune
 from .streaming.scorer import score_rows, stream_score
 
 __all__ = [
     "Analysis", "DataError", "Fitted", "RuleError", "Rules", "analysis_run", "clean_listings", "inference_run",
     "market_findings", "market_job", "prediction_run", "price_apartments", "pricing_report", "score_rows",
-    "stream_score", "training_run",
+    "stream_score", "training_run", "tune",
 ]
 
 # the few Python tasks (cross products, normal equations) carry their code with them, so executors need no install

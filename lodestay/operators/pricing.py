@@ -64,10 +64,6 @@ def assess_listing(df: DataFrame, *, current: str = "price", lower: str = "lower
     return df.withColumns({"status": status, "difference": difference})
 
 
-def require_groups(df: DataFrame, group: str, strict: bool = True) -> None:
-    require_rows(df, {f"{group} must be listed or new": ~F.coalesce(F.col(group).isin(*GROUPS), F.lit(False))}, strict)
-
-
 def revenue_estimate(df: DataFrame, *, group: str = "group", reference: str = "reference",
                      booked: str = "estimated_occupancy_l365d", price: str = "price") -> DataFrame:
     """Add ``nights, revenue, revenue_lower, revenue_upper, own_revenue``.

@@ -11,7 +11,7 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
@@ -61,17 +61,21 @@ def group_quantiles(
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), expr.alias("value")) for c, expr in sources.values()])
     long = df.select(*by, F.inline(pairs))
-    counts = stage(long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
-
-    shape = (counts.groupBy(*by, "column")
-             .agg(F.count("value").alias("distinct"), F.max(F.col("value").isNull()).alias("has_null"))
-             .agg(F.max("distinct").alias("widest"), F.max("has_null").alias("has_null")).first())
-    if null_message and shape["has_null"]:
+    seen = Observation()
+    counts = stage(
+        long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
+        .observe(seen, F.count(F.lit(1)).alias("values"), F.count_if(F.col("value").isNull()).alias("nulls")),
+        "value-counts")
+    if null_message and seen.get["nulls"]:
         raise DataError(null_message)
+    widest = seen.get["values"]
+    if widest > map_limit:
+        per_group = counts.groupBy(*by, "column").agg(F.count("value").alias("distinct"))
+        widest = per_group.agg(F.max("distinct")).first()[0] or 0
 
     size_aggs = [F.coalesce(F.sum(F.when((F.col("column") == c) & F.col("value").isNotNull(), F.col("n"))),
                             F.lit(0)).alias(name) for name, c in sized.items()]
-    if (shape["widest"] or 0) <= map_limit:
+    if widest <= map_limit:
         aggs = []
         for name, (c, q) in wanted.items():
             value = F.when(F.col("column") == c, F.col("value"))

@@ -1,6 +1,6 @@
 """Exact k nearest points per query row, without pairing a query with a whole group.
 
-Points are summarised in nested cells (each level splits a cell 8 x 8), with a row count and a bounding box
+Points are summarised in nested cells (each level splits a cell 4 x 4), with a row count and a bounding box
 per cell. Each query walks down from the coarse cells: a cell is dropped when even its nearest corner is
 farther than a distance within which k points are already certain. Only the points of the last few
 cells are compared one by one. A crowded spot is split by the finer levels, and copies at one coordinate
@@ -19,9 +19,9 @@ from ..errors import RuleError, require_columns
 from ..functions.geo import box_distance_km, haversine_km
 from ..sources.staging import stage
 
-MAX_LEVEL = 5
-SPLIT_BITS = 3
-LEAF_POINTS = 64
+MAX_LEVEL = 8
+SPLIT_BITS = 2
+LEAF_POINTS = 16
 SLACK_KM = 2e-6
 
 
@@ -93,7 +93,9 @@ def nearest_k(
                          "n", "lat_lo", "lat_hi", "lon_lo", "lon_hi")
 
     in_scope = [(c, f"__s_{c}") for c in scope]
-    start = queries.select(*query_key, *scope, F.col(latitude).cast("double").alias("__qlat"),
+    # few queries grow into many candidate cells: keep them spread instead of letting them be coalesced
+    spread = int(queries.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    start = queries.repartition(spread, *query_key).select(*query_key, *scope, F.col(latitude).cast("double").alias("__qlat"),
                            F.col(longitude).cast("double").alias("__qlon"))
     low, high = box_distance_km(F.col("__qlat"), F.col("__qlon"), F.col("lat_lo"), F.col("lat_hi"), F.col("lon_lo"),
                                 F.col("lon_hi"))

@@ -8,12 +8,10 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ..errors import require_columns
-from ..operators.columns import label_terms
+from ..errors import require_columns, require_rows
 from ..operators.effects import amenity_tips, rating_effects, superhost_tip
 from ..operators.lookup import lookup_join
-from ..operators.pricing import (assess_listing, comparable_listings, occupancy_reference, require_groups,
-                                 revenue_estimate)
+from ..operators.pricing import GROUPS, assess_listing, comparable_listings, occupancy_reference, revenue_estimate
 from ..operators.regression import price_range
 from ..rules import DAYS_PER_YEAR, STATUS_MESSAGES, TERM_LABELS, AMENITY_LABELS, Rules
 from .analysis import Analysis
@@ -28,11 +26,15 @@ def price_apartments(prepared: DataFrame, analysis: Analysis, rules: Rules = Rul
     """Range, nights, revenue, assessment and tips of every prepared apartment, without shuffling them."""
     by = list(analysis.by)
     require_columns(prepared, [group, *by], "price_apartments")
-    require_groups(prepared, group, strict)
     fits = analysis.fits
-    out = price_range(prepared, fits, "price", level=rules.interval_level, strict=strict)
+    out = price_range(prepared, fits, "price", level=rules.interval_level, strict=False)
     out = occupancy_reference(out, analysis.train, rules.occupancy,
-                              {"reference": 0.5, "high_reference": rules.occupancy.high_quantile}, by, strict=strict)
+                              {"reference": 0.5, "high_reference": rules.occupancy.high_quantile}, by, strict=False)
+    # one check job for all steps
+    require_rows(out, {
+        "an apartment has a missing predictor or a category level the model does not know": F.col("median").isNull(),
+        f"no listings with this {rules.occupancy.fallback}": F.col("reference").isNull(),
+        f"{group} must be listed or new": ~F.coalesce(F.col(group).isin(*GROUPS), F.lit(False))}, strict)
     out = revenue_estimate(out, group=group)
     listed = F.col(group) == "listed"
     out = out.withColumns({"occupancy": F.col("nights") / F.lit(float(DAYS_PER_YEAR)),
@@ -75,8 +77,6 @@ def prediction_run(prepared: DataFrame, analysis: Analysis, rules: Rules = Rules
 
 def pricing_report(bundle: DataFrame, rules: Rules = Rules(), strict: bool = True) -> DataFrame:
     """Readable rows of the result: labelled district, status message, the first tips, similar listings."""
-    from ..errors import require_rows
-
     status = F.col("assessment.status")
     known = F.col("assessment.status").isNull() | status.isin(list(STATUS_MESSAGES))
     require_rows(bundle, {"no message for a status": ~known}, strict)
@@ -102,6 +102,3 @@ def pricing_report(bundle: DataFrame, rules: Rules = Rules(), strict: bool = Tru
         where.alias("position"), messages[status].alias("message"),
         F.transform(F.slice("tips", 1, rules.tips_shown), tip).alias("tips"),
         F.transform("rating_tips", rating).alias("rating_tips"))
-
-
-__all__ = ["apartment_key", "label_terms", "price_apartments", "prediction_run", "pricing_report"]

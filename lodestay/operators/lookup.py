@@ -7,12 +7,14 @@ group holding a third of all rows is spread over many tasks.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import require_columns
 from ..sources.staging import stage
@@ -36,6 +38,21 @@ def pin(df: DataFrame, label: str = "lookup", max_rows: int = MAX_ROWS, max_byte
     return Lookup(stage(df, label), False)
 
 
+def constant(value, kind: T.DataType) -> str:
+    """A value of a one-row lookup as SQL text, structs and arrays included."""
+    if value is None:
+        return f"CAST(NULL AS {kind.simpleString()})"
+    if isinstance(kind, T.StructType):
+        return "named_struct(" + ", ".join(f"'{f.name}', {constant(v, f.dataType)}" for f, v in zip(kind, value)) + ")"
+    if isinstance(kind, T.ArrayType):
+        return f"CAST(array({', '.join(constant(v, kind.elementType) for v in value)}) AS {kind.simpleString()})"
+    if isinstance(kind, T.StringType):
+        return "'" + value.replace("\\", "\\\\").replace("'", "\\'") + "'"
+    if isinstance(kind, T.DoubleType):
+        return f"{value!r}D" if math.isfinite(value) else f"CAST('{value}' AS DOUBLE)"
+    return f"CAST({value} AS {kind.simpleString()})"
+
+
 def lookup_join(df: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str], how: str = "left",
                 null_safe: bool = False) -> DataFrame:
     """Add the lookup's columns to ``df``. ``on`` empty: the lookup is one row of constants."""
@@ -45,7 +62,7 @@ def lookup_join(df: DataFrame, lookup: Lookup | DataFrame, on: Sequence[str], ho
     if not on:
         row = lookup.frame.first()
         types = lookup.frame.schema
-        return df.withColumns({c: F.lit(None if row is None else row[c]).cast(types[c].dataType) for c in values})
+        return df.withColumns({c: F.expr(constant(None if row is None else row[c], types[c].dataType)) for c in values})
     require_columns(df, on, "lookup_join")
     keyed = lookup.frame.select(*[F.col(c).alias(f"__k_{c}") for c in on], *values)
     if lookup.small:

@@ -11,10 +11,11 @@ from .plans.scoring import prediction_run, price_apartments, pricing_report
 from .plans.training import Fitted, clean_listings, inference_run, training_run
 from .rules import Rules
 from .session import tune
+from .sources.staging import drop_staged
 from .streaming.scorer import score_rows, stream_score
 
 __all__ = [
-    "Analysis", "DataError", "Fitted", "RuleError", "Rules", "analysis_run", "clean_listings", "inference_run",
+    "Analysis", "DataError", "Fitted", "RuleError", "Rules", "analysis_run", "clean_listings", "drop_staged", "inference_run",
     "market_findings", "market_job", "prediction_run", "price_apartments", "pricing_report", "score_rows",
     "stream_score", "training_run", "tune",
 ]

@@ -1,9 +1,10 @@
 """Exact grouped quantiles (linear interpolation) that never gather a group in one task.
 
-The data is reduced once to ``(group, column, value) -> count``; copies collapse on the map side, and a
-hot group is spread over its values. That table is staged. If every group has few distinct values (checked),
-the frequency form of ``percentile`` finishes the job. Otherwise the wanted ranks are bracketed by
-histograms of a fixed number of cells, level by level, until a bracket holds a handful of values.
+One pass takes size, range and an estimate of the distinct values per group. Few distinct values: rows are
+reduced to ``(group, column, value) -> count``, where copies collapse on the map side and a hot group is spread
+over its values, and the frequency form of ``percentile`` finishes. Many: nothing is shuffled by value;
+the wanted ranks are bracketed by histograms of a fixed number of cells, level by level, until a bracket
+holds a handful of values. All passes read a staged narrow copy of the columns.
 """
 
 from __future__ import annotations
@@ -11,12 +12,12 @@ from __future__ import annotations
 from collections.abc import Mapping, Sequence
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Observation, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..errors import DataError
 from ..sources.staging import stage
-from .lookup import pin
+from .lookup import lookup_join, pin
 
 MAP_LIMIT = 200_000
 CELLS = 4096
@@ -52,60 +53,53 @@ def group_quantiles(
 
     wanted = {name: (register(source), float(q)) for name, (source, q) in outputs.items()}
     sized = {name: register(source) for name, source in sizes.items()}
+    names = [c for c, _ in sources.values()]
+    named = df.select(*by, *[expr.alias(c) for c, expr in sources.values()])
 
     if approximate:
-        named = df.select(*by, *[expr.alias(c) for c, expr in sources.values()])
         aggs = [F.percentile_approx(c, q, 10_000).alias(name) for name, (c, q) in wanted.items()]
         aggs += [F.count(c).alias(name) for name, c in sized.items()]
         return named.groupBy(*by).agg(*aggs)
 
-    pairs = F.array(*[F.struct(F.lit(c).alias("column"), expr.alias("value")) for c, expr in sources.values()])
-    long = df.select(*by, F.inline(pairs))
-    seen = Observation()
-    counts = stage(
-        long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        .observe(seen, F.count(F.lit(1)).alias("values"), F.count_if(F.col("value").isNull()).alias("nulls")),
-        "value-counts")
-    if null_message and seen.get["nulls"]:
+    # a narrow copy: the table's own lineage, which may hold joins and shuffles, runs once
+    named = stage(named, "quantile-columns")
+    shape = pin(named.groupBy(*by).agg(
+        *[F.expr(f"struct(count({c}) AS n, count_if({c} IS NULL) AS gaps, min({c}) AS lo, max({c}) AS hi, "
+                 f"approx_count_distinct({c}) AS distinct) AS {c}") for c in names]), "quantile-shape").frame
+    checked = shape.agg(F.max(F.greatest(F.lit(0), *[F.col(f"{c}.distinct") for c in names])).alias("widest"),
+                        *[F.sum(f"{c}.gaps").alias(f"gaps_{c}") for c in names]).first()
+    if null_message and any(checked[f"gaps_{c}"] for c in names):
         raise DataError(null_message)
-    widest = seen.get["values"]
-    if widest > map_limit:
-        per_group = counts.groupBy(*by, "column").agg(F.count("value").alias("distinct"))
-        widest = per_group.agg(F.max("distinct")).first()[0] or 0
 
-    size_aggs = [F.coalesce(F.sum(F.when((F.col("column") == c) & F.col("value").isNotNull(), F.col("n"))),
-                            F.lit(0)).alias(name) for name, c in sized.items()]
-    if widest <= map_limit:
+    pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])
+    long = named.select(*by, F.inline(pairs))
+    if (checked["widest"] or 0) <= map_limit:
+        counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
         aggs = []
         for name, (c, q) in wanted.items():
             value = F.when(F.col("column") == c, F.col("value"))
             aggs.append(F.percentile(value, F.lit(q), F.col("n")).alias(name))
-        return counts.groupBy(*by).agg(*aggs, *size_aggs)
-
-    result = _by_refinement(counts, wanted, by)
-    if not size_aggs:
-        return result
-    totals = counts.groupBy(*by).agg(*size_aggs)
-    renamed = result.select(*[F.col(c).alias(f"__k_{c}") for c in by], *wanted)
-    if not by:
-        return totals.withColumns({c: F.lit(v) for c, v in result.first().asDict().items()})
-    condition = reduce(lambda a, b: a & b, [totals[c].eqNullSafe(renamed[f"__k_{c}"]) for c in by])
-    return totals.join(renamed, condition, "left").select(*by, *wanted, *sizes)
-
-
-def _by_refinement(counts: DataFrame, wanted: Mapping[str, tuple[str, float]], by: list[str]) -> DataFrame:
-    known = counts.filter(F.col("value").isNotNull())
-    per_group = known.groupBy(*by, "column").agg(
-        F.sum("n").alias("total"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-    asked = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(c).alias("source"), F.lit(q).alias("q"))
-                      for name, (c, q) in wanted.items()])
-    positions = pin(
-        per_group.select("*", F.inline(asked)).filter(F.col("source") == F.col("column"))
-        .withColumn("position", F.col("q") * (F.col("total") - 1)), "quantile-positions").frame
+        aggs += [F.coalesce(F.sum(F.when((F.col("column") == c) & F.col("value").isNotNull(), F.col("n"))),
+                            F.lit(0)).alias(name) for name, c in sized.items()]
+        return counts.groupBy(*by).agg(*aggs)
+
+    values = long.filter(F.col("value").isNotNull()).withColumn("n", F.lit(1).cast("long"))
+    found = _by_refinement(values, shape, wanted, by)
+    base = shape.select(*by, *[F.col(f"{c}.n").alias(name) for name, c in sized.items()])
+    return lookup_join(base, pin(found, "quantiles"), by, null_safe=True).select(*by, *wanted, *sizes)
+
+
+def _by_refinement(values: DataFrame, shape: DataFrame, wanted: Mapping[str, tuple[str, float]],
+                   by: list[str]) -> DataFrame:
+    asked = F.array(*[
+        F.struct(F.lit(name).alias("name"), F.lit(c).alias("column"), F.col(f"{c}.lo").alias("lo"),
+                 F.col(f"{c}.hi").alias("hi"), (F.lit(q) * (F.col(f"{c}.n") - 1)).alias("position"),
+                 F.col(f"{c}.n").alias("total")) for name, (c, q) in wanted.items()])
+    positions = pin(shape.select(*by, F.inline(asked)).filter("total > 0"), "quantile-positions").frame
     both_ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
     targets = (positions.select(*by, "column", "lo", "hi", F.explode(both_ranks).alias("rank"))
                .distinct().withColumn("before", F.lit(0).cast("long")))
-    found = select_ranks(known, targets, [*by, "column"])
+    found = select_ranks(values, targets, [*by, "column"])
 
     below = F.when(F.col("rank") == F.floor("position"), F.col("value"))
     above = F.when(F.col("rank") == F.ceil("position"), F.col("value"))

@@ -18,6 +18,7 @@ from pyspark.sql import functions as F
 from ..errors import RuleError, require_columns
 from ..functions.geo import box_distance_km, haversine_km
 from ..sources.staging import stage
+from .lookup import pin
 
 MAX_LEVEL = 8
 SPLIT_BITS = 2
@@ -103,11 +104,11 @@ def nearest_k(
     frontier = start if scope else start.withColumn("__all", F.lit(0))
     for level in range(depth + 1):
         below = cells(level)
-        if level == 0 and scope:
-            condition = _same(frontier, below, in_scope)
-        elif level == 0:
-            below = below.withColumn("__one", F.lit(0))
-            condition = frontier["__all"] == below["__one"]
+        if level == 0:
+            # one degree cells: at most 64,800 per scope and few in practice, so their size is checked first
+            root = pin(below, "root-cells")
+            below = (F.broadcast(root.frame) if root.small else root.frame).withColumn("__one", F.lit(0))
+            condition = _same(frontier, below, in_scope or [("__all", "__one")])
         else:
             condition = _same(frontier, below, [*in_scope, ("__fy", "py"), ("__fx", "px")])
         per_query = Window.partitionBy(*query_key)

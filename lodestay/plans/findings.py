@@ -64,5 +64,5 @@ def market_findings(analysis: Analysis, rules: Rules = Rules(), *, importance: D
 
 def market_job(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = ("city",), **options) -> DataFrame:
     """All cities in one run: clean, fit, score; one summary row per city and model."""
-    df, _ = training_run(raw, rules, by=by, **options)
+    df, _ = training_run(raw, rules, by=by, drop_text=True, **options)
     return analysis_run(df, rules, by=by).scores

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 from dataclasses import dataclass
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -69,27 +70,36 @@ def clean_listings(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str]
 
 
 def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = ("city",), city: str | None = None,
-                 order_by: Sequence[str] | None = None, keep: Sequence[str] = (),
+                 order_by: Sequence[str] | None = None, keep: Sequence[str] = (), drop_text: bool = False,
                  strict: bool = True) -> tuple[DataFrame, Fitted]:
     """Cleaned listings with every feature, and the values an apartment needs later.
 
-    After the staged de-duplication everything is narrow: statistics come back as small lookups.
+    After the staged de-duplication everything is narrow: statistics come back as small lookups. ``drop_text``
+    leaves the long texts out of the result once the dummies are made, which keeps the second staged
+    table small.
     """
     by = list(by)
-    # one check job for everything the feature steps need, instead of one per step
     df = clean_listings(raw, rules, by=by, city=city, order_by=order_by, keep=keep, strict=False)
+    # dummies first, so that the texts need not be read again; their gaps are checked below with the rest
+    gap = reduce(lambda a, b: a | b, [F.col(r.source).isNull() for r in rules.dummies], F.lit(False))
+    df = keyword_dummies(df.withColumn("__gap", gap), rules.dummies, strict=False)
+    if drop_text:
+        targets = {r.target for r in rules.dummies}
+        df = df.drop(rules.bathrooms_text_column, *[r.source for r in rules.dummies if r.source not in targets])
     df = stage(df, "clean")
     needed = dict.fromkeys([*(c for r in rules.plausibility for c in (r.column, r.max_of)),
-                            *(r.source for r in rules.dummies), *(r.source for r in rules.squares),
-                            *rules.outliers.columns, *rules.ratio_denominators, rules.category.column])
-    require_rows(df, {f"column {c} has a missing value": F.col(c).isNull() for c in needed}, strict)
+                            *(r.source for r in rules.squares), *rules.outliers.columns, *rules.ratio_denominators,
+                            rules.category.column])
+    require_rows(df, {f"column {c} has a missing value": F.col(c).isNull() for c in needed}
+                 | {f"a text of {', '.join(dict.fromkeys(r.source for r in rules.dummies))} is missing": F.col("__gap")},
+                 strict)
+    df = df.drop("__gap")
     caps = pin(group_caps(df, rules.caps, by, strict), "caps")
     kept = pin(frequent_categories(df, rules.category, by).select(*by, rules.category.column), "kept")
     df = cap_values(df, caps, rules.caps, by, strict=False)
     centers = pin(df.groupBy(*by).agg(*[
         (F.avg(r.source) if r.center else F.first(F.lit(0.0))).alias(f"center_{r.source}") for r in rules.squares]),
         "centers")
-    df = keyword_dummies(df, rules.dummies, strict=False)
     for rule in rules.ratios:
         df = ratio(df, rule, strict=False)
     if by:

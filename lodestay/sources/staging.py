@@ -33,11 +33,23 @@ def staging_root(spark: SparkSession) -> str:
     return _local_roots[app]
 
 
+def _application_folder(spark: SparkSession):
+    folder = f"{staging_root(spark)}/lodestay/{spark.sparkContext.applicationId}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    return folder, where, where.getFileSystem(spark._jsc.hadoopConfiguration())
+
+
 def staging_path(spark: SparkSession, label: str) -> str:
-    """A new path for a table; its parent folder exists."""
-    parent = spark._jvm.org.apache.hadoop.fs.Path(f"{staging_root(spark)}/lodestay")
-    parent.getFileSystem(spark._jsc.hadoopConfiguration()).mkdirs(parent)
-    return f"{staging_root(spark)}/lodestay/{label}-{uuid.uuid4().hex}"
+    """A new path for a table of this application; its parent folder exists."""
+    folder, where, file_system = _application_folder(spark)
+    file_system.mkdirs(where)
+    return f"{folder}/{label}-{uuid.uuid4().hex}"
+
+
+def drop_staged(spark: SparkSession) -> None:
+    """Remove every table this application staged. Call it once no result that reads them is needed."""
+    _, where, file_system = _application_folder(spark)
+    file_system.delete(where, True)
 
 
 def stage(df: DataFrame, label: str) -> DataFrame:

@@ -19,7 +19,7 @@ from .checks import Z_90, check, km, one_number_model, t_value
 from .fixture import BY, ORDER, RULES, apartments, listings
 from .registry import query, rounded
 
-train = partial(training_run, rules=RULES, by=BY, order_by=ORDER, keep=("copy_order",))
+train = partial(training_run, rules=RULES, by=BY, order_by=ORDER, keep=("copy_order",), drop_text=True)
 _FLOATS = ("bathrooms", "beds", "bedrooms", "accommodates_sq", "rating_sq", "proximity_city_center", "occupancy_rate",
            "ratio_occupancy_availability", "price", "estimated_revenue", "minimum_nights")
 _WHOLE = ("city", "id", "room_type", "district", "accommodates", "is_superhost", *AMENITIES)

@@ -34,15 +34,21 @@ def drop_zero(df: DataFrame, columns: Sequence[str]) -> DataFrame:
     return df.filter(~zero)
 
 
-def filter_plausible(df: DataFrame, rules: Sequence[PlausibilityRule], strict: bool = True) -> DataFrame:
-    """Keep rows that satisfy ``column <= factor * max_of + offset`` for every rule."""
+def filter_plausible(df: DataFrame, rules: Sequence[PlausibilityRule], strict: bool = True,
+                     keep_unknown: bool = False) -> DataFrame:
+    """Keep rows that satisfy ``column <= factor * max_of + offset`` for every rule.
+
+    A missing operand is an error. Without ``strict`` such rows are dropped, or kept for a later check with
+    ``keep_unknown``.
+    """
     if not rules:
         return df
     used = list(dict.fromkeys(c for r in rules for c in (r.column, r.max_of)))
     require_columns(df, used, "filter_plausible")
     require_rows(df, {f"filter_plausible: column {c} has a missing value": F.col(c).isNull() for c in used}, strict)
     kept = [F.col(r.column) <= F.lit(r.factor) * F.col(r.max_of) + F.lit(r.offset) for r in rules]
-    return df.filter(reduce(lambda a, b: a & b, kept))
+    condition = reduce(lambda a, b: a & b, kept)
+    return df.filter(F.coalesce(condition, F.lit(True)) if keep_unknown else condition)
 
 
 def outlier_fences(df: DataFrame, rule: OutlierRule, by: Sequence[str] = (), *, strict: bool = True,

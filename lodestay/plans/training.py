@@ -41,11 +41,13 @@ class Fitted:
 
 
 def clean_listings(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = ("city",), city: str | None = None,
-                   order_by: Sequence[str] | None = None, keep: Sequence[str] = (), strict: bool = True) -> DataFrame:
+                   order_by: Sequence[str] | None = None, keep: Sequence[str] = (), strict: bool = True,
+                   defer_checks: bool = False) -> DataFrame:
     """Select, rename, type, convert, de-duplicate, fill or drop missing values, drop outliers and implausible rows.
 
     The only full shuffle is the de-duplication; its result is staged, so that the statistics passes that
     follow (medians, fences) read a few columns each. ``order_by`` decides which copy is the first.
+    ``defer_checks`` keeps rows with missing sizes for the caller to check.
     """
     by = list(by)
     if bool(by) == (city is not None):
@@ -66,7 +68,7 @@ def clean_listings(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str]
                        text_column=rules.bathrooms_text_column, by=by)
     df = drop_zero(df, rules.ratio_denominators)
     df = drop_outliers(df, rules.outliers, by, strict=strict)
-    return filter_plausible(df, rules.plausibility, strict)
+    return filter_plausible(df, rules.plausibility, strict and not defer_checks, keep_unknown=strict and defer_checks)
 
 
 def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = ("city",), city: str | None = None,
@@ -79,7 +81,8 @@ def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] =
     table small.
     """
     by = list(by)
-    df = clean_listings(raw, rules, by=by, city=city, order_by=order_by, keep=keep, strict=False)
+    df = clean_listings(raw, rules, by=by, city=city, order_by=order_by, keep=keep, strict=strict,
+                        defer_checks=True)
     # dummies first, so that the texts need not be read again; their gaps are checked below with the rest
     gap = reduce(lambda a, b: a | b, [F.col(r.source).isNull() for r in rules.dummies], F.lit(False))
     df = keyword_dummies(df.withColumn("__gap", gap), rules.dummies, strict=False)

@@ -94,6 +94,15 @@ def test_training_invariants(spark, run):
         assert sorted(r[0] for r in df.select(a).distinct().collect()) == [0, 1]
 
 
+@needs_data
+@pytest.mark.parametrize("column,message", [("accommodates", "accommodates"), ("amenities", "amenities")])
+def test_training_reports_missing_values(spark, column, message):
+    raw = listings(spark, SF)
+    gap = raw.withColumn(column, F.when(F.col("room_type") != "Shared room", F.col(column)))
+    with pytest.raises(DataError, match=message):
+        training_run(gap, SMALL_RULES, order_by=ORDER, keep=("copy_order",))
+
+
 @needs_data
 def test_analysis_invariants(run):
     df, _, analysis = run

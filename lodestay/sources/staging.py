@@ -6,31 +6,17 @@ costs a re-read instead of a re-run of the cleaning shuffles.
 
 from __future__ import annotations
 
-import atexit
-import shutil
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from ..errors import RuleError
-
 _SETTING = "spark.checkpoint.dir"
-_local_roots: dict[str, str] = {}
 
 
 def staging_root(spark: SparkSession) -> str:
-    """The session's checkpoint folder; a private folder only for an unset local-mode session."""
+    """The folder named by ``spark.checkpoint.dir``, else the session's warehouse folder; every executor reaches both."""
     configured = spark.conf.get(_SETTING, None) or spark.sparkContext.getConf().get(_SETTING)
-    if configured:
-        return configured.rstrip("/")
-    if not spark.sparkContext.master.startswith("local"):
-        raise RuleError(f"{_SETTING} must name a folder every executor can reach")
-    app = spark.sparkContext.applicationId
-    if app not in _local_roots:
-        _local_roots[app] = tempfile.mkdtemp(prefix="lodestay-")
-        atexit.register(shutil.rmtree, _local_roots[app], ignore_errors=True)
-    return _local_roots[app]
+    return (configured or spark.conf.get("spark.sql.warehouse.dir")).rstrip("/")
 
 
 def _application_folder(spark: SparkSession):

@@ -8,16 +8,22 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import mixing, sequences, simhash
+from . import mixing, sequences, simhash, token_counts
 from .common import table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
+def prepared(spark: SparkSession) -> SparkSession:
+    """Session settings of the package, and Arrow batches that stay small with long texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    return tune(spark)
+
+
 def query(name: str, sql: str | None = None):
     def register(function):
-        QUERIES[name] = lambda spark, sf_dir: function(tune(spark), sf_dir)
+        QUERIES[name] = lambda spark, sf_dir: function(prepared(spark), sf_dir)
         if sql:
             ORACLES[name] = sql
         return function
@@ -32,6 +38,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op2_token_counts")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
+
+
 @query("op3_simhash")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))

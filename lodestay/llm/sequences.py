@@ -12,6 +12,7 @@ import os
 import re
 import uuid
 import zlib
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -30,13 +31,26 @@ END_ID = 0
 BATCH_ROWS = 256
 SHARD_IDS = 1 << 26
 #: Encoded pieces a worker remembers; beyond, it starts anew.
-CACHE = 250_000
+CACHE = 700_000
 # Unicode white space, as the tokenizer's own pattern splits it.
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
 _PIECE = re.compile(f" ?[{_LETTERS}]+(?=[.,;:!?|%&*#$/()'\"-])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
+class _Codes(dict):
+    """Numbers pieces as they are first asked for, and lists the new ones."""
+
+    def __init__(self):
+        super().__init__()
+        self.fresh: list[str] = []
+
+    def __missing__(self, piece: str) -> int:
+        self[piece] = code = len(self)
+        self.fresh.append(piece)
+        return code
+
+
 class Encoder:
     """Ids of whole texts by a tokenizer file.
 
@@ -55,7 +69,7 @@ class Encoder:
         self.forget()
 
     def forget(self):
-        self.known, self.ids, self.ends = {}, np.empty(0, dtype=self.width), np.zeros(1, dtype=np.int64)
+        self.known, self.ids, self.ends = _Codes(), np.empty(0, dtype=self.width), np.zeros(1, dtype=np.int64)
 
     def _pieces(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -70,17 +84,15 @@ class Encoder:
         if len(self.known) > CACHE:
             self.forget()
         split = [self._pieces(t) for t in texts]
-        known = self.known
-        fresh = list({p for pieces in split for p in pieces if p not in known})
+        which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
+        fresh, self.known.fresh = self.known.fresh, []
         coded = []
         for at in range(0, len(fresh), 1024):
             coded += [np.array(c.ids, dtype=self.width) for c in self.tokenizer.encode_batch_fast(fresh[at:at + 1024], add_special_tokens=False)]
         if fresh:
-            known.update(zip(fresh, range(len(known), len(known) + len(fresh))))
             self.ids = np.concatenate([self.ids, *coded])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(c) for c in coded])])
         ids, ends = self.ids, self.ends
-        which = np.fromiter((known[p] for pieces in split for p in pieces), dtype=np.int64)
         counts = ends[which + 1] - ends[which]
         sums = np.concatenate([[0], np.cumsum(counts)])
         bounds = np.concatenate([[0], np.cumsum([len(pieces) for pieces in split])])

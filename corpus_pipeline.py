@@ -1,14 +1,63 @@
-"""The corpus pipeline: stages that each read what the one before them kept."""
+"""The corpus pipeline: five stages, each of which works on all that the stage before it kept."""
 
 from __future__ import annotations
 
-STAGES: list = []
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from lodestay.llm import decontaminate, language_id, mixing, sequences, simhash
+from lodestay.llm.common import crc_bucket, table
+from lodestay.llm.queries import prepared, tokenizer
+from lodestay.sources.staging import stage
+
+#: Documents whose best language gets less than this share of their bytes' probability are rejected.
+LEAST_LANGUAGE = 0.4
+SHINGLE = 5
+
+
+def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Rejects documents without letters and those no language fits."""
+    rated = language_id.identify(docs, crc_bucket("doc_id", 4) == 2, rest=tuple(docs.columns)).select("lang_pred", "score", *[
+        F.col(c) for c in docs.columns if c not in ("doc_id", "score", "lang_pred")], "doc_id")
+    return rated.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select(*docs.columns)
+
+
+def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group stays, the one with the smallest id; of rows with the same id, one."""
+    groups = simhash.near_groups(docs, shingle=SHINGLE)
+    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
+    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates(["doc_id"]).select(*docs.columns)
+
+
+def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that hold a benchmark item go."""
+    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
+    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti").select(*docs.columns)
+
+
+def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix takes them; the last taking of one may end inside it."""
+    return mixing.repeated(docs)
+
+
+def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Token ids in files; the documents read back from them."""
+    return sequences.read_documents(sequences.write_sequences(docs, tokenizer("byte_bpe_50k.json")))
+
+
+def _stage(function):
+    return lambda spark, docs, sf_dir: function(prepared(spark), docs, sf_dir)
+
+
+STAGES = [("language_id", _stage(identify_language)), ("simhash", _stage(drop_near_copies)), ("decontaminate", _stage(drop_leaks)),
+          ("mixing", _stage(mix_sources)), ("sequences", _stage(write_ids))]
+#: Trained models and tokenizers are beyond SQL; the stages are tested against brute-force versions.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    """The documents after every stage."""
-    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    for _, stage in STAGES:
-        docs = stage(spark, docs, sf_dir)
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The last stage's rows, from all documents."""
+    docs = table(prepared(spark), sf_dir, "documents")
+    for name, function in STAGES:
+        docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

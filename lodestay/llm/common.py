@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 from collections.abc import Callable, Iterator
 
@@ -64,6 +65,12 @@ def ranges(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
     return np.arange(total) + np.repeat(starts - (ends - counts), counts)
 
 
+def release(done: DataFrame) -> None:
+    """Lets Spark drop the shuffle files of finished work now; else they stay until the driver happens to collect its garbage."""
+    gc.collect()
+    done.sparkSession.sparkContext._jvm.System.gc()
+
+
 def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     """The smallest node reachable, for every node of ``edges`` (a long, b long): ``node, root``.
 

@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import language_model, mixing, repeats, sequences, simhash, token_counts
+from . import decontaminate, language_id, language_model, mixing, quality, repeats, sequences, simhash, token_counts, vector_index
 from .common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,11 @@ def tokenizer(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+@query("op1_language_id")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return language_id.identify(table(spark, sf_dir, "documents"), crc_bucket("doc_id", 4) == 2)
+
+
 @query("op2_token_counts")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents"), tokenizer("piece_bpe_32k.model"))
@@ -48,12 +53,27 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_groups(table(spark, sf_dir, "documents"))
 
 
+@query("op4_decontaminate")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.find_leaks(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 @query("op5_sequences")
 def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     return sequences.read_documents(sequences.write_sequences(docs, tokenizer("byte_bpe_50k.json")))
 
 
+@query("op6_vector_index")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_index.link_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op7_quality")
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality.score_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"), crc_bucket("doc_id", 5) == 0)
+
+
 @query("op8_mixing", mixing.ORACLE_SQL)
 def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source", "text")

@@ -18,7 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import arrow_map, slices, words
+from .common import arrow_map, release, slices, words
 
 WINDOW = 35
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -70,6 +70,27 @@ def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return stage(plain.select(F.monotonically_increasing_id().alias("rid"), "id", "text"), "numbered")
 
 
+def _again(batches):
+    """Of rows sorted by hash, those whose hash the row before or after has too; one row is carried from batch to batch."""
+    last, told = None, True
+
+    def out(rids, starts):
+        return pa.record_batch([pa.array(rids, pa.int64()), pa.array(starts, pa.int32())], names=["rid", "s"])
+
+    for batch in batches:
+        if not batch.num_rows:
+            continue
+        h1, h2, rid, s = (batch.column(i).to_numpy() for i in range(4))
+        same = (h1[1:] == h1[:-1]) & (h2[1:] == h2[:-1])
+        twice = np.concatenate([[False], same]) | np.concatenate([same, [False]])
+        if last is not None and (last[0], last[1]) == (h1[0], h2[0]):
+            twice[0] = True
+            if not told:
+                yield out([last[2]], [last[3]])
+        yield out(rid[twice], s[twice])
+        last, told = (h1[-1], h2[-1], rid[-1], s[-1]), bool(twice[-1])
+
+
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW) -> DataFrame:
     """``doc_id, n_words, n_removed, kept_text`` for every row.
 
@@ -93,6 +114,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     index = stage(arrow_map(rows.select("rid", "text"), blocks, "h long, rid long, n int"), "blocks")
     found = arrow_map(rows.select("text"), probes, "h long").join(index.select("h").distinct().hint("shuffle_hash"), "h")
     again = stage(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "anchors")
+    release(found)
     anchors = index.join(again, "h").groupBy("rid").agg(F.collect_list("n").alias("n"))
 
     def candidates(batch):
@@ -110,9 +132,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                   names=["h1", "h2", "rid", "s"])
 
     near = arrow_map(rows.select("rid", "text").join(anchors, "rid"), candidates, "h1 long, h2 long, rid long, s int")
-    near = stage(near, "windows")
-    repeated = near.groupBy("h1", "h2").agg(F.count("*").alias("times")).where("times > 1").drop("times")
-    starts = near.join(repeated, ["h1", "h2"]).groupBy("rid").agg(F.collect_list("s").alias("s"))
+    ordered = near.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
+    repeated = ordered.mapInArrow(_again, "rid long, s int")
+    starts = stage(repeated.groupBy("rid").agg(F.collect_list("s").alias("s")), "starts")
+    release(near)
 
     def cut(batch):
         for part in slices(batch, 1):

@@ -172,7 +172,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
             return (part, number, f"{folder}/{shard.names[0]}", f"{folder}/{shard.names[1]}", shard.close(), count)
 
         for batch in batches:
-            for piece in slices(batch, 1):
+            for piece in slices(batch, 1, 1 << 20):
                 if shard is None:
                     files, base = pa.fs.FileSystem.from_uri(folder)
                     files.create_dir(base, recursive=True)

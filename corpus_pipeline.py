@@ -17,9 +17,9 @@ SHINGLE = 5
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Rejects documents without letters and those no language fits."""
-    rated = language_id.identify(docs, crc_bucket("doc_id", 4) == 2, rest=tuple(docs.columns)).select("lang_pred", "score", *[
-        F.col(c) for c in docs.columns if c not in ("doc_id", "score", "lang_pred")], "doc_id")
-    return rated.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE)).select(*docs.columns)
+    rated = language_id.identify(docs, crc_bucket("doc_id", 4) == 2, rest=tuple(docs.columns))
+    fitting = rated.where((F.col("lang_pred") != language_id.UNKNOWN) & (F.col("score") >= LEAST_LANGUAGE))
+    return fitting.select(*[F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

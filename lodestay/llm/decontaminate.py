@@ -112,7 +112,7 @@ def _block_leaks(rows: DataFrame, ids: list, tokens: list, schema: str, least_sc
     for size, h, owner in seeds:
         at = np.searchsorted(grams[size], h)
         often = totals[size][at]
-        middle = {k: np.median(often[owner == k]) for k in set(owner.tolist())} if len(ids) <= 64 else _medians(owner, often)
+        middle = _medians(owner, often)
         rare = often <= np.array([middle[k] for k in owner.tolist()])
         order = np.argsort(at[rare], kind="stable")
         plan[size] = at[rare][order], owner[rare][order]

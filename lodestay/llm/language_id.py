@@ -153,7 +153,7 @@ def fit(training: DataFrame, sample: int = SAMPLE) -> Network | None:
 
 
 def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", rest: tuple[str, ...] = ()) -> DataFrame:
-    """``doc_id, held_out, lang_pred, score`` and the columns of ``rest`` for every row; learns from rows not held out.
+    """``doc_id, held_out, lang_pred, score`` for every row, and a struct ``rest`` of the columns named there; learns from rows not held out.
 
     Null texts and texts without a letter are ``und`` with score 0, as is everything if no row can be learned from.
     """
@@ -178,4 +178,4 @@ def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col
 
     given = rows.select("id", "held", "text", "rest")
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, lang_pred string, score double, rest {given.schema['rest'].dataType.simpleString()}"
-    return given.mapInArrow(run, schema).select("doc_id", "held_out", "lang_pred", "score", *[F.col(f"rest.`{c}`").alias(c) for c in rest])
+    return given.mapInArrow(run, schema).select("doc_id", "held_out", "lang_pred", "score", *(["rest"] if rest else []))

@@ -102,7 +102,8 @@ def repeated(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars"
     whole = F.floor(F.col("taken") / F.col("size"))
     times = mixed.where("taken > 0").withColumn("_part", F.col("taken") - whole * F.col("size")).withColumn("_whole", whole)
     copies = times.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))))
-    head = F.expr(f"regexp_extract({text_col}, concat('^[\\\\x20\\\\x09-\\\\x0D]*(?:[^\\\\x20\\\\x09-\\\\x0D]++[\\\\x20\\\\x09-\\\\x0D]*+){{', _part, '}}'), 0)")
+    pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_part").cast("int")), "")
     cut = F.when(F.col("_n") > F.col("_whole"), head).otherwise(F.col(text_col))
     out = copies.withColumn(text_col, cut)
     if count_col in docs.columns:

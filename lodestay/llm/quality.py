@@ -77,7 +77,7 @@ class Voters:
         cosines = self.place(rows) @ self.vectors.T
         k = min(NEIGHBOURS, len(self.labels))
         near = np.argpartition(-cosines, k - 1, axis=1)[:, :k]
-        weights = np.maximum(np.take_along_axis(cosines, near, axis=1), 1e-6) ** SHARPNESS
+        weights = np.maximum(np.take_along_axis(cosines, near, axis=1), 0) ** SHARPNESS + 1e-6  # all vote alike where none is similar
         return np.clip((weights * self.labels[near]).sum(axis=1) / weights.sum(axis=1), 0, 1)
 
 

@@ -9,8 +9,8 @@ from ..rules import EARTH_RADIUS_KM
 
 
 def _km(chord: Column) -> Column:
-    # rounding can lift the argument above 1 for antipodes, where asin is undefined
-    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.least(F.lit(1.0), chord)))
+    # rounding can lift the argument above 1 for antipodes, where asin is undefined; least() would turn a null into 1
+    return F.lit(2 * EARTH_RADIUS_KM) * F.asin(F.sqrt(F.when(chord > 1, F.lit(1.0)).otherwise(chord)))
 
 
 def _half_sine_squared(radians: Column) -> Column:

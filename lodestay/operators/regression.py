@@ -232,7 +232,7 @@ class _Gram:
         if wanted is None:
             return self.levels[c][0]
         if wanted == MOST_COMMON:
-            return max(self.levels[c], key=lambda v: (self.matrix[0, self.columns[c, v]], [-ord(ch) for ch in v]))
+            return min(self.levels[c], key=lambda v: (-self.matrix[0, self.columns[c, v]], v))
         if wanted not in self.levels[c]:
             raise ValueError(f"reference level {wanted} does not occur in {category}")
         return wanted

@@ -4,6 +4,9 @@ A repeat of ``window`` words holds, in each of its places, a whole block of ``bl
 block's length. The index holds these blocks; every rolling window of that length, of every text, probes it. Blocks that are probed more than
 once anchor the search: only windows around them are hashed whole (128 bits) and counted, and runs of repeated windows are the maximal
 repeats. Places are never paired with each other: hashes are counted, and a place asks whether its hash occurs again.
+
+Probes are the bulk of what is shuffled, so they travel packed: a task sorts the hashes of a few megabytes of text, keeps two of equal ones at most and
+sends one binary row to each bucket of hashes. The number of buckets follows the number of blocks, so a bucket's size does not grow with the data.
 """
 
 from __future__ import annotations
@@ -21,6 +24,8 @@ from ..sources.staging import stage
 from .common import arrow_map, release, slices, words
 
 WINDOW = 35
+#: Probes of one bucket, before equal ones of a slice are dropped; and the bytes that travel of a hash besides its bucket.
+BUCKET_PROBES, KEY_BYTES = 1 << 21, 5
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -61,6 +66,31 @@ def _windows(tokens: list[list[bytes]], length: int, seed: int) -> tuple[np.ndar
     return hashes[inside].view(np.int64), owner[inside], start[inside]
 
 
+def _packed(keys: np.ndarray, indexed: bool) -> pa.RecordBatch:
+    """Sorted keys as one binary row for each bucket."""
+    buckets = keys >> (8 * KEY_BYTES)
+    heads = np.flatnonzero(np.concatenate([[True], buckets[1:] != buckets[:-1]]))
+    raw = np.ascontiguousarray(keys.view(np.uint8).reshape(-1, 8)[:, :KEY_BYTES])
+    offsets = (np.append(heads, len(keys)) * KEY_BYTES).astype(np.int32)
+    rows = pa.Array.from_buffers(pa.binary(), len(heads), [None, pa.py_buffer(offsets), pa.py_buffer(raw)])
+    return pa.record_batch([pa.array(buckets[heads]), pa.array(np.full(len(heads), indexed)), rows], names=["bucket", "indexed", "keys"])
+
+
+def _unpacked(rows: pa.ChunkedArray) -> np.ndarray:
+    data = np.frombuffer(b"".join(rows.to_pylist()), dtype=np.uint8).reshape(-1, KEY_BYTES)
+    wide = np.zeros((len(data), 8), dtype=np.uint8)
+    wide[:, :KEY_BYTES] = data
+    return wide.view("<i8").ravel()
+
+
+def _probed_again(bucket: pa.Table) -> pa.Table:
+    """Keys of the bucket's blocks that more than one window has; a block is a window too."""
+    indexed = bucket.column("indexed")
+    probes, times = np.unique(_unpacked(bucket.filter(pa.compute.invert(indexed)).column("keys")), return_counts=True)
+    again = np.intersect1d(probes[times > 1], _unpacked(bucket.filter(indexed).column("keys")))
+    return pa.table({"h": again | bucket.column("bucket")[0].as_py() << (8 * KEY_BYTES)})
+
+
 def _numbered(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     """``rid, text``; the id itself where it names every row, else numbers fixed in a staged copy."""
     plain = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -100,10 +130,6 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     block = (window + 1) // 2
     rows = _numbered(docs, id_col, text_col)
 
-    def probes(batch):
-        for part in slices(batch, 0):
-            yield pa.record_batch([pa.array(_windows([words(t) for t in part.column(0).to_pylist()], block, 1)[0])], names=["h"])
-
     def blocks(batch):
         for part in slices(batch, 1):
             h, owner, start = _windows([words(t) for t in part.column(1).to_pylist()], block, 1)
@@ -112,10 +138,25 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
                                   names=["h", "rid", "n"])
 
     index = stage(arrow_map(rows.select("rid", "text"), blocks, "h long, rid long, n int"), "blocks")
-    found = arrow_map(rows.select("text"), probes, "h long").join(index.select("h").distinct().hint("shuffle_hash"), "h")
-    again = stage(found.groupBy("h").agg(F.count("*").alias("times")).where("times > 1").select("h"), "anchors")
-    release(found)
-    anchors = index.join(again, "h").groupBy("rid").agg(F.collect_list("n").alias("n"))
+    # a key holds the upper bits of a hash, which name its bucket, and the lower ones
+    bits = max(6, (index.count() * block // BUCKET_PROBES).bit_length())
+    low = (1 << 8 * KEY_BYTES) - 1
+
+    def probes(batch):
+        for part in slices(batch, 0):
+            h, _, start = _windows([words(t) for t in part.column(0).to_pylist()], block, 1)
+            keys = (h.view(np.uint64) >> np.uint64(64 - bits) << np.uint64(8 * KEY_BYTES)).view(np.int64) | (h & low)
+            if len(keys):
+                values, times = np.unique(keys, return_counts=True)
+                yield _packed(np.repeat(values, np.minimum(times, 2)), False)
+                if len(own := np.unique(keys[start % block == 0])):
+                    yield _packed(own, True)
+
+    packed = arrow_map(rows.select("text"), probes, "bucket long, indexed boolean, keys binary")
+    again = stage(packed.groupBy("bucket").applyInArrow(_probed_again, "h long"), "anchors")
+    release(packed)
+    key = F.shiftleft(F.shiftrightunsigned("h", 64 - bits), 8 * KEY_BYTES).bitwiseOR(F.col("h").bitwiseAND(F.lit(low)))
+    anchors = index.withColumn("h", key).join(again, "h").groupBy("rid").agg(F.collect_list("n").alias("n"))
 
     def candidates(batch):
         for part in slices(batch, 1):

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -29,7 +29,8 @@ def rename_columns(df: DataFrame, mapping: Mapping[str, str]) -> DataFrame:
 def set_types(df: DataFrame, types: Mapping[str, str], lenient: bool = False) -> DataFrame:
     """Convert the listed columns. Text is trimmed and freed of ``$`` and ``,``; blank text becomes null.
 
-    Text that is no number fails the job with the text in the message; ``lenient`` gives null instead.
+    Text that is no number, or a fraction where a whole number is wanted, fails the job with the value in the
+    message; ``lenient`` gives null instead.
     """
     require_columns(df, types, "set_types")
     converted = {}
@@ -37,10 +38,21 @@ def set_types(df: DataFrame, types: Mapping[str, str], lenient: bool = False) ->
         if isinstance(df.schema[column].dataType, T.StringType):
             converted[column] = parse_value(F.col(column), type_name, lenient)
         else:
-            converted[column] = F.col(column).cast(type_name)
+            converted[column] = _whole(df, column, type_name, lenient)
     return df.withColumns(converted)
 
 
+def _whole(df: DataFrame, column: str, type_name: str, lenient: bool) -> Column:
+    """A cast that does not cut off decimals."""
+    value = F.col(column)
+    fractional = isinstance(df.schema[column].dataType, T.FractionalType)
+    if not fractional or type_name.lower() not in ("tinyint", "smallint", "int", "integer", "bigint", "long"):
+        return value.cast(type_name)
+    cut = F.lit(None) if lenient else F.raise_error(
+        F.concat(F.lit(f"set_types: {column} is not a whole number: "), value.cast("string")))
+    return F.when(value.isNull() | (value == F.floor(value)), value.cast(type_name)).otherwise(cut.cast(type_name))
+
+
 def rate_of(rule: CurrencyRule, currency: str) -> float:
     if currency not in rule.exchange_rates:
         raise RuleError(f"convert_currency: unknown currency: {currency}")

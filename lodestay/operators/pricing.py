@@ -18,13 +18,13 @@ GROUPS = ("listed", "new")
 
 
 def occupancy_tables(train: DataFrame, rule: OccupancyRule, quantiles: Mapping[str, float], by: Sequence[str] = (),
-                     value: str = "occupancy_rate") -> tuple[Lookup, Lookup]:
+                     value: str = "occupancy_rate", strict: bool = True) -> tuple[Lookup, Lookup]:
     """Quantiles per fine group (with its size) and per fallback group."""
     by = list(by)
     fine_keys, coarse_keys = [*by, *rule.group_by], [*by, rule.fallback]
     require_columns(train, [*fine_keys, *coarse_keys, value], "occupancy_reference")
     fine = group_quantiles(train, {f"__fine_{n}": (value, q) for n, q in quantiles.items()}, fine_keys,
-                           sizes={"__fine_n": value}, null_message=f"missing value in {value}")
+                           sizes={"__fine_n": value}, null_message=f"missing value in {value}" if strict else None)
     coarse = group_quantiles(train, {f"__coarse_{n}": (value, q) for n, q in quantiles.items()}, coarse_keys)
     return pin(fine, "occupancy-fine"), pin(coarse, "occupancy-coarse")
 
@@ -39,7 +39,7 @@ def occupancy_reference(df: DataFrame, train: DataFrame, rule: OccupancyRule, qu
     quantiles = dict(quantiles or {"occupancy_reference": 0.5})
     by = list(by)
     require_columns(df, [*by, *rule.group_by, rule.fallback], "occupancy_reference")
-    fine, coarse = tables or occupancy_tables(train, rule, quantiles, by, value)
+    fine, coarse = tables or occupancy_tables(train, rule, quantiles, by, value, strict)
     joined = lookup_join(df, coarse, [*by, rule.fallback])
     joined = lookup_join(joined, fine, [*by, *rule.group_by])
     first = next(iter(quantiles))

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..errors import RuleError, require_columns
+from ..errors import DataError, RuleError, require_columns
 from ..functions.geo import box_distance_km, haversine_km
 from ..sources.staging import stage
 from .lookup import pin
@@ -48,7 +48,8 @@ def nearest_k(
     """``query_key``, ``scope``, ``carry`` of the point, ``order_by``, ``distance_km``, ``rank`` (1 = nearest).
 
     Points compete within equal ``scope`` values. Equal distances are settled by ``order_by``; ``round_km``
-    rounds distances to that many decimals (at most 6) first.
+    rounds distances to that many decimals (at most 6) first. Queries and points without coordinates have no
+    neighbours; a ``query_key`` that two queries share is an error.
     """
     if k < 1:
         raise RuleError(f"n must be at least 1, got {k}")
@@ -58,6 +59,10 @@ def nearest_k(
     carry = [c for c in carry if c not in scope and c not in order_by]
     require_columns(points, [*scope, *carry, *order_by, latitude, longitude], "nearest_k")
     require_columns(queries, [*query_key, *scope, latitude, longitude], "nearest_k")
+    queries = queries.filter(F.col(latitude).isNotNull() & F.col(longitude).isNotNull())
+    shared = queries.groupBy(*query_key).agg(F.count(F.lit(1)).alias("n")).filter("n > 1").limit(1).collect()
+    if shared:
+        raise DataError(f"two queries have the key {', '.join(str(shared[0][c]) for c in query_key)}")
     slack = SLACK_KM if round_km is None else SLACK_KM + 2 * 10.0 ** -round_km
 
     lat, lon = F.col("__plat"), F.col("__plon")

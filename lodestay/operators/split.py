@@ -11,6 +11,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import RuleError, require_columns
 from .lookup import Lookup, lookup_join, pin
@@ -49,18 +50,32 @@ def split_exact(df: DataFrame, test_size: float, *, seed: int | None = None, key
     if not random_selection:
         if len(key) != 1:
             raise RuleError("split_exact: an ordered split needs one numeric key")
-        values = df.select(*by, F.col(key[0]).cast("double").alias("value"), F.lit(1).cast("long").alias("n"))
-        totals = pin(
+        numeric = isinstance(df.schema[key[0]].dataType, T.NumericType)
+        exact = F.col(key[0]) if numeric else F.col(key[0]).cast("double")
+        rounded = exact.cast("double")
+        values = df.select(*by, rounded.alias("value"), F.lit(1).cast("long").alias("n"))
+        pinned = pin(
             values.groupBy(*by).agg(F.count("value").alias("n_rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-            .withColumn("n_test", n_test).withColumn("n_train", F.col("n_rows") - n_test), "split-totals").frame
+            .withColumn("n_test", n_test).withColumn("n_train", F.col("n_rows") - n_test), "split-totals")
+        totals = pinned.frame
         _check_sides(totals, by, test_size)
         targets = totals.select(*by, (F.col("n_train") - 1).alias("rank"), "lo", "hi",
                                 F.lit(0).cast("long").alias("before"))
         keyed = values if by else values.withColumn("__all", F.lit(1))
         keyed_targets = targets if by else targets.withColumn("__all", F.lit(1))
         cut = select_ranks(keyed, keyed_targets, by or ["__all"]).select(*by, F.col("value").alias("__cut"))
-        joined = lookup_join(df, pin(cut, "split-cut"), by, null_safe=True)
-        return joined.withColumn("is_test", F.col(key[0]).cast("double") > F.col("__cut")).drop("__cut")
+        # keys beyond 2^53 can share a double: those that share the cut's are counted down in their own type
+        upper = lookup_join(df.select(*by, exact.alias("__key")), pin(cut, "split-cut"), by, null_safe=True).filter(
+            F.col("__key").cast("double") >= F.col("__cut"))
+        shared = F.when(F.col("__key").cast("double") == F.col("__cut"), F.col("__key"))
+        counted = upper.groupBy(*by, shared.alias("__key")).agg(F.count(F.lit(1)).alias("m"))
+        downwards = Window.partitionBy(*by).orderBy(F.col("__key").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
+        sides = Lookup(totals.select(*by, "n_test"), pinned.small)
+        placed = lookup_join(counted.withColumn("__upto", F.sum("m").over(downwards)), sides, by, null_safe=True)
+        last = placed.filter((F.col("__upto") > F.col("n_test")) & (F.col("__upto") - F.col("m") <= F.col("n_test"))).select(
+            *by, F.col("__key").alias("__cut"))
+        joined = lookup_join(df, pin(last, "split-key"), by, null_safe=True)
+        return joined.withColumn("is_test", exact > F.col("__cut")).drop("__cut")
 
     # an unseeded draw is still one draw: its seed is fixed here, not per row or per retry
     salt = F.lit(uuid.uuid4().hex if seed is None else str(seed))

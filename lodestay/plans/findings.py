@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions.text import format_eur, signed_percent
@@ -39,25 +39,28 @@ def detail_lines(analysis: Analysis, rules: Rules = Rules()) -> DataFrame:
 
 
 def market_findings(analysis: Analysis, rules: Rules = Rules(), *, importance: DataFrame | None = None) -> DataFrame:
-    """``by, section, label, value, text``: overview, model quality, what drives the price, detail lines."""
+    """``by, section, line, label, value, text`` (``line`` orders a section's rows): overview, model quality, what drives the price, detail lines."""
     by = list(analysis.by)
     everything = analysis.train.unionByName(analysis.test)
     overview = market_overview(everything, by)
     numbers = F.array(*[
-        F.struct(F.lit(label).alias("label"), F.col(c).cast("double").alias("value"),
+        F.struct(F.lit(i).alias("line"), F.lit(label).alias("label"), F.col(c).cast("double").alias("value"),
                  (format_eur(F.col(c)) if c != "listings" else F.col(c).cast("string")).alias("text"))
-        for label, c in (("listings", "listings"), ("median price", "price_median"), ("first quartile price", "price_q1"),
-                         ("third quartile price", "price_q3"), ("median revenue", "revenue_median"))])
+        for i, (label, c) in enumerate((
+            ("listings", "listings"), ("median price", "price_median"), ("first quartile price", "price_q1"),
+            ("third quartile price", "price_q3"), ("median revenue", "revenue_median")))])
     first = overview.select(*by, F.lit("overview").alias("section"), F.inline(numbers))
+    model = F.array_position(F.lit([s.name for s in analysis.fits.specs]), F.col("model")).cast("int")
     quality = analysis.scores.select(
-        *by, F.lit("model quality").alias("section"), F.col("model").alias("label"),
+        *by, F.lit("model quality").alias("section"), model.alias("line"), F.col("model").alias("label"),
         F.col("r2_model_scale").alias("value"),
         F.concat(F.bround(F.lit(100) * F.col("r2_model_scale")).cast("int").cast("string"),
                  F.lit("% explained, typical error "), format_eur(F.col("median_ae"))).alias("text"))
     importance = importance if importance is not None else analysis.importance(rules)
-    drivers = importance.select(*by, F.lit("what drives the price").alias("section"), F.col("group").alias("label"),
+    place = F.row_number().over(Window.partitionBy(*by).orderBy(F.desc_nulls_last("shown"), "group"))
+    drivers = importance.select(*by, F.lit("what drives the price").alias("section"), place.alias("line"), F.col("group").alias("label"),
                                 F.col("shown").alias("value"), F.format_number("shown", 3).alias("text"))
-    details = detail_lines(analysis, rules).select(*by, F.lit("in detail").alias("section"), "label",
+    details = detail_lines(analysis, rules).select(*by, F.lit("in detail").alias("section"), F.col("line").cast("int").alias("line"), "label",
                                                    F.col("pct").alias("value"), "text")
     return first.unionByName(quality).unionByName(drivers).unionByName(details)
 

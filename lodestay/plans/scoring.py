@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from ..errors import require_columns, require_rows
 from ..operators.effects import amenity_tips, rating_effects, superhost_tip
 from ..operators.lookup import lookup_join
-from ..operators.pricing import GROUPS, assess_listing, comparable_listings, occupancy_reference, revenue_estimate
+from ..operators.pricing import GROUPS, assess_listing, comparable_listings, occupancy_reference, occupancy_tables, revenue_estimate
 from ..operators.regression import price_range
 from ..rules import DAYS_PER_YEAR, STATUS_MESSAGES, TERM_LABELS, AMENITY_LABELS, Rules
 from .analysis import Analysis
@@ -28,8 +28,9 @@ def price_apartments(prepared: DataFrame, analysis: Analysis, rules: Rules = Rul
     require_columns(prepared, [group, *by], "price_apartments")
     fits = analysis.fits
     out = price_range(prepared, fits, "price", level=rules.interval_level, strict=False)
-    out = occupancy_reference(out, analysis.train, rules.occupancy,
-                              {"reference": 0.5, "high_reference": rules.occupancy.high_quantile}, by, strict=False)
+    levels = {"reference": 0.5, "high_reference": rules.occupancy.high_quantile}
+    out = occupancy_reference(out, analysis.train, rules.occupancy, levels, by, strict=False,
+                              tables=occupancy_tables(analysis.train, rules.occupancy, levels, by, strict=strict))
     # one check job for all steps
     require_rows(out, {
         "an apartment has a missing predictor or a category level the model does not know": F.col("median").isNull(),
@@ -85,7 +86,8 @@ def pricing_report(bundle: DataFrame, rules: Rules = Rules(), strict: bool = Tru
     term_names = F.create_map(*[F.lit(x) for pair in TERM_LABELS.items() for x in pair])
 
     def tip(t: Column) -> Column:
-        return F.struct(amenity_names[t["amenity"]].alias("label"), t["change"].alias("change"),
+        unnamed = F.raise_error(F.concat(F.lit("no label for amenity "), t["amenity"])).cast("string") if strict else t["amenity"]
+        return F.struct(F.coalesce(amenity_names[t["amenity"]], unnamed).alias("label"), t["change"].alias("change"),
                         t["change_pct"].alias("change_pct"))
 
     def rating(t: Column) -> Column:

@@ -92,7 +92,7 @@ def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] =
     df = stage(df, "clean")
     needed = dict.fromkeys([*(c for r in rules.plausibility for c in (r.column, r.max_of)),
                             *(r.source for r in rules.squares), *rules.outliers.columns, *rules.ratio_denominators,
-                            rules.category.column])
+                            rules.category.column, rules.distance.latitude, rules.distance.longitude])
     require_rows(df, {f"column {c} has a missing value": F.col(c).isNull() for c in needed}
                  | {f"a text of {', '.join(dict.fromkeys(r.source for r in rules.dummies))} is missing": F.col("__gap")},
                  strict)
@@ -123,6 +123,9 @@ def inference_run(apartments: DataFrame, fitted: Fitted, rules: Rules = Rules(),
     unknown groups leave nulls behind instead of failing.
     """
     by = list(fitted.by)
+    here = (rules.distance.latitude, rules.distance.longitude)
+    require_columns(apartments, here, "inference_run")
+    require_rows(apartments, {f"column {c} has a missing value": F.col(c).isNull() for c in here}, strict)
     df = cap_values(apartments, fitted.caps, rules.caps, by, strict)
     for rule in rules.ratios:
         absent = {rule.numerator, *([rule.denominator] if isinstance(rule.denominator, str) else [])} - set(df.columns)

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable, Mapping
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -53,23 +54,30 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
     return reader.csv(path)
 
 
-def read_listings(spark: SparkSession, paths: str | list[str], columns: Iterable[str] = RELEVANT_COLUMNS) -> DataFrame:
+def read_listings(spark: SparkSession, paths: str | list[str], columns: Iterable[str] = RELEVANT_COLUMNS,
+                  multi_line: bool = True) -> DataFrame:
     """Listing files with their known columns typed and any other requested column as text.
 
-    Columns are found by header name, so files may hold more columns in any order. ``price`` stays text.
+    Columns are found by the header of each path, so files may differ in their order and in further columns; the
+    parts of one folder share a header. ``price`` stays text. ``multi_line=False`` is for files whose quoted
+    fields hold no line breaks: large ones are then read by many tasks.
     """
     paths = [paths] if isinstance(paths, str) else list(paths)
     for path in paths:
         if not path_exists(spark, path):
             raise RuleError(f"no file at {path}")
-    text = (spark.read.option("header", True).option("multiLine", True).option("quote", '"').option("escape", '"')
-            .option("enforceSchema", False).csv(paths))
+    reader = (spark.read.option("header", True).option("multiLine", multi_line).option("quote", '"').option("escape", '"')
+              .option("enforceSchema", False))
     columns = list(columns)
-    require_columns(text, columns, "read_listings")
+    alike: dict[tuple[str, ...], list[str]] = {}
+    for path in paths:
+        head = reader.csv(path)
+        require_columns(head, columns, f"read_listings, {path}")
+        alike.setdefault(tuple(head.columns), []).append(path)
     # the city's "file" may also be a folder of part files
     source = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), f"([^/]*){FILE_SUFFIX}(/[^/]*)?$", 1)
     typed = [F.col(c).cast(_TYPED[c]).alias(c) if c in _TYPED else F.col(c) for c in columns]
-    return text.select(*typed, source.alias("file_city"))
+    return reduce(DataFrame.unionByName, [reader.csv(same).select(*typed, source.alias("file_city")) for same in alike.values()])
 
 
 def read_cities(spark: SparkSession, cities: Mapping[str, City], data_dir: str) -> DataFrame:

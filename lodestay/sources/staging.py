@@ -11,6 +11,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 _SETTING = "spark.checkpoint.dir"
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
 
 
 def staging_root(spark: SparkSession) -> str:
@@ -42,5 +43,11 @@ def stage(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as parquet and return the table read back, with the same schema."""
     spark = df.sparkSession
     path = staging_path(spark, label)
-    df.write.parquet(path)
+    # the plan of a write runs once, so its shuffle files can go as soon as the table is there
+    before = spark.conf.get(_CLEANUP)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
     return spark.read.schema(df.schema).parquet(path)

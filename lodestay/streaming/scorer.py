@@ -19,7 +19,11 @@ def score_rows(apartments: DataFrame, fitted: Fitted, analysis: Analysis, rules:
     prepared = inference_run(apartments, fitted, rules, strict=False)
     priced = price_range(prepared, analysis.fits, "price", level=rules.interval_level, strict=False)
     unknown_room = F.col("median").isNull()
-    own = [c for c in spec.predictors if c in apartments.columns]
+    # what the predictors are made of: a gap in it is a gap in the price
+    made = [(rules.distance.target, c) for c in (rules.distance.latitude, rules.distance.longitude)]
+    made += [(r.target, c) for r in rules.ratios for c in (r.numerator, r.denominator)] + [(r.target, r.source) for r in rules.squares]
+    wanted = dict.fromkeys([*spec.predictors, *[c for target, c in made if target in spec.predictors and isinstance(c, str)]])
+    own = [c for c in wanted if c in apartments.columns]
     reason: Column = F.lit(None).cast("string")
     for c in reversed(own):
         reason = F.when(F.col(c).isNull(), F.lit(f"missing {c}")).otherwise(reason)

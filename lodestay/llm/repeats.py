@@ -2,7 +2,7 @@
 
 A repeat of ``window`` words holds, in each of its places, a whole block of ``block = (window + 1) // 2`` words that starts at a multiple of the
 block's length. The index holds these blocks; every rolling window of that length, of every text, probes it. Blocks that are probed more than
-once anchor the search: only windows around them are hashed whole (128 bits) and counted, and runs of repeated windows are the maximal
+once anchor the search: only windows around them are hashed whole (96 bits) and counted, and runs of repeated windows are the maximal
 repeats. Places are never paired with each other: hashes are counted, and a place asks whether its hash occurs again.
 
 Probes are the bulk of what is shuffled, so they travel packed: a task sorts the hashes of a few megabytes of text, keeps two of equal ones at most and
@@ -169,10 +169,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
             lists = part.column(2)
             anchor[np.repeat(base, np.asarray(pa.compute.list_value_length(lists))) + np.asarray(lists.flatten())] = True
             at = anchor[base[owner] + -(-start // block)]
-            yield pa.record_batch([pa.array(first[at]), pa.array(second[at]), part.column(0).take(pa.array(owner[at])), pa.array(start[at].astype(np.int32))],
+            yield pa.record_batch([pa.array(first[at]), pa.array(second[at].astype(np.int32)), part.column(0).take(pa.array(owner[at])), pa.array(start[at].astype(np.int32))],
                                   names=["h1", "h2", "rid", "s"])
 
-    near = arrow_map(rows.select("rid", "text").join(anchors, "rid"), candidates, "h1 long, h2 long, rid long, s int")
+    near = arrow_map(rows.select("rid", "text").join(anchors, "rid"), candidates, "h1 long, h2 int, rid long, s int")
     ordered = near.repartition("h1", "h2").sortWithinPartitions("h1", "h2")
     repeated = ordered.mapInArrow(_again, "rid long, s int")
     starts = stage(repeated.groupBy("rid").agg(F.collect_list("s").alias("s")), "starts")

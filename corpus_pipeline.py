@@ -12,7 +12,7 @@ from lodestay.sources.staging import stage
 
 #: Documents whose best language gets less than this share of their bytes' probability are rejected.
 LEAST_LANGUAGE = 0.4
-SHINGLE = 5
+SHINGLE, SIMILARITY = 5, 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -24,7 +24,7 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group stays, the one with the smallest id; of rows with the same id, one."""
-    groups = simhash.near_groups(docs, shingle=SHINGLE)
+    groups = simhash.near_groups(docs, shingle=SHINGLE, similarity=SIMILARITY)
     first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
     return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates(["doc_id"]).select(*docs.columns)
 

@@ -5,6 +5,9 @@ some segment starts a chain in which every prefix of n segments differs in at mo
 segments are equal, the first five differ in one bit at most, so two of the third, fourth and fifth are equal as well.
 Start and equal segments make a join key of 32 bits, 24 of them for a fingerprint, which is selective at any realistic number of
 fingerprints. Rows of a key meet in sorted order, the rest of the chain prunes the pairs, and the full distance is checked last.
+
+Three bits of 64 stand for a similarity of about 0.95; one of 0.8 is ten bits away on average, where no ring of segments is selective. So
+``near_groups(similarity=...)`` also links texts by the minima of their shingles' hashes: bands of minima are join keys, all minima estimate the similarity.
 """
 
 from __future__ import annotations
@@ -29,12 +32,18 @@ BUDGETS = np.array([(n + 1) * DISTANCE // SEGMENTS for n in range(SEGMENTS)], dt
 #: Rows of one key that a task compares in memory; longer runs go the other way (``_ball_edges``).
 RUN_LIMIT = 4096
 _NEAR = 24
-
-
-def fingerprint(tokens: list[bytes], shingle: int) -> int:
-    """The fingerprint of a word sequence, unsigned; zero without words."""
-    if not tokens:
-        return 0
+#: Minima of a text (a byte each; standard error 0.025 at 0.8), and the bands of them that are join keys: a pair at 0.8 misses all with chance 0.0001.
+MINIMA, BANDS, BAND_ROWS = 256, 24, 5
+#: Pairs from this much below the wanted similarity are linked, one standard error of the estimate.
+SLACK = 0.025
+#: Rows of a band that meet in one group; more are dealt to several, in each band differently.
+PART_ROWS = 256
+_random = np.random.default_rng(11)
+_XORS, _FACTORS = _random.integers(1 << 32, size=(MINIMA, 1), dtype=np.uint32), _random.integers(1 << 32, size=(MINIMA, 1), dtype=np.uint32) | np.uint32(1)
+
+
+def _shingle_hashes(tokens: list[bytes], shingle: int):
+    """Hashes of a text's shingles, some thousands at a time."""
     text = b" ".join(tokens)
     ends = np.cumsum([len(t) + 1 for t in tokens]) - 1
     starts = np.concatenate([[0], ends[:-1] + 1])
@@ -43,22 +52,39 @@ def fingerprint(tokens: list[bytes], shingle: int) -> int:
     else:
         starts, ends = starts[:1], ends[-1:]
     hash64 = partial(xxhash.xxh64_intdigest, seed=SEED)
-    counts, step = np.zeros(64, dtype=np.int64), 1 << 14
-    for at in range(0, len(starts), step):
-        pieces = [text[a:b] for a, b in zip(starts[at:at + step].tolist(), ends[at:at + step].tolist())]
-        hashes = np.fromiter(map(hash64, pieces), dtype="<u8", count=len(pieces))
+    for at in range(0, len(starts), 1 << 13):
+        pieces = [text[a:b] for a, b in zip(starts[at:at + (1 << 13)].tolist(), ends[at:at + (1 << 13)].tolist())]
+        yield np.fromiter(map(hash64, pieces), dtype="<u8", count=len(pieces))
+
+
+def _print(tokens: list[bytes], shingle: int, minima: bool) -> tuple[int, bytes | None]:
+    """Fingerprint and, if wanted, a byte of each minimum; zero and none without words."""
+    if not tokens:
+        return 0, None
+    counts, total, least = np.zeros(64, dtype=np.int64), 0, np.full(MINIMA, 0xFFFFFFFF, dtype=np.uint32)
+    for hashes in _shingle_hashes(tokens, shingle):
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
-    return int(np.packbits(counts * 2 > len(starts), bitorder="little").view("<u8")[0])
+        total += len(hashes)
+        if minima:
+            np.minimum(least, (((hashes >> np.uint64(32)).astype(np.uint32) ^ _XORS) * _FACTORS).min(axis=1), out=least)
+    fp = int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
+    return fp, (least * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes() if minima else None
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
-    """``id, fp``: the fingerprint of every whole text, as a signed long. Null and empty texts get zero."""
+def fingerprint(tokens: list[bytes], shingle: int) -> int:
+    """The fingerprint of a word sequence, unsigned; zero without words."""
+    return _print(tokens, shingle, False)[0]
+
+
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, minima: bool = False) -> DataFrame:
+    """``id, fp, minima``: the fingerprint of every whole text, as a signed long, and its minima if wanted. Null and empty texts get zero and none."""
 
     def run(batch):
-        values = np.array([fingerprint(lower_words(t), shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
-        yield pa.record_batch([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
+        made = [_print(lower_words(t), shingle, minima) for t in batch.column(1).to_pylist()]
+        values = np.array([fp for fp, _ in made], dtype=np.uint64)
+        yield pa.record_batch([batch.column(0), pa.array(values.view(np.int64)), pa.array([m for _, m in made], pa.binary())], names=["id", "fp", "minima"])
 
-    return arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, "id long, fp long")
+    return arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, "id long, fp long, minima binary")
 
 
 def _keys(column: str) -> list:
@@ -184,17 +210,93 @@ def links(values: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
     return plain.union(_ball_edges(found.where("b is null")))
 
 
+def _similar_forest(values: np.ndarray, minima: np.ndarray, least: float) -> tuple[list, list]:
+    """Links that join what is connected among some rows: every row asks, once, which of those not yet joined are similar to it."""
+    left, right, rest, waiting = [], [], np.arange(len(values)), []
+    while len(rest) or waiting:
+        if waiting:
+            at = waiting.pop()
+        else:
+            at, rest = int(rest[0]), rest[1:]
+        near = (minima[rest] == minima[at]).mean(axis=1) >= least
+        found = rest[near]
+        left.append(np.full(len(found), values[at]))
+        right.append(values[found])
+        waiting += found.tolist()
+        rest = rest[~near]
+    return left, right
+
+
+def _match_similar(least: float):
+    """Links among rows sorted by group; groups are small, the last one is carried to the next batch."""
+
+    def pairs(group, value, minima):
+        heads = np.flatnonzero(np.concatenate([[True], group[1:] != group[:-1]]))
+        sizes = np.diff(np.append(heads, len(group)))
+        short = np.flatnonzero(np.repeat(sizes <= _NEAR, sizes))
+        left, right = [np.empty(0, np.int64)], [np.empty(0, np.int64)]
+        for d in range(1, min(_NEAR, len(short))):
+            at = np.flatnonzero(group[short[d:]] == group[short[:-d]])
+            if not len(at):
+                break
+            a, b = short[at], short[at + d]
+            hit = (minima[a] == minima[b]).mean(axis=1) >= least
+            left.append(value[a[hit]])
+            right.append(value[b[hit]])
+        for at, size in zip(heads[sizes > _NEAR].tolist(), sizes[sizes > _NEAR].tolist()):
+            a, b = _similar_forest(value[at:at + size], minima[at:at + size], least)
+            left += a
+            right += b
+        a, b = np.concatenate(left), np.concatenate(right)
+        return pa.record_batch([pa.array(a[a != b]), pa.array(b[a != b])], names=["a", "b"])
+
+    def run(batches):
+        group, value, minima = np.empty(0, np.int64), np.empty(0, np.int64), np.empty((0, MINIMA), np.uint8)
+        for batch in batches:
+            group = np.concatenate([group, batch.column(0).to_numpy()])
+            value = np.concatenate([value, batch.column(1).to_numpy()])
+            minima = np.concatenate([minima, np.frombuffer(b"".join(batch.column(2).to_pylist()), np.uint8).reshape(-1, MINIMA)])
+            last = int(np.searchsorted(group, group[-1])) if len(group) else 0
+            if last:
+                yield pairs(group[:last], value[:last], minima[:last])
+                group, value, minima = group[last:], value[last:], minima[last:]
+        if len(group):
+            yield pairs(group, value, minima)
+
+    return run
+
+
+def similar_links(texts: DataFrame, similarity: float) -> DataFrame:
+    """``a, b``: links between the ``fp`` of texts whose shingle sets are estimated to be this similar, from ``fp, minima``.
+
+    Rows that share no band with another are dropped before any minima travel. A band's rows beyond ``PART_ROWS`` are dealt to groups by a hash of
+    row and band, so members of a very large group of copies meet others of it in every band they share.
+    """
+    rows = stage(texts.where("minima is not null").select("fp", "minima").distinct().withColumn("sid", F.xxhash64("minima", "fp")), "minima")
+    bands = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
+    keyed = rows.select("sid", "minima", bands).select("sid", F.xxhash64("band", F.expr(f"substring(minima, band * {BAND_ROWS} + 1, {BAND_ROWS})")).alias("key"))
+    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
+    part = F.pmod(F.xxhash64("sid", "key"), F.ceil(F.col("n") / PART_ROWS))
+    grouped = keyed.join(shared, "key").select("sid", F.xxhash64("key", part).alias("group"))
+    met = grouped.join(rows, "sid").select("group", "fp", "minima").repartition("group").sortWithinPartitions("group")
+    return met.mapInArrow(_match_similar(similarity - SLACK), "a long, b long")
+
+
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                run_limit: int = RUN_LIMIT) -> DataFrame:
+                run_limit: int = RUN_LIMIT, similarity: float | None = None) -> DataFrame:
     """``doc_id, fingerprint, component_id`` for every row.
 
     Documents whose fingerprints are equal or linked, directly or through others, form a component named by its smallest id.
+    With ``similarity``, texts whose shingle sets have about that Jaccard similarity or more are linked as well.
     Null and empty texts have fingerprint zero and are linked like any other; a row with a null id takes part and names no
     component (a component of null ids only has a null name); repeated rows are all kept.
     """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    prints = stage(fingerprints(docs, id_col, text_col, shingle, similarity is not None), "simhash")
     distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
-    roots = components(links(distinct, run_limit)).withColumnRenamed("node", "fp")
+    edges = links(distinct, run_limit)
+    if similarity is not None:
+        edges = edges.union(similar_links(prints, similarity))
+    roots = components(edges).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
     names = rooted.join(named, "root").select("fp", "component_id")

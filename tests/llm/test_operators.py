@@ -71,6 +71,40 @@ def test_crowded_keys_link_the_same(spark):
     assert few == many and len(set(few.values())) < len(few)
 
 
+def test_similar_texts_form_groups(spark, docs, none):
+    """Against the Jaccard similarity of all pairs, where the estimate cannot be in doubt; a group of copies over several parts included."""
+    random = np.random.default_rng(5)
+
+    def edited(words, edits):
+        words = list(words)
+        for at in random.choice(len(words), edits, replace=False):
+            words[at] = f"e{random.integers(10**9)}"
+        return words
+
+    texts = []
+    for base in range(12):
+        words = [f"b{base}w{random.integers(10**6)}" for _ in range(200)]
+        texts += [words] + [edited(words, n) for n in (1, 2, 3, 12, 30)]
+    crowd = [f"c{i}" for i in range(300)]
+    texts += [edited(crowd, 1) for _ in range(700)]
+    frame = spark.createDataFrame([(i, " ".join(w)) for i, w in enumerate(texts)], "doc_id long, text string").repartition(5)
+    group = dict(simhash.near_groups(frame, shingle=5, similarity=0.8).select("doc_id", "component_id").collect())
+    sets = [{tuple(w[i:i + 5]) for i in range(len(w) - 4)} for w in texts[:72]]
+    alike = [[len(a & b) / len(a | b) for b in sets] for a in sets]
+    for i in range(72):
+        for j in range(i):
+            if alike[i][j] >= 0.85:
+                assert group[i] == group[j], (i, j, alike[i][j])
+        if sorted(alike[i])[-2] < 0.68:
+            assert group[i] == i
+            assert sum(g == i for g in group.values()) == 1
+    assert {group[i] for i in range(72, len(texts))} == {72}
+    plain = dict(simhash.near_groups(docs, shingle=5).where("doc_id is not null").select("doc_id", "component_id").collect())
+    wide = dict(simhash.near_groups(docs, shingle=5, similarity=0.8).where("doc_id is not null").select("doc_id", "component_id").collect())
+    assert wide == {**plain, 8: 7}
+    assert rows(simhash.near_groups(none, similarity=0.8)) == []
+
+
 def test_token_counts(docs, none):
     import sentencepiece
 

@@ -34,8 +34,8 @@ RUN_LIMIT = 4096
 _NEAR = 24
 #: Minima of a text (a byte each; standard error 0.025 at 0.8), and the bands of them that are join keys: a pair at 0.8 misses all with chance 0.0001.
 MINIMA, BANDS, BAND_ROWS = 256, 24, 5
-#: Pairs from this much below the wanted similarity are linked, one standard error of the estimate.
-SLACK = 0.025
+#: Pairs from this much below the wanted similarity are linked, two standard errors of the estimate.
+SLACK = 0.05
 #: Rows of a band that meet in one group; more are dealt to several, in each band differently.
 PART_ROWS = 256
 _random = np.random.default_rng(11)

@@ -1,8 +1,10 @@
 """Benchmark decontamination: rare n-gram seeds join texts to test items, Smith-Waterman alignment scores the places they meet.
 
-The n-grams of the items are counted in all texts; the rarer half of an item's are its seeds, so a line that many texts share does not
-join them to an item. Around its seeds a text is aligned with the item word by word, with mismatches and gaps, so edited copies score as well. The
-items' n-grams are broadcast in blocks of bounded size; every block reads all texts.
+The words and n-grams of the items are counted in all texts. An item's most common ones are left out only as far as every text that can reach the
+score still holds one that is kept (``_best_without``); of the lengths that allow this, the one whose kept n-grams occur least gives the item's seeds.
+So a line that many texts share does not join them to an item, and no copy is lost for how often its n-grams occur. Around its seeds a text is aligned
+with the item word by word, with mismatches and gaps, so edited copies score as well; places whose words or word pairs are too few for the score are not
+aligned. The items' n-grams are broadcast in blocks of bounded size; every block reads all texts.
 """
 
 from __future__ import annotations
@@ -14,7 +16,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .common import lower_words, slices
-from .repeats import _numbered, _windows
+from .repeats import _MIX, _numbered, _word_hashes, rolling
 
 GRAM, SCORE = 3, 0.6
 MATCH, MISMATCH, GAP = 2, -1, -1
@@ -36,8 +38,56 @@ def align(item: np.ndarray, text: np.ndarray) -> tuple[int, int]:
     return best, end
 
 
-def _grams(texts: list, size: int):
-    return _windows([lower_words(t) for t in texts], size, 9)
+def _grams(tokens: list[list[bytes]], sizes: list[int]):
+    """The texts' word hashes, where texts start in them (and the end), and for each size the hash, text number and start of every n-gram."""
+    hashes = _word_hashes([w for t in tokens for w in t], 9)
+    counts = np.array([len(t) for t in tokens], dtype=np.int64)
+    begins = np.concatenate([[0], np.cumsum(counts)])
+    owner = np.repeat(np.arange(len(tokens)), counts)
+    start = np.arange(len(hashes)) - begins[owner]
+    made = []
+    for size in sizes:
+        h = rolling(hashes, size)
+        inside = start[: len(h)] + size <= counts[owner[: len(h)]]
+        made.append((size, h[inside].view(np.int64), owner[: len(h)][inside], start[: len(h)][inside]))
+    return hashes, begins, made
+
+
+def _best_without(kept: np.ndarray, length: int, size: int) -> int:
+    """No alignment scores more if it holds none of an item's n-grams that start at ``kept`` (ascending).
+
+    A word that is not matched costs its match. A longer n-gram is broken most cheaply by a gap between two of its words, which breaks all that
+    span it: other words and missing ones cost at least as much as gaps on both their sides. So the cost is the fewest places that lie in all.
+    """
+    if size == 1:
+        return MATCH * (length - len(kept))
+    cuts, last = 0, -1
+    for p in kept.tolist():
+        if p > last:
+            cuts, last = cuts + 1, p + size - 2
+    return MATCH * length + GAP * cuts
+
+
+def _kept(often: np.ndarray, length: int, size: int, least: float) -> np.ndarray | None:
+    """Starts of the n-grams to keep, the most common left out as far as texts without the kept ones stay under ``least``; none if even all are too few."""
+    order = np.argsort(often, kind="stable")
+    if _best_without(np.arange(len(often)), length, size) >= least:
+        return None
+    few, enough = 0, len(order)
+    while enough - few > 1:
+        middle = (few + enough) // 2
+        few, enough = (few, middle) if _best_without(np.sort(order[:middle]), length, size) < least else (middle, enough)
+    return order[:enough]
+
+
+def _may_reach(wanted: np.ndarray, text: np.ndarray, least: float) -> bool:
+    """False only where the item's words, or pairs of them, that the text has are too few for the score."""
+    if MATCH * np.isin(wanted, text).sum() < least:
+        return False
+    if len(wanted) < 2:
+        return True
+    pairs, there = (w[:-1] * _MIX + w[1:] for w in (wanted, text))
+    return MATCH * len(wanted) + GAP * (len(pairs) - np.isin(pairs, there).sum()) >= least
 
 
 def _items(items: DataFrame, item_col: str, text_col: str):
@@ -60,8 +110,8 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
                least_score: float = SCORE, gram: int = GRAM) -> DataFrame:
     """``doc_id, item_id, score, end_word``: each text with each item it holds at ``least_score`` or more of the item's own score.
 
-    ``end_word`` is where the best alignment ends. Null and empty texts and items match nothing; an item shorter than an n-gram is its own
-    seed. Repeated rows are reported each; a row with a null id is reported with that null.
+    ``end_word`` is where the best alignment ends. Seeds have up to ``gram`` words. Null and empty texts and items match nothing.
+    Repeated rows are reported each; a row with a null id is reported with that null.
     """
     rows = _numbered(docs, id_col, text_col)
     kinds = docs.schema[id_col].dataType.simpleString(), items.schema[item_col].dataType.simpleString()
@@ -75,31 +125,34 @@ def find_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_c
 
 def _block_leaks(rows: DataFrame, ids: list, tokens: list, schema: str, least_score: float, gram: int) -> DataFrame:
     context = rows.sparkSession.sparkContext
-    by_size = {}
-    for k, w in enumerate(tokens):
-        by_size.setdefault(min(gram, len(w)), []).append(k)
-    seeds = []
-    for size, members in by_size.items():
-        h, owner, start = _windows([tokens[k] for k in members], size, 9)
-        seeds.append((size, h, np.array(members)[owner]))
-    sizes = sorted(by_size)
-    grams = {size: np.unique(h) for size, h, _ in seeds}
+    least = [least_score * MATCH * len(w) for w in tokens]
+    codes, begins, made = _grams(tokens, list(range(1, gram + 1)))
+    wanted = [codes[a:b] for a, b in zip(begins[:-1].tolist(), begins[1:].tolist())]
+    seeds = {}
+    for size, h, owner, _ in made:
+        whole = {n: _best_without(np.arange(n - size + 1), n, size) for n in {len(w) for w in tokens if len(w) >= size}}
+        sure = np.array([len(w) >= size and (whole[len(w)] < least[k] or size == 1) for k, w in enumerate(tokens)])
+        if sure.any():
+            seeds[size] = h[sure[owner]], owner[sure[owner]]
+    grams = {size: np.unique(h) for size, (h, _) in seeds.items()}
     shared = context.broadcast(grams)
 
-    def hits(part):
-        """Hash, text number and start of the windows that are n-grams of items."""
-        for size in sizes:
-            h, owner, start = _grams(part, size)
-            known = shared.value[size]
+    def hits(tokens, wanted):
+        """Word hashes and where texts start in them; for each size what n-grams of items the texts hold, the text number and start."""
+        codes, begins, made = _grams(tokens, list(wanted))
+        found = []
+        for size, h, owner, start in made:
+            known = wanted[size]
             at = np.minimum(np.searchsorted(known, h), len(known) - 1)
             inside = known[at] == h
-            yield size, at[inside], owner[inside], start[inside]
+            found.append((size, at[inside], owner[inside], start[inside]))
+        return codes, begins, found
 
     def count(batches):
         sums = {size: np.zeros(len(g), dtype=np.int64) for size, g in shared.value.items()}
         for batch in batches:
             for part in slices(batch, 0):
-                for size, at, _, _ in hits(part.column(0).to_pylist()):
+                for size, at, _, _ in hits([lower_words(t) for t in part.column(0).to_pylist()], shared.value)[2]:
                     sums[size] += np.bincount(at, minlength=len(sums[size]))
         for size, n in sums.items():
             some = np.flatnonzero(n)
@@ -108,53 +161,61 @@ def _block_leaks(rows: DataFrame, ids: list, tokens: list, schema: str, least_sc
     totals = {size: np.zeros(len(g), dtype=np.int64) for size, g in grams.items()}
     for r in rows.select("text").mapInArrow(count, "size long, at long, n long").groupBy("size", "at").agg(F.sum("n").alias("n")).toLocalIterator():
         totals[r.size][r.at] = r.n
+    chosen: dict[int, tuple[int, int, np.ndarray]] = {}
+    for size, (h, owner) in seeds.items():
+        edges = np.searchsorted(owner, np.arange(len(tokens) + 1))
+        often = totals[size][np.searchsorted(grams[size], h)]
+        for k, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist())):
+            if a == b:
+                continue
+            kept = _kept(often[a:b], len(tokens[k]), size, least[k])
+            kept = np.arange(b - a) if kept is None else kept
+            uses = int(often[a:b][kept].sum())
+            if k not in chosen or uses < chosen[k][0]:
+                chosen[k] = uses, size, h[a:b][kept]
     plan = {}
-    for size, h, owner in seeds:
-        at = np.searchsorted(grams[size], h)
-        often = totals[size][at]
-        middle = _medians(owner, often)
-        rare = often <= np.array([middle[k] for k in owner.tolist()])
-        order = np.argsort(at[rare], kind="stable")
-        plan[size] = at[rare][order], owner[rare][order]
-    wide = context.broadcast((plan, ids, tokens))
+    for size in seeds:
+        own = [(h, k) for k, (_, n, hs) in chosen.items() if n == size for h in np.unique(hs).tolist()]
+        if own:
+            h, k = (np.array(x, dtype=np.int64) for x in zip(*sorted(own)))
+            plan[size] = h, k
+    wide = context.broadcast((plan, ids, wanted, least))
 
     def score(batches):
-        planned, names, words_of = wide.value
+        planned, names, items, enough = wide.value
+        known = {size: np.unique(h) for size, (h, _) in planned.items()}
         for batch in batches:
             for part in slices(batch, 1):
-                texts, out = part.column(1).to_pylist(), []
+                out = []
                 places: dict[tuple[int, int], list[int]] = {}
-                for size, at, owner, start in hits(texts):
-                    seed_at, seed_item = planned[size]
-                    low, high = np.searchsorted(seed_at, at), np.searchsorted(seed_at, at, side="right")
+                codes, begins, found = hits([lower_words(t) for t in part.column(1).to_pylist()], known)
+                for size, at, owner, start in found:
+                    seed_hash, seed_item = planned[size]
+                    h = known[size][at]
+                    low, high = np.searchsorted(seed_hash, h), np.searchsorted(seed_hash, h, side="right")
                     for doc, s, a, b in zip(owner.tolist(), start.tolist(), low.tolist(), high.tolist()):
                         for item in seed_item[a:b].tolist():
                             places.setdefault((doc, item), []).append(s)
-                held: dict[int, np.ndarray] = {}
                 for (doc, item), at in sorted(places.items()):
-                    if doc not in held:
-                        held[doc] = np.array([hash(w) for w in lower_words(texts[doc])])
-                    text, wanted = held[doc], np.array([hash(w) for w in words_of[item]])
+                    text, own = codes[begins[doc]:begins[doc + 1]], items[item]
+                    # an alignment that reaches the score has no more words of the text than this
+                    around = max(2 * len(own), int(len(own) + (MATCH * len(own) - enough[item]) / -GAP) + 1)
                     best, end = 0, 0
-                    for low, high in _regions(sorted(at), 2 * len(wanted), len(text)):
-                        value, stop = align(wanted, text[low:high])
+                    for low, high in _regions(sorted(at), around, len(text)):
+                        if not _may_reach(own, text[low:high], enough[item]):
+                            continue
+                        value, stop = align(own, text[low:high])
                         if value > best:
                             best, end = value, low + stop
-                    if best >= least_score * MATCH * len(wanted):
-                        out.append((doc, names[item], best / (MATCH * len(wanted)), end))
+                    if best and best >= enough[item]:
+                        out.append((doc, names[item], best / (MATCH * len(own)), end))
                 if out:
-                    docs, items, scores, ends = zip(*out)
-                    yield pa.table({"doc_id": part.column(0).take(pa.array(docs)), "item_id": pa.array(items), "score": pa.array(scores), "end_word": pa.array(ends)}).to_batches()[0]
+                    docs, found_items, scores, ends = zip(*out)
+                    yield pa.table({"doc_id": part.column(0).take(pa.array(docs)), "item_id": pa.array(found_items), "score": pa.array(scores), "end_word": pa.array(ends)}).to_batches()[0]
 
     return stage(rows.select("id", "text").mapInArrow(score, schema), "leaks")
 
 
-def _medians(owner: np.ndarray, often: np.ndarray) -> dict[int, float]:
-    order = np.lexsort((often, owner))
-    names, first, size = np.unique(owner[order], return_index=True, return_counts=True)
-    return dict(zip(names.tolist(), often[order][first + (size - 1) // 2].tolist()))
-
-
 def _regions(places: list[int], around: int, length: int):
     """Stretches of the text around seeds, joined where they meet."""
     low, high = max(0, places[0] - around), places[0] + around

@@ -212,6 +212,31 @@ def test_leaks(spark, docs, none):
     assert rows(decontaminate.find_leaks(none, items)) == [] and rows(decontaminate.find_leaks(docs, items.limit(0))) == []
 
 
+@pytest.mark.parametrize("verbatim", [0, 3])
+def test_edited_copies_are_leaks(spark, verbatim):
+    """Every copy that reaches the score is found, however its n-grams are spread over texts; each is checked by an alignment of the whole text."""
+    random = np.random.default_rng(8)
+    common = [f"c{i}" for i in range(4)]
+    texts, items = [], []
+    for k, length in enumerate((1, 2, 5, 6, 12, 38, 39, 60)):
+        item = [f"i{k}.{i}" if i % 3 else common[int(random.integers(4))] for i in range(1, length + 1)]
+        items.append((k, " ".join(item)))
+        texts += [item] * verbatim
+        for step in (2, 3, 4, 5, 6):
+            texts += [["new" if i % step == step - 1 else w for i, w in enumerate(item)], [w for i, w in enumerate(item) if i % step != step - 1],
+                      [x for i, w in enumerate(item) for x in ([w, "more"] if i % step == step - 1 else [w])]]
+        for share in (0.1, 0.15, 0.2):
+            texts += [["other" if random.random() < share else w for w in item] for _ in range(10)]
+    texts = [[*random.choice(common, 20).tolist(), *t, *random.choice(common, 20).tolist()] for t in texts] + [random.choice(common, 50).tolist() for _ in range(100)]
+    want = set()
+    for k, item in items:
+        wanted = np.array([hash(w) for w in item.split()])
+        want |= {(i, k) for i, t in enumerate(texts) if decontaminate.align(wanted, np.array([hash(w) for w in t]))[0] >= 1.2 * len(wanted)}
+    frame = spark.createDataFrame([(i, " ".join(t)) for i, t in enumerate(texts)], "doc_id long, text string")
+    found = decontaminate.find_leaks(frame, spark.createDataFrame(items, "item_id long, text string")).collect()
+    assert {(r.doc_id, r.item_id) for r in found} == want and len(found) == len(want)
+
+
 def test_vectors(spark):
     random = np.random.default_rng(3)
     base = random.standard_normal((40, 8))

@@ -7,7 +7,8 @@ Start and equal segments make a join key of 32 bits, 24 of them for a fingerprin
 fingerprints. Rows of a key meet in sorted order, the rest of the chain prunes the pairs, and the full distance is checked last.
 
 Three bits of 64 stand for a similarity of about 0.95; one of 0.8 is ten bits away on average, where no ring of segments is selective. So
-``near_groups(similarity=...)`` also links texts by the minima of their shingles' hashes: bands of minima are join keys, all minima estimate the similarity.
+``near_groups(similarity=...)`` also links texts by their shingles: bands of minima of the shingles' hashes are join keys for candidates, and the Jaccard similarity
+of the shingle sets themselves decides.
 """
 
 from __future__ import annotations
@@ -23,6 +24,7 @@ from pyspark.sql import functions as F
 
 from ..sources.staging import stage
 from .common import arrow_map, components, lower_words
+from .repeats import _numbered
 
 SEED = 42
 SEGMENTS = 8
@@ -34,9 +36,9 @@ RUN_LIMIT = 4096
 _NEAR = 24
 #: Minima of a text (a byte each; standard error 0.025 at 0.8), and the bands of them that are join keys: a pair at 0.8 misses all with chance 0.0001.
 MINIMA, BANDS, BAND_ROWS = 256, 24, 5
-#: Pairs from this much below the wanted similarity are linked, two standard errors of the estimate.
-SLACK = 0.05
-#: Rows of a band that meet in one group; more are dealt to several, in each band differently.
+#: Pairs estimated from this much below the wanted similarity are compared exactly, four standard errors of the estimate.
+SLACK = 0.1
+#: Rows that meet in one group; more are dealt to several.
 PART_ROWS = 256
 _random = np.random.default_rng(11)
 _XORS, _FACTORS = _random.integers(1 << 32, size=(MINIMA, 1), dtype=np.uint32), _random.integers(1 << 32, size=(MINIMA, 1), dtype=np.uint32) | np.uint32(1)
@@ -57,18 +59,21 @@ def _shingle_hashes(tokens: list[bytes], shingle: int):
         yield np.fromiter(map(hash64, pieces), dtype="<u8", count=len(pieces))
 
 
-def _print(tokens: list[bytes], shingle: int, minima: bool) -> tuple[int, bytes | None]:
-    """Fingerprint and, if wanted, a byte of each minimum; zero and none without words."""
+def _print(tokens: list[bytes], shingle: int, minima: bool) -> tuple[int, bytes | None, int | None]:
+    """Fingerprint and, if wanted, a byte of each minimum and a hash of the set of shingles and the fingerprint; zero and none without words."""
     if not tokens:
-        return 0, None
-    counts, total, least = np.zeros(64, dtype=np.int64), 0, np.full(MINIMA, 0xFFFFFFFF, dtype=np.uint32)
+        return 0, None, None
+    counts, total, least, parts = np.zeros(64, dtype=np.int64), 0, np.full(MINIMA, 0xFFFFFFFF, dtype=np.uint32), []
     for hashes in _shingle_hashes(tokens, shingle):
         counts += np.unpackbits(hashes.view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").sum(axis=0, dtype=np.int64)
         total += len(hashes)
         if minima:
             np.minimum(least, (((hashes >> np.uint64(32)).astype(np.uint32) ^ _XORS) * _FACTORS).min(axis=1), out=least)
+            parts.append(hashes)
     fp = int(np.packbits(counts * 2 > total, bitorder="little").view("<u8")[0])
-    return fp, (least * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes() if minima else None
+    if not minima:
+        return fp, None, None
+    return fp, (least * np.uint32(0x9E3779B1) >> np.uint32(24)).astype(np.uint8).tobytes(), xxhash.xxh64_intdigest(np.unique(np.concatenate(parts)).tobytes(), seed=fp)
 
 
 def fingerprint(tokens: list[bytes], shingle: int) -> int:
@@ -76,15 +81,26 @@ def fingerprint(tokens: list[bytes], shingle: int) -> int:
     return _print(tokens, shingle, False)[0]
 
 
-def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3, minima: bool = False) -> DataFrame:
-    """``id, fp, minima``: the fingerprint of every whole text, as a signed long, and its minima if wanted. Null and empty texts get zero and none."""
+def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3) -> DataFrame:
+    """``id, fp``: the fingerprint of every whole text, as a signed long. Null and empty texts get zero."""
 
     def run(batch):
-        made = [_print(lower_words(t), shingle, minima) for t in batch.column(1).to_pylist()]
-        values = np.array([fp for fp, _ in made], dtype=np.uint64)
-        yield pa.record_batch([batch.column(0), pa.array(values.view(np.int64)), pa.array([m for _, m in made], pa.binary())], names=["id", "fp", "minima"])
+        values = np.array([fingerprint(lower_words(t), shingle) for t in batch.column(1).to_pylist()], dtype=np.uint64)
+        yield pa.record_batch([batch.column(0), pa.array(values.view(np.int64))], names=["id", "fp"])
 
-    return arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, "id long, fp long, minima binary")
+    return arrow_map(docs.select(F.col(id_col).cast("long"), F.col(text_col).cast("string")), run, "id long, fp long")
+
+
+def _minima(rows: DataFrame, shingle: int) -> DataFrame:
+    """``rid, id, fp, minima, sid`` from ``rid, id, text``; ``sid`` names the set of shingles with the fingerprint. Without words there are no minima."""
+
+    def run(batch):
+        fps, minima, sids = zip(*(_print(lower_words(t), shingle, True) for t in batch.column(2).to_pylist()))
+        signed = [s if s is None or s < 1 << 63 else s - (1 << 64) for s in sids]
+        yield pa.record_batch([batch.column(0), batch.column(1), pa.array(np.array(fps, dtype=np.uint64).view(np.int64)), pa.array(minima, pa.binary()), pa.array(signed, pa.int64())],
+                              names=["rid", "id", "fp", "minima", "sid"])
+
+    return arrow_map(rows.select("rid", F.col("id").cast("long"), "text"), run, "rid long, id long, fp long, minima binary, sid long")
 
 
 def _keys(column: str) -> list:
@@ -266,20 +282,95 @@ def _match_similar(least: float):
     return run
 
 
-def similar_links(texts: DataFrame, similarity: float) -> DataFrame:
-    """``a, b``: links between the ``fp`` of texts whose shingle sets are estimated to be this similar, from ``fp, minima``.
+def _exact_forest(values: np.ndarray, tops: np.ndarray, minima: np.ndarray, sets: list, similarity: float) -> tuple[list, list]:
+    """Links that join what is connected among some rows by their shingle sets; rows of one ``top`` are joined already and not compared."""
+    left, right, rest, waiting = [], [], np.arange(len(values)), []
+    while len(rest) or waiting:
+        if waiting:
+            at = waiting.pop()
+        else:
+            at, rest = int(rest[0]), rest[1:]
+        joined = tops[rest] == tops[at]
+        for k in np.flatnonzero(~joined & ((minima[rest] == minima[at]).mean(axis=1) >= similarity - SLACK)).tolist():
+            a, b = sets[at], sets[rest[k]]
+            both = np.sort(np.concatenate([a, b]), kind="stable")
+            common = int((both[1:] == both[:-1]).sum())
+            if common >= similarity * (len(a) + len(b) - common):
+                joined[k] = True
+                left.append(values[at])
+                right.append(values[rest[k]])
+        waiting += rest[joined].tolist()
+        rest = rest[~joined]
+    return left, right
+
+
+def _match_exact(similarity: float):
+    """Links among rows ``group, sid, top, minima, shingles`` sorted by group; groups are small, the last one is carried on."""
 
-    Rows that share no band with another are dropped before any minima travel. A band's rows beyond ``PART_ROWS`` are dealt to groups by a hash of
-    row and band, so members of a very large group of copies meet others of it in every band they share.
+    def links_of(held):
+        values, tops = (np.array([h[i] for h in held], dtype=np.int64) for i in (0, 1))
+        minima = np.frombuffer(b"".join(h[2] for h in held), np.uint8).reshape(-1, MINIMA)
+        a, b = _exact_forest(values, tops, minima, [np.frombuffer(h[3], "<u8") for h in held], similarity)
+        return pa.record_batch([pa.array(a, pa.int64()), pa.array(b, pa.int64())], names=["a", "b"])
+
+    def run(batches):
+        group, held = None, []
+        for batch in batches:
+            for g, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                if g != group and held:
+                    yield links_of(held)
+                    held = []
+                group = g
+                held.append(row)
+        if held:
+            yield links_of(held)
+
+    return run
+
+
+def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
+    """``node, root``: of the texts ``sid, minima``, those that can be linked to others, in groups beyond which no text can.
+
+    Where few rows share a band, those whose minima are estimated near enough are joined. Where many do, all of them are, without comparing.
     """
-    rows = stage(texts.where("minima is not null").select("fp", "minima").distinct().withColumn("sid", F.xxhash64("minima", "fp")), "minima")
     bands = F.explode(F.sequence(F.lit(0), F.lit(BANDS - 1))).alias("band")
-    keyed = rows.select("sid", "minima", bands).select("sid", F.xxhash64("band", F.expr(f"substring(minima, band * {BAND_ROWS} + 1, {BAND_ROWS})")).alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("n")).where("n > 1")
-    part = F.pmod(F.xxhash64("sid", "key"), F.ceil(F.col("n") / PART_ROWS))
-    grouped = keyed.join(shared, "key").select("sid", F.xxhash64("key", part).alias("group"))
-    met = grouped.join(rows, "sid").select("group", "fp", "minima").repartition("group").sortWithinPartitions("group")
-    return met.mapInArrow(_match_similar(similarity - SLACK), "a long, b long")
+    keyed = texts.select("sid", "minima", bands).select("sid", F.xxhash64("band", F.expr(f"substring(minima, band * {BAND_ROWS} + 1, {BAND_ROWS})")).alias("key"))
+    shared = stage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("sid").alias("first")).where("n > 1"), "bands")
+    few = keyed.join(shared.where(F.col("n") <= PART_ROWS), "key").select("sid", F.col("key").alias("group"))
+    met = few.join(texts, "sid").select("group", "sid", "minima").repartition("group").sortWithinPartitions("group")
+    near = met.mapInArrow(_match_similar(similarity - SLACK), "a long, b long")
+    crowd = keyed.join(shared.where(F.col("n") > PART_ROWS), "key").select(F.col("sid").alias("a"), F.col("first").alias("b"))
+    return components(near.union(crowd.distinct()))
+
+
+def similar_links(rows: DataFrame, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
+    """``a, b``: links between the ``fp`` of texts whose shingle sets are this similar, from ``rid, text`` and ``_minima`` of them.
+
+    The minima only find groups of candidates; the texts of these are read again and the shingle sets compared. A group of up to ``PART_ROWS`` texts
+    is compared whole. A larger one is dealt to parts twice, which joins most copies.
+    """
+    texts = stage(prints.where("minima is not null").groupBy("sid").agg(F.min(F.struct("rid", "fp", "minima")).alias("t")).select("sid", "t.*"), "minima")
+    roots = _candidates(texts, similarity).withColumnRenamed("node", "sid")
+    chosen = stage(roots.join(texts, "sid").select("rid", "sid", "root", "minima"), "chosen")
+
+    def sets(batch):
+        made = [np.unique(np.concatenate(list(_shingle_hashes(lower_words(t), shingle)))).tobytes() for t in batch.column(3).to_pylist()]
+        yield pa.record_batch([*batch.columns[:3], pa.array(made, pa.binary())], names=["sid", "root", "minima", "shingles"])
+
+    read = arrow_map(chosen.join(rows.select("rid", "text"), "rid").select("sid", "root", "minima", "text"), sets, "sid long, root long, minima binary, shingles binary")
+    members = stage(read.withColumn("top", F.col("sid")), "candidates")
+    parts = chosen.groupBy("root").agg(F.ceil(F.count("*") / PART_ROWS).alias("parts"))
+    times = F.explode(F.when(F.col("parts") > 1, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("time")
+    dealt = members.join(parts, "root").select("*", times).select(
+        F.xxhash64("root", "time", F.pmod(F.xxhash64("sid", "time"), F.col("parts"))).alias("group"), "sid", "top", "minima", "shingles")
+
+    def compared(groups, label):
+        return stage(groups.repartition("group").sortWithinPartitions("group").mapInArrow(_match_exact(similarity), "a long, b long"), label)
+
+    found = compared(dealt, "similar")
+    names = texts.select("sid", "fp")
+    ends = found.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b")
+    return ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
@@ -287,15 +378,19 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     """``doc_id, fingerprint, component_id`` for every row.
 
     Documents whose fingerprints are equal or linked, directly or through others, form a component named by its smallest id.
-    With ``similarity``, texts whose shingle sets have about that Jaccard similarity or more are linked as well.
+    With ``similarity``, texts whose shingle sets have that Jaccard similarity or more are linked as well.
     Null and empty texts have fingerprint zero and are linked like any other; a row with a null id takes part and names no
     component (a component of null ids only has a null name); repeated rows are all kept.
     """
-    prints = stage(fingerprints(docs, id_col, text_col, shingle, similarity is not None), "simhash")
+    if similarity is None:
+        prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
+    else:
+        rows = _numbered(docs, id_col, text_col)
+        prints = stage(_minima(rows, shingle), "simhash")
     distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
     edges = links(distinct, run_limit)
     if similarity is not None:
-        edges = edges.union(similar_links(prints, similarity))
+        edges = edges.union(similar_links(rows, prints, shingle, similarity))
     roots = components(edges).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))

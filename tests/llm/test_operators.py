@@ -105,6 +105,21 @@ def test_similar_texts_form_groups(spark, docs, none):
     assert rows(simhash.near_groups(none, similarity=0.8)) == []
 
 
+def test_links_are_exact(spark):
+    """Pairs whose estimates lie on the wrong side: none below the similarity is linked, none from it on is lost."""
+    texts, alike = [], []
+    for k in range(150):
+        for changed in ((36, 44) if k % 2 else (40, 50)):
+            base = [f"{changed}.{k}.{i}" for i in range(404)]
+            texts += [" ".join(base), " ".join(base[:-changed] + [f"{w}new" for w in base[-changed:]])]
+            alike.append((400 - changed) / (400 + changed))
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = dict(simhash.near_groups(frame, shingle=5, similarity=0.8).select("doc_id", "component_id").collect())
+    plain = dict(simhash.near_groups(frame, shingle=5).select("doc_id", "component_id").collect())
+    for i, a in enumerate(alike):
+        assert (group[2 * i + 1] == group[2 * i]) == (a >= 0.8 or plain[2 * i + 1] == plain[2 * i]), a
+
+
 def test_token_counts(docs, none):
     import sentencepiece
 

@@ -343,11 +343,38 @@ def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
     return components(near.union(crowd.distinct()))
 
 
+def _uncompared(members: DataFrame, found: DataFrame) -> DataFrame:
+    """``group`` and the columns ``_match_exact`` reads: every pair of a large candidate group that the links found so far do not join meets in a group.
+
+    The largest part of a candidate group that is joined already need not meet itself: its blocks meet those of the rest, and these each other.
+    """
+    tops = components(found)
+    placed = members.drop("top").join(tops.withColumnRenamed("node", "sid").withColumnRenamed("root", "top"), "sid", "left").withColumn("top", F.coalesce("top", "sid"))
+    parts = placed.groupBy("root", "top").agg(F.count("*").alias("n"))
+    sizes = parts.groupBy("root").agg(F.sum("n").alias("all"), F.max(F.struct("n", "top")).alias("most"))
+    open_ = stage(sizes.where((F.col("all") > PART_ROWS) & (F.col("most.n") < F.col("all"))).select(
+        "root", F.col("most.top").alias("main"), F.ceil(F.col("most.n") / PART_ROWS).alias("mains"),
+        F.ceil((F.col("all") - F.col("most.n")) / PART_ROWS).alias("others")), "uncompared")
+    rows = placed.join(open_, "root").withColumn("is_main", F.col("top") == F.col("main")).withColumn(
+        "own", F.pmod(F.xxhash64("sid", F.lit(2)), F.when(F.col("is_main"), F.col("mains")).otherwise(F.col("others"))))
+
+    def upto(count):
+        return F.sequence(F.lit(0).cast("long"), F.col(count) - 1)
+
+    def pair(kind, a, b):
+        return F.xxhash64("root", F.lit(kind), a, b)
+
+    of_main = F.transform(upto("others"), lambda j: pair("main", F.col("own"), j))
+    of_other = F.concat(F.transform(upto("mains"), lambda i: pair("main", i, F.col("own"))),
+                        F.transform(upto("others"), lambda j: pair("other", F.least("own", j), F.greatest("own", j))))
+    return rows.select(F.explode(F.when(F.col("is_main"), of_main).otherwise(of_other)).alias("group"), "sid", "top", "minima", "shingles")
+
+
 def similar_links(rows: DataFrame, prints: DataFrame, shingle: int, similarity: float) -> DataFrame:
     """``a, b``: links between the ``fp`` of texts whose shingle sets are this similar, from ``rid, text`` and ``_minima`` of them.
 
     The minima only find groups of candidates; the texts of these are read again and the shingle sets compared. A group of up to ``PART_ROWS`` texts
-    is compared whole. A larger one is dealt to parts twice, which joins most copies.
+    is compared whole. A larger one is dealt to parts twice, which joins most copies, and then what is not joined meets block by block.
     """
     texts = stage(prints.where("minima is not null").groupBy("sid").agg(F.min(F.struct("rid", "fp", "minima")).alias("t")).select("sid", "t.*"), "minima")
     roots = _candidates(texts, similarity).withColumnRenamed("node", "sid")
@@ -368,6 +395,7 @@ def similar_links(rows: DataFrame, prints: DataFrame, shingle: int, similarity:
         return stage(groups.repartition("group").sortWithinPartitions("group").mapInArrow(_match_exact(similarity), "a long, b long"), label)
 
     found = compared(dealt, "similar")
+    found = found.union(compared(_uncompared(members, found), "similar"))
     names = texts.select("sid", "fp")
     ends = found.join(names.toDF("a", "x"), "a").join(names.toDF("b", "y"), "b")
     return ends.where("x <> y").select(F.col("x").alias("a"), F.col("y").alias("b")).distinct()

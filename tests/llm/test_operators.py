@@ -120,6 +120,23 @@ def test_links_are_exact(spark):
         assert (group[2 * i + 1] == group[2 * i]) == (a >= 0.8 or plain[2 * i + 1] == plain[2 * i]), a
 
 
+def test_a_star_is_one_group(spark, monkeypatch):
+    """Texts similar to one text and not to each other stay together, though they are far more than meet in a group."""
+    monkeypatch.setattr(simhash, "PART_ROWS", 16)
+    random = np.random.default_rng(6)
+    words = [f"w{i}" for i in range(404)]
+    texts = [" ".join(words)]
+    for k in range(1500):
+        at, edited = int(random.integers(0, 365)), list(words)
+        edited[at:at + 38] = [f"n{k}.{i}" for i in range(38)]
+        texts.append(" ".join(edited))
+    sets = [{tuple(w[i:i + 5]) for i in range(400)} for w in map(str.split, texts)]
+    want = [0] + [0 if len(s & sets[0]) >= 0.8 * len(s | sets[0]) else None for s in sets[1:]]
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    group = dict(simhash.near_groups(frame, shingle=5, similarity=0.8).select("doc_id", "component_id").collect())
+    assert sum(w == 0 for w in want) > 1000 and all(group[i] == 0 for i, w in enumerate(want) if w == 0)
+
+
 def test_token_counts(docs, none):
     import sentencepiece
 

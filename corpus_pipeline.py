@@ -22,17 +22,24 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     return fitting.select(*[F.col(f"rest.`{c}`").alias(c) for c in docs.columns])
 
 
+def _numbered(docs: DataFrame) -> DataFrame:
+    """The rows, each with a number of its own: ids can be null or stand on several rows."""
+    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+
+
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group stays, the one with the smallest id; of rows with the same id, one."""
-    groups = simhash.near_groups(docs, shingle=SHINGLE, similarity=SIMILARITY)
-    first = groups.where("doc_id <=> component_id").select(F.col("doc_id").alias("_keep")).distinct()
-    return docs.join(first, F.col("doc_id").eqNullSafe(F.col("_keep"))).drop("_keep").dropDuplicates(["doc_id"]).select(*docs.columns)
+    """One row of each group stays, the one with the smallest id; null ids are last."""
+    rows = _numbered(docs)
+    groups = simhash.near_groups(rows, shingle=SHINGLE, similarity=SIMILARITY, row_col="_row")
+    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")).select(F.col("first.rid").alias("_row"))
+    return rows.join(first, "_row").select(*docs.columns)
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents that hold a benchmark item go."""
-    leaks = decontaminate.find_leaks(docs, table(spark, sf_dir, "benchmark")).select(F.col("doc_id").alias("_leak")).distinct()
-    return docs.join(leaks, F.col("doc_id").eqNullSafe(F.col("_leak")), "left_anti").select(*docs.columns)
+    """Rows that hold a benchmark item go."""
+    rows = _numbered(docs)
+    leaks = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"), id_col="_row").select(F.col("doc_id").alias("_row")).distinct()
+    return rows.join(leaks, "_row", "left_anti").select(*docs.columns)
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

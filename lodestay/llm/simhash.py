@@ -402,8 +402,10 @@ def similar_links(rows: DataFrame, prints: DataFrame, shingle: int, similarity:
 
 
 def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", shingle: int = 3,
-                run_limit: int = RUN_LIMIT, similarity: float | None = None) -> DataFrame:
-    """``doc_id, fingerprint, component_id`` for every row.
+                run_limit: int = RUN_LIMIT, similarity: float | None = None, row_col: str | None = None) -> DataFrame:
+    """``doc_id, fingerprint, component_id`` for every row; with ``row_col``, a number of the row's own, and ``similarity`` also ``rid, root``.
+
+    ``root`` names a component where ids do not, because they are null or stand on several rows.
 
     Documents whose fingerprints are equal or linked, directly or through others, form a component named by its smallest id.
     With ``similarity``, texts whose shingle sets have that Jaccard similarity or more are linked as well.
@@ -413,7 +415,8 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     if similarity is None:
         prints = stage(fingerprints(docs, id_col, text_col, shingle), "simhash")
     else:
-        rows = _numbered(docs, id_col, text_col)
+        rows = _numbered(docs, id_col, text_col) if row_col is None else docs.select(
+            F.col(row_col).alias("rid"), F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"))
         prints = stage(_minima(rows, shingle), "simhash")
     distinct = stage(prints.groupBy("fp").agg(F.min("id").alias("least_id")), "simhash-distinct")
     edges = links(distinct, run_limit)
@@ -422,6 +425,7 @@ def near_groups(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     roots = components(edges).withColumnRenamed("node", "fp")
     rooted = distinct.join(roots, "fp", "left").withColumn("root", F.coalesce("root", "fp"))
     named = rooted.groupBy("root").agg(F.min("least_id").alias("component_id"))
-    names = rooted.join(named, "root").select("fp", "component_id")
+    names = rooted.join(named, "root").select("fp", "root", "component_id")
     return prints.join(names, "fp").select(
-        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+        F.col("id").alias("doc_id"), F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id",
+        *(["rid", "root"] if row_col is not None else []))

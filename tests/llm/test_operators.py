@@ -137,6 +137,20 @@ def test_a_star_is_one_group(spark, monkeypatch):
     assert sum(w == 0 for w in want) > 1000 and all(group[i] == 0 for i, w in enumerate(want) if w == 0)
 
 
+def test_pipeline_keeps_rows_without_a_key(spark, tmp_path):
+    """Rows with a null or repeated id are documents of their own: only copies and leaks go."""
+    import corpus_pipeline
+
+    made = {k: " ".join(f"{k}.{i}" for i in range(60)) for k in "abcdefg"}
+    rows_in = [(None, made["a"]), (None, made["b"]), (None, made["c"]), (1, made["d"]), (1, made["e"]), (2, made["d"]), (3, made["a"]), (0, made["e"]), (None, made["g"]), (1, made["g"])]
+    frame = spark.createDataFrame(rows_in, "doc_id long, text string")
+    kept = corpus_pipeline.drop_near_copies(spark, frame, "")
+    assert sorted(map(tuple, kept.collect()), key=str) == sorted([(None, made["b"]), (None, made["c"]), (1, made["d"]), (3, made["a"]), (0, made["e"]), (1, made["g"])], key=str)
+    spark.createDataFrame([(1, made["b"]), (2, made["d"])], "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    left = corpus_pipeline.drop_leaks(spark, kept, str(tmp_path))
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([(None, made["c"]), (3, made["a"]), (0, made["e"]), (1, made["g"])], key=str)
+
+
 def test_token_counts(docs, none):
     import sentencepiece
 

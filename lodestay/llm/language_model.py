@@ -2,7 +2,7 @@
 
 Symbols are the most frequent words of the training texts, the end of a text, and buckets of the other words by their last letters. A word's probability
 is that of its symbol, by a softmax over classes of symbols and one inside the class, times its share of its bucket (counts of all
-training words). Features are the last word, the last two, and the word two back (a skip), each hashed to rows of the weight
+training words). Features are the last word, the last two, and the words two and three back (skips), each hashed to rows of the weight
 tables. Training is one pass over all training texts: every task makes gradient steps on its own rows, and the changes of all tasks are averaged by
 their tokens, summed block by block in a shuffle.
 """
@@ -27,8 +27,8 @@ CLASS_ROWS, INNER_ROWS = 1 << 13, 1 << 14
 BLOCKS = 32
 RATE, BATCH = 0.15, 16384
 END = SYMBOLS - 1
-#: Features of the classes: last word, last two, second word back (a skip); inside a class the first of them.
-_TOP_FEATURES, _INNER_FEATURES = (0, 1, 2), (0,)
+#: Features of the classes: last word, last two, second and third word back (skips); inside a class the first three of them.
+_TOP_FEATURES, _INNER_FEATURES = (0, 1, 2, 3), (0, 1, 2)
 
 
 def bucket(word: str) -> int:
@@ -79,9 +79,9 @@ class Model:
     def features(self, symbols: np.ndarray, starts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """Rows of both tables for each token; ``starts`` are the first tokens of texts."""
         since = np.arange(len(symbols)) - np.repeat(starts, np.diff(np.append(starts, len(symbols))))
-        back = [np.where(since >= k, np.concatenate([np.full(k, SYMBOLS), symbols[:-k]])[: len(symbols)], SYMBOLS) for k in (1, 2)]
+        back = [np.where(since >= k, np.concatenate([np.full(k, SYMBOLS), symbols[:-k]])[: len(symbols)], SYMBOLS) for k in (1, 2, 3)]
         wide = SYMBOLS + 1
-        names = [back[0], back[0] * wide + back[1] + wide, back[1]]
+        names = [back[0], back[0] * wide + back[1] + wide, back[1], back[2]]
         marked = np.stack([n * 8 + k for k, n in enumerate(names)], axis=1)
         inner = marked * CLASSES + (symbols // PER_CLASS)[:, None]
         return self._hash(marked, CLASS_ROWS), self._hash(inner, INNER_ROWS)

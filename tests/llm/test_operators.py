@@ -213,6 +213,17 @@ def test_language_model(docs, none):
     assert all(r.train_tokens == total and r.score < 0 for r in made) and rows(language_model.score(none, F.lit(False))) == []
 
 
+@pytest.mark.parametrize("back", [2, 3])
+def test_language_model_uses_words_further_back(back):
+    """A change of the word two or three back changes the features; inside a class the last two words and the one before count as well."""
+    model = language_model.Model({f"w{i}": 9 - i for i in range(9)}, 1, np.zeros((language_model.BUCKETS, 2)), 45, 9)
+    symbols, other = np.arange(6), np.arange(6)
+    other[5 - back] = 8
+    for at, used in enumerate((language_model._TOP_FEATURES, language_model._INNER_FEATURES)):
+        changed = [k for k in used if model.features(symbols, np.array([0]))[at][5, k] != model.features(other, np.array([0]))[at][5, k]]
+        assert changed == ([1, 2] if back == 2 else [3] if at == 0 else [])
+
+
 def test_language_id(docs, none):
     made = language_id.identify(docs, F.lit(False), rest=("size", "h")).collect()
     for r in made:

@@ -96,3 +96,20 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         raise RuntimeError(f"links did not settle in {rounds} rounds")
     leaves = current.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return leaves.union(current.select("v", "v").distinct())
+
+
+def crc_ctes(source: str) -> str:
+    """CTEs of a ``WITH RECURSIVE``, the last of which, ``crcs(s, crc)``, has the crc32 of the UTF-8 of every distinct ``s`` of the query ``source``.
+
+    The crc is linear: each byte adds, by exclusive or, a value that follows from itself and the number of bytes after it.
+    """
+    return f"""coded AS (SELECT DISTINCT s, hex(s) AS code FROM ({source})),
+longest AS (SELECT coalesce(max(length(code)), 0) // 2 AS size FROM coded),
+bits AS (SELECT b, b AS v, 0 AS k FROM range(256) t(b) UNION ALL SELECT b, CASE WHEN v % 2 = 1 THEN xor(v // 2, 3988292384) ELSE v // 2 END, k + 1 FROM bits WHERE k < 8),
+byte_crc AS (SELECT b, v, printf('%02X', b) AS code FROM bits WHERE k = 8),
+moved AS (SELECT 0 AS k, b, code, v FROM byte_crc
+    UNION ALL SELECT k + 1, m.b, m.code, xor(m.v // 256, t.v) FROM moved m JOIN byte_crc t ON t.b = m.v % 256 WHERE k < (SELECT size FROM longest)),
+zeros AS (SELECT 0 AS k, 4294967295 AS v UNION ALL SELECT k + 1, xor(z.v // 256, t.v) FROM zeros z JOIN byte_crc t ON t.b = z.v % 256 WHERE k < (SELECT size FROM longest)),
+bytes AS (SELECT s, unnest(range(length(code) // 2)) AS i, length(code) // 2 AS size, code FROM coded),
+crcs AS (SELECT b.s, xor(xor(bit_xor(m.v), any_value(z.v)), 4294967295) AS crc
+    FROM bytes b JOIN moved m ON m.k = b.size - 1 - b.i AND m.code = substr(b.code, 2 * b.i + 1, 2) JOIN zeros z ON z.k = b.size GROUP BY b.s)"""

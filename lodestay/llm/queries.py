@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import tune
-from . import (decontaminate, language_id, language_model, license_scan, mixing, quality, repeats, sequences, simhash, spelling, token_counts,
-               vector_index)
+from . import (decontaminate, language_id, language_model, license_scan, mixing, prefix_trie, quality, repeats, sequences, simhash, spelling,
+               token_counts, vector_index)
 from .common import crc_bucket, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -101,3 +101,8 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
 @query("op12_spelling", spelling.ORACLE_SQL)
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.group_spellings(table(spark, sf_dir, "documents"))
+
+
+@query("op13_prefix_trie", prefix_trie.ORACLE_SQL)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return prefix_trie.prefix_trie(table(spark, sf_dir, "conversations"))

@@ -82,25 +82,25 @@ def one_edit(words: Words, a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return good
 
 
-def _tiles(left: np.ndarray, right: np.ndarray, run: np.ndarray, length: np.ndarray, same: bool):
+def _tiles(left: np.ndarray, right: np.ndarray, run: np.ndarray, length: np.ndarray, same: bool, size: int):
     """Pairs of tiles of two row lists, each ordered by run and length, that share a run at adjacent lengths."""
-    for i in range(0, len(left), TILE):
-        a = left[i:i + TILE]
-        for j in range(i if same else 0, len(right), TILE):
-            b = right[j:j + TILE]
+    for i in range(0, len(left), size):
+        a = left[i:i + size]
+        for j in range(i if same else 0, len(right), size):
+            b = right[j:j + size]
             if (run[b[0]], length[b[0]]) > (run[a[-1]], length[a[-1]] + 1):
                 break
             if (run[b[-1]], length[b[-1]]) >= (run[a[0]], length[a[0]] - 1):
                 yield a, b, same and i == j
 
 
-def links(words: Words, klass: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool) -> tuple[np.ndarray, np.ndarray]:
+def links(words: Words, klass: np.ndarray, left: np.ndarray, right: np.ndarray, same: bool, tile: int = TILE) -> tuple[np.ndarray, np.ndarray]:
     """Rows of words one edit apart, one of ``left`` and one of ``right``, which agree in their class and in no class before it."""
     key = words.keys[np.arange(len(klass)), klass]
     run = np.unique(np.rec.fromarrays([klass, key]), return_inverse=True)[1]
     left, right = (rows[np.lexsort((words.length[rows], run[rows]))] for rows in (left, right))
     found = [(left[:0], left[:0])]
-    for a, b, own in _tiles(left, right, run, words.length, same):
+    for a, b, own in _tiles(left, right, run, words.length, same, tile):
         distance = words.squares[a][:, None] + words.squares[b] - 2 * (words.counts[a] @ words.counts[b].T)
         x, y = np.nonzero(distance <= 2)
         if own:
@@ -128,7 +128,7 @@ def _block(block: pa.Table) -> pa.Table:
     order = np.lexsort((rank[other], -counts[other], owner))
     owner, other = owner[order], other[order]
     owners, first, times = np.unique(owner, return_index=True, return_counts=True)
-    return pa.table({"word": [names[k] for k in owners.tolist()], "n_near": pa.array(times.astype(np.int64)),
+    return pa.table({"word": pa.array([names[k] for k in owners.tolist()], pa.string()), "n_near": pa.array(times.astype(np.int64)),
                      "form": pa.array([names[k] for k in other[first].tolist()], pa.string()), "form_n": pa.array(counts[other[first]])})
 
 

@@ -53,7 +53,9 @@ class Grid:
 
 
 def _unit(rows: np.ndarray) -> np.ndarray:
+    """Rows of length one; divided by their largest component first, so that no square of a finite one is lost or infinite."""
     rows = rows.astype(np.float64)
+    rows = rows / np.abs(rows).max(axis=1, keepdims=True)
     return rows / np.linalg.norm(rows, axis=1, keepdims=True)
 
 

@@ -309,3 +309,16 @@ def test_vectors(spark):
     assert 0.9 * (near.sum() - len(good)) <= found <= near.sum() - len(good)
     assert all(got[i].n_links == 0 and got[i].component_id == i and got[i].kept for i in range(201, 207))
     assert got[200].component_id == 0 and not got[200].kept and rows(vector_index.link_vectors(frame.limit(0))) == []
+
+
+def test_tiny_and_huge_vectors_change_no_link(spark):
+    random = np.random.default_rng(5)
+    base = random.standard_normal((20, 8))
+    made = [(i, base[i % 20] + random.standard_normal(8) * 0.02) for i in range(60)]
+    made += [(60, np.full(8, 1e-200)), (61, np.full(8, 5e-324)), (62, np.full(8, 1e200)), (63, np.full(8, 1.7e308)), (64, base[0] * 1e-210), (65, base[1] * 1e250), (66, np.array([1e-200] + [1.0] * 7))]
+    unit = np.array([v / np.abs(v).max() for _, v in made])
+    unit /= np.linalg.norm(unit, axis=1, keepdims=True)
+    near = unit @ unit.T >= 0.98
+    frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in made], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: r.n_links for r in vector_index.link_vectors(frame).collect()}
+    assert [got[i] for i in range(len(made))] == (near.sum(axis=1) - 1).tolist() and got[60] >= 3 and got[64] >= 2

@@ -12,7 +12,6 @@ from lodestay.sources.staging import stage
 
 #: Documents whose best language gets less than this share of their bytes' probability are rejected.
 LEAST_LANGUAGE = 0.4
-SHINGLE, SIMILARITY = 5, 0.8
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -23,32 +22,35 @@ def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
 
 def _numbered(docs: DataFrame) -> DataFrame:
-    """The rows, each with a number of its own: ids can be null or stand on several rows."""
-    return stage(docs.withColumn("_row", F.monotonically_increasing_id()), "pipeline-rows")
+    """``row, doc``: the rows, each with a number of its own; the id where it is one, else numbers fixed in a staged copy."""
+    if docs.groupBy("doc_id").count().where("doc_id is null or count > 1").isEmpty():
+        return docs.select(F.col("doc_id").cast("long").alias("row"), F.struct(*docs.columns).alias("doc"))
+    return stage(docs.select(F.monotonically_increasing_id().alias("row"), F.struct(*docs.columns).alias("doc")), "pipeline-rows")
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One row of each group stays, the one with the smallest id; null ids are last."""
+    """One row of each group stays, the one with the smallest id; null ids are last, and rows of one id stand in any fixed order."""
     rows = _numbered(docs)
-    groups = simhash.near_groups(rows, shingle=SHINGLE, similarity=SIMILARITY, row_col="_row")
-    first = groups.groupBy("root").agg(F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "rid")).alias("first")).select(F.col("first.rid").alias("_row"))
-    return rows.join(first, "_row").select(*docs.columns)
+    groups = simhash.near_groups(rows.select("row", "doc.text"), id_col="row").select(F.col("doc_id").alias("row"), "component_id")
+    ids = rows.select("row", F.col("doc.doc_id").alias("id")).join(groups, "row")
+    first = ids.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull(), "id", "row")).alias("first")).select("first.row")
+    return rows.join(first, "row").select("doc.*")
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rows that hold a benchmark item go."""
+    """Rows that hold a benchmark item go; rows are told apart by their own numbers, so null and repeated ids lose nothing else."""
     rows = _numbered(docs)
-    leaks = decontaminate.find_leaks(rows, table(spark, sf_dir, "benchmark"), id_col="_row").select(F.col("doc_id").alias("_row")).distinct()
-    return rows.join(leaks, "_row", "left_anti").select(*docs.columns)
+    leaks = decontaminate.find_leaks(rows.select("row", "doc.text"), table(spark, sf_dir, "benchmark"), id_col="row").select(F.col("doc_id").alias("row")).distinct()
+    return rows.join(leaks, "row", "left_anti").select("doc.*")
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents as often as the mix takes them; the last taking of one may end inside it."""
+    """Documents as often as the mix takes them; the last taking of one may end inside it. Null and empty texts are never taken."""
     return mixing.repeated(docs)
 
 
 def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids in files; the documents read back from them."""
+    """Token ids in files; the documents read back from them. Null and empty texts are their end id alone, null ids come first."""
     return sequences.read_documents(sequences.write_sequences(docs, tokenizer("byte_bpe_50k.json")))
 
 

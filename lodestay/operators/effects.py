@@ -14,8 +14,7 @@ from .regression import INTERCEPT, Fit
 
 def coefficients(fit: Fit, name: str | None = None) -> DataFrame:
     """by, model, term, source, level, position, coef, se, t, p; aliased terms have null se, t and p."""
-    table = fit.table.frame if name is None else fit.of(name)
-    return table.select(*fit.by, "model", F.inline("terms"))
+    return fit.coefficients(name)
 
 
 def significant_terms(fit: Fit, name: str | None = None, alpha: float = 0.05) -> DataFrame:

@@ -1,19 +1,13 @@
 """Log-linear models from sufficient statistics.
 
-All models of a run, for all groups (cities), come from two narrow passes over the training rows:
-
-1. per combination of categories: row count and the sum of every numeric column (plain ``groupBy``);
-2. cross products of the numeric columns, as one partial matrix per task, shifted by the means of pass 1.
-
-Together they hold the whole ``X'X`` and ``X'y`` including every dummy column, because a dummy times a
-number is a sum inside a category. The normal equations of one group (terms x terms) are solved in one task
-per group; the rows themselves never meet.
+All models of a run, for all groups (cities), come from two narrow passes over the training rows (``moments``). The largest
+category is eliminated (``elimination``), so a group's normal equations have the size of the other terms; the rows themselves never meet.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping, Sequence
-from dataclasses import dataclass
+from collections.abc import Mapping, Sequence
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pandas as pd
@@ -22,261 +16,30 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..errors import DataError, RuleError, require_columns, require_rows
-from ..functions.student_t import t_quantile, two_sided_p
-from ..rules import MOST_COMMON, ModelSpec
-from ..sources.staging import stage
+from ..functions.student_t import t_quantile
+from ..rules import ModelSpec
+from .elimination import eliminated, per_group, solve_models
 from .lookup import Lookup, lookup_join, pin
+from .moments import INTERCEPT, Gram, Moments, feature, independent, log_problems, moments, response
 from .quantiles import group_quantiles
 
-INTERCEPT = "(Intercept)"
-ALIAS_TOLERANCE = 1e-11
-
-_TERM = T.StructType([
-    T.StructField("term", T.StringType()), T.StructField("source", T.StringType()),
-    T.StructField("level", T.StringType()), T.StructField("position", T.IntegerType()),
-    T.StructField("coef", T.DoubleType()), T.StructField("se", T.DoubleType()),
-    T.StructField("t", T.DoubleType()), T.StructField("p", T.DoubleType()),
-])
-_BASE = T.StructType([T.StructField("source", T.StringType()), T.StructField("level", T.StringType())])
-
-
 # ---------------------------------------------------------------- log transforms
 
 def log_transforms(df: DataFrame, spec: ModelSpec, strict: bool = True) -> DataFrame:
     """log1p of the listed predictors in place, and ``log_<target>`` for a log model."""
     require_columns(df, [*spec.log1p_predictors, spec.target], "log_transforms")
-    require_rows(df, _log_problems([spec]), strict)
+    require_rows(df, log_problems([spec]), strict)
     out = df.withColumns({c: F.log1p(F.col(c).cast("double")) for c in spec.log1p_predictors})
     return out.withColumn(spec.response, F.ln(F.col(spec.target).cast("double"))) if spec.log_scale else out
 
 
-def _log_problems(specs: Sequence[ModelSpec], target: bool = True) -> dict[str, Column]:
-    problems: dict[str, Column] = {}
-    for spec in specs:
-        for c in spec.log1p_predictors:
-            problems[f"missing value in column {c}"] = F.col(c).isNull()
-            problems[f"value <= -1 in column {c}"] = F.col(c) <= -1
-        if target:
-            problems[f"missing value in column {spec.target}"] = F.col(spec.target).isNull()
-            if spec.log_scale:
-                problems[f"value <= 0 in column {spec.target}"] = F.col(spec.target) <= 0
-    return problems
-
-
-def feature(column: str, spec: ModelSpec) -> Column:
-    """A numeric predictor as it enters the model."""
-    value = F.col(column).cast("double")
-    return F.log1p(value) if column in spec.log1p_predictors else value
-
-
-def response(spec: ModelSpec) -> Column:
-    value = F.col(spec.target).cast("double")
-    return F.ln(value) if spec.log_scale else value
-
-
-# ---------------------------------------------------------------- layout
-
-@dataclass(frozen=True)
-class Layout:
-    """Which numeric columns exist (position 0 is the constant 1) and which predictors are categories."""
-
-    categories: tuple[str, ...]
-    numeric: tuple[tuple[str, bool], ...]
-    responses: tuple[tuple[str, bool], ...]
-
-    @classmethod
-    def of(cls, df: DataFrame, specs: Sequence[ModelSpec]) -> "Layout":
-        for spec in specs:
-            require_columns(df, [spec.target, *spec.predictors], f"model {spec.name}")
-        text = {f.name for f in df.schema.fields if isinstance(f.dataType, T.StringType)}
-        names = dict.fromkeys(p for s in specs for p in s.predictors if p in text)
-        numeric = dict.fromkeys((p, p in s.log1p_predictors) for s in specs for p in s.predictors if p not in text)
-        return cls(tuple(names), tuple(numeric), tuple(dict.fromkeys((s.target, s.log_scale) for s in specs)))
-
-    @property
-    def width(self) -> int:
-        return 1 + len(self.numeric) + len(self.responses)
-
-    def columns(self) -> list[Column]:
-        made = [F.lit(1.0)]
-        made += [F.log1p(F.col(c).cast("double")) if logged else F.col(c).cast("double") for c, logged in self.numeric]
-        made += [F.ln(F.col(c).cast("double")) if logged else F.col(c).cast("double") for c, logged in self.responses]
-        return [c.alias(f"z{i}") for i, c in enumerate(made)]
-
-    def index(self, column: str, spec: ModelSpec) -> int:
-        return 1 + self.numeric.index((column, column in spec.log1p_predictors))
-
-    def response_index(self, spec: ModelSpec) -> int:
-        return 1 + len(self.numeric) + self.responses.index((spec.target, spec.log_scale))
-
-
-# ---------------------------------------------------------------- sufficient statistics
-
-@dataclass(frozen=True)
-class Moments:
-    """``table``: by, levels, sums (one row per category combination) or i, j, value (cross products)."""
-
-    layout: Layout
-    by: tuple[str, ...]
-    shift: tuple[float, ...]
-    table: DataFrame
-
-
-def _checks(specs: Sequence[ModelSpec], layout: Layout) -> dict[str, Column]:
-    problems = {f"missing value in column {c}": F.col(c).isNull()
-                for c in dict.fromkeys([*layout.categories, *(c for c, _ in layout.numeric)])}
-    return problems | _log_problems(specs)
-
-
-def moments(df: DataFrame, specs: Sequence[ModelSpec], by: Sequence[str] = (), *, shift: Sequence[float] | None = None,
-            strict: bool = True) -> Moments:
-    """Sufficient statistics of all ``specs`` per group. ``shift`` reuses the shift of other moments."""
-    layout = Layout.of(df, specs)
-    by = tuple(by)
-    z = [f"z{i}" for i in range(layout.width)]
-    problems = _checks(specs, layout)
-    # one bit per check, folded into the first pass
-    masks = []
-    for start in range(0, len(problems), 60):
-        part = list(problems.values())[start:start + 60]
-        bits = [F.when(bad, F.lit(1 << i)).otherwise(F.lit(0)).cast("long") for i, bad in enumerate(part)]
-        total = bits[0]
-        for b in bits[1:]:
-            total = total + b
-        masks.append(total.alias(f"mask{len(masks)}"))
-    rows = df.select(*by, *layout.categories, *layout.columns(), *masks)
-    cells = stage(
-        rows.groupBy(*by, *layout.categories)
-        .agg(*[F.sum(c).alias(c) for c in z], *[F.bit_or(f"mask{i}").alias(f"mask{i}") for i in range(len(masks))]),
-        "moment-cells")
-    overall = cells.agg(*[F.sum(c).alias(c) for c in z],
-                        *[F.bit_or(f"mask{i}").alias(f"mask{i}") for i in range(len(masks))]).first()
-    if overall["z0"] is None:
-        raise DataError("no rows to learn from")
-    names = list(problems)
-    hit = [names[60 * m + i] for m in range(len(masks)) for i in range(60) if (overall[f"mask{m}"] or 0) >> i & 1]
-    if hit and strict:
-        raise DataError("; ".join(hit))
-    if shift is None:
-        shift = [0.0] + [float((overall[c] or 0.0) / overall["z0"]) for c in z[1:]]
-
-    partial = T.StructType([df.schema[c] for c in by] + [
-        T.StructField("i", T.IntegerType()), T.StructField("j", T.IntegerType()), T.StructField("value", T.DoubleType())])
-    offsets = np.array(shift)
-    upper_i, upper_j = np.triu_indices(layout.width)
-    keys = list(by)
-
-    def cross_products(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        sums: dict[tuple, np.ndarray] = {}
-        for batch in batches:
-            values = batch[z].to_numpy(dtype=float) - offsets
-            groups = (batch.groupby(keys, dropna=False, sort=False).indices.items() if keys
-                      else [((), np.arange(len(batch)))])
-            for name, where in groups:
-                name = name if isinstance(name, tuple) else (name,)
-                part = values[where]
-                product = part.T @ part
-                sums[name] = sums[name] + product if name in sums else product
-        for name, total in sums.items():
-            out = pd.DataFrame({"i": upper_i, "j": upper_j, "value": total[upper_i, upper_j]})
-            for position, key in enumerate(keys):
-                out.insert(position, key, [name[position]] * len(out))
-            yield out
-
-    block = (rows.select(*by, *z).mapInPandas(cross_products, partial)
-             .groupBy(*by, "i", "j").agg(F.sum("value").alias("value")))
-    levels = F.array(*[F.col(c).cast("string") for c in layout.categories]).cast("array<string>")
-    sums = F.array(*[F.col(c) for c in z])
-    empty = F.lit(None)
-    table = cells.select(
-        *by, levels.alias("levels"), sums.alias("sums"), empty.cast("int").alias("i"), empty.cast("int").alias("j"),
-        empty.cast("double").alias("value"),
-    ).unionByName(block.select(
-        *by, empty.cast("array<string>").alias("levels"), empty.cast("array<double>").alias("sums"), "i", "j", "value"))
-    return Moments(layout, by, tuple(shift), table)
-
-
-class _Gram:
-    """The cross-product matrix of one group over [1, numerics, responses, dummies]."""
-
-    def __init__(self, pdf: pd.DataFrame, layout: Layout, shift: Sequence[float]):
-        width, s = layout.width, np.array(shift)
-        block = pdf[pdf["i"].notna()]
-        core = np.zeros((width, width))
-        i, j = block["i"].to_numpy(dtype=int), block["j"].to_numpy(dtype=int)
-        core[i, j] = block["value"].to_numpy(dtype=float)
-        core[j, i] = core[i, j]
-        cells = pdf[pdf["i"].isna()]
-        names = [list(v) for v in cells["levels"]]
-        raw = np.array([np.asarray(v, dtype=float) for v in cells["sums"]]).reshape(len(names), width)
-        sums = raw - np.outer(raw[:, 0], s)
-        sums[:, 0] = raw[:, 0]
-        self.levels = [sorted({n[c] for n in names}) for c in range(len(layout.categories))]
-        self.columns = {(c, level): width + at for at, (c, level) in enumerate(
-            (c, level) for c in range(len(layout.categories)) for level in self.levels[c])}
-        matrix = np.zeros((width + len(self.columns),) * 2)
-        matrix[:width, :width] = core
-        for name, row in zip(names, sums):
-            at = [self.columns[c, level] for c, level in enumerate(name)]
-            for a in at:
-                matrix[a, :width] += row
-                matrix[:width, a] += row
-                for b in at:
-                    matrix[a, b] += row[0]
-        self.matrix = matrix
-        self.layout = layout
-        self.n = float(core[0, 0])
-
-    def base(self, category: str, wanted: str | None) -> str:
-        c = self.layout.categories.index(category)
-        if wanted is None:
-            return self.levels[c][0]
-        if wanted == MOST_COMMON:
-            return min(self.levels[c], key=lambda v: (-self.matrix[0, self.columns[c, v]], v))
-        if wanted not in self.levels[c]:
-            raise ValueError(f"reference level {wanted} does not occur in {category}")
-        return wanted
-
-    def design(self, spec: ModelSpec, references: Mapping[str, str]):
-        """Terms of a model as (term, source, level, matrix column), and the base level per category."""
-        terms, bases = [(INTERCEPT, INTERCEPT, None, 0)], []
-        for p in spec.predictors:
-            if p not in self.layout.categories:
-                terms.append((p, p, None, self.layout.index(p, spec)))
-                continue
-            c = self.layout.categories.index(p)
-            base = self.base(p, references.get(p))
-            bases.append((p, base))
-            terms += [(f"{p}: {v}", p, v, self.columns[c, v]) for v in self.levels[c] if v != base]
-        return terms, bases
-
-    def column_of(self, source: str, level: str | None, spec: ModelSpec) -> int | None:
-        if source == INTERCEPT:
-            return 0
-        if level is None:
-            return self.layout.index(source, spec)
-        return self.columns.get((self.layout.categories.index(source), level))
-
-
-def _independent(gram: np.ndarray) -> list[int]:
-    """Columns, in order, that are not linear combinations of earlier ones."""
-    work = gram.copy()
-    size = np.diag(gram).copy()
-    kept = []
-    for c in range(len(work)):
-        if size[c] > 0 and work[c, c] > ALIAS_TOLERANCE * size[c]:
-            kept.append(c)
-            work[c + 1:, c + 1:] -= np.outer(work[c + 1:, c], work[c, c + 1:]) / work[c, c]
-    return kept
-
-
-def _solve(gram: _Gram, spec: ModelSpec, references: Mapping[str, str]):
+def _solve(gram: Gram, spec: ModelSpec, references: Mapping[str, str]):
     terms, bases = gram.design(spec, references)
     columns = [t[3] for t in terms]
     y = gram.layout.response_index(spec)
     xx = gram.matrix[np.ix_(columns, columns)]
     xy = gram.matrix[columns, y]
-    kept = _independent(xx)
+    kept = independent(xx)
     scale = 1.0 / np.sqrt(np.diag(xx)[kept])
     inverse = np.linalg.inv(xx[np.ix_(kept, kept)] * np.outer(scale, scale)) * np.outer(scale, scale)
     beta = np.zeros(len(terms))
@@ -287,58 +50,48 @@ def _solve(gram: _Gram, spec: ModelSpec, references: Mapping[str, str]):
     return terms, bases, kept, beta, covariance, residual
 
 
-def _unshift(terms, layout: Layout, spec: ModelSpec, shift, beta, covariance):
-    """Coefficients and inverse for the columns as they are, not shifted."""
-    back = np.eye(len(terms))
-    for at, (_, source, level, _) in enumerate(terms):
-        if at and level is None:
-            back[0, at] = -shift[layout.index(source, spec)]
-    beta = back @ beta
-    beta[0] += shift[layout.response_index(spec)]
-    return beta, back @ covariance @ back.T
-
-
 # ---------------------------------------------------------------- fitting
 
 @dataclass(frozen=True)
 class Fit:
-    """Fitted models, one row per group and model, ready to be joined to tables of any size."""
+    """Fitted models, ready to be joined to tables of any size.
+
+    ``table`` has one row per group and model, with the terms but for the levels of its eliminated category. Those are rows of ``levels``, each with
+    its coefficient and what it adds to an interval; the base level is among them.
+    """
 
     by: tuple[str, ...]
     specs: tuple[ModelSpec, ...]
     categories: tuple[str, ...]
     table: Lookup
+    levels: Lookup
+    eliminated: Mapping[str, str | None]
 
     def spec(self, name: str) -> ModelSpec:
         for s in self.specs:
             if s.name == name:
                 return s
-        raise RuleError(f"no fit named {name}, available names: {', '.join(s.name for s in self.specs)}")
+        raise RuleError(f"no fit named {name}; fitted are {', '.join(s.name for s in self.specs)}")
 
     def of(self, name: str) -> DataFrame:
         self.spec(name)
         return self.table.frame.filter(F.col("model") == name)
 
+    def coefficients(self, name: str | None = None) -> DataFrame:
+        """by, model, term, source, level, position, coef, se, t, p of all terms."""
+        table = self.table.frame if name is None else self.of(name)
+        terms = table.select(*self.by, "model", F.inline("terms"))
+        levels = self.levels.frame.filter(~F.col("is_base") & (F.lit(True) if name is None else F.col("model") == name))
+        return terms.unionByName(levels.select(*terms.columns))
+
     def numeric(self, name: str) -> list[str]:
         return [p for p in self.spec(name).predictors if p not in self.categories]
 
     def lookup(self, frame: DataFrame) -> Lookup:
-        """A table derived row by row from the fit: as small as the fit itself."""
+        """A table with no more rows than the fit itself."""
         return Lookup(frame, self.table.small)
 
 
-def _fit_schema(df: DataFrame, by: Sequence[str]) -> T.StructType:
-    return T.StructType([df.schema[c] for c in by] + [
-        T.StructField("model", T.StringType()), T.StructField("n", T.LongType()), T.StructField("dof", T.LongType()),
-        T.StructField("sigma2", T.DoubleType()), T.StructField("terms", T.ArrayType(_TERM)),
-        T.StructField("bases", T.ArrayType(_BASE)),
-        T.StructField("covariance", T.ArrayType(T.ArrayType(T.DoubleType())))])
-
-
-def _per_group(table: DataFrame, by: Sequence[str]):
-    return table.groupBy(*by) if by else table.withColumn("__all", F.lit(1)).groupBy("__all")
-
-
 def fit_models(df: DataFrame, specs: Sequence[ModelSpec], *, by: Sequence[str] = (),
                reference_levels: Mapping[str, str] | None = None, strict: bool = True,
                learned: Moments | None = None) -> Fit:
@@ -348,36 +101,13 @@ def fit_models(df: DataFrame, specs: Sequence[ModelSpec], *, by: Sequence[str] =
     first level in order. ``learned`` reuses moments of the same rows.
     """
     specs, by = tuple(specs), tuple(by)
-    references = dict(reference_levels or {})
     learned = learned or moments(df, specs, by, strict=strict)
-    layout, shift = learned.layout, learned.shift
-    schema = _fit_schema(df, by)
-    keys = list(by)
-
-    def solve(pdf: pd.DataFrame) -> pd.DataFrame:
-        gram = _Gram(pdf, layout, shift)
-        rows = []
-        for spec in specs:
-            terms, bases, kept, beta, covariance, residual = _solve(gram, spec, references)
-            beta, covariance = _unshift(terms, layout, spec, shift, beta, covariance)
-            dof = int(round(gram.n)) - len(kept)
-            sigma2 = residual / dof if dof > 0 else float("nan")
-            listed = []
-            for at, (term, source, level, _) in enumerate(terms):
-                alias = at not in kept
-                se = float(np.sqrt(max(sigma2 * covariance[at, at], 0.0))) if dof > 0 and not alias else None
-                t = None if se is None else (float(beta[at]) / se if se > 0 else float("inf"))
-                p = None if t is None else two_sided_p(t, dof)
-                listed.append({"term": term, "source": source, "level": level, "position": at,
-                               "coef": float(beta[at]), "se": se, "t": t, "p": p})
-            rows.append({**{k: pdf[k].iloc[0] for k in keys}, "model": spec.name, "n": int(round(gram.n)), "dof": dof,
-                         "sigma2": sigma2, "terms": listed,
-                         "bases": [{"source": s, "level": v} for s, v in bases], "covariance": covariance.tolist()})
-        return pd.DataFrame(rows, columns=[f.name for f in schema.fields])
-
-    solved = pin(_per_group(learned.table, by).applyInPandas(solve, schema), "fits")
-    fit = Fit(by, specs, layout.categories, solved)
-    return _with_smearing(df, fit)
+    gone = eliminated(learned, specs)
+    tables = [solve_models(learned, [s for s in specs if gone[s.name] == c], c, dict(reference_levels or {})) for c in dict.fromkeys(gone.values())]
+    solved, levels = tables[0]
+    for more, other in tables[1:]:
+        solved, levels = solved.unionByName(more), levels.unionByName(other)
+    return _with_smearing(df, Fit(by, specs, learned.layout.categories, pin(solved, "fits"), pin(levels, "levels"), gone))
 
 
 def _with_smearing(df: DataFrame, fit: Fit) -> Fit:
@@ -385,7 +115,7 @@ def _with_smearing(df: DataFrame, fit: Fit) -> Fit:
     logged = [s for s in fit.specs if s.log_scale]
     table = fit.table.frame
     if not logged:
-        return Fit(fit.by, fit.specs, fit.categories, Lookup(table.withColumn("smearing", F.lit(1.0)), fit.table.small))
+        return replace(fit, table=Lookup(table.withColumn("smearing", F.lit(1.0)), fit.table.small))
     scored = linear_predictors(df, fit, [s.name for s in logged])
     means = scored.groupBy(*fit.by).agg(
         *[F.avg(F.exp(response(s) - F.col(f"linear_{s.name}"))).alias(s.name) for s in logged])
@@ -393,45 +123,93 @@ def _with_smearing(df: DataFrame, fit: Fit) -> Fit:
     factors = pin(means.select(*fit.by, F.inline(pairs)), "smearing")
     joined = lookup_join(table, factors, [*fit.by, "model"], null_safe=True)
     joined = joined.withColumn("smearing", F.coalesce("smearing", F.lit(1.0)))
-    return Fit(fit.by, fit.specs, fit.categories, pin(joined, "fits"))
+    return replace(fit, table=pin(joined, "fits"))
 
 
 # ---------------------------------------------------------------- prediction
 
-def _level_table(fit: Fit, name: str, category: str, value: Column, alias: str) -> DataFrame:
-    """by, category, <alias>: one row per level of one category, the base included."""
-    fits = fit.of(name)
-    terms = (fits.select(*fit.by, F.inline("terms")).filter((F.col("source") == category) & F.col("level").isNotNull())
-             .select(*fit.by, F.col("level").alias(category), value.alias(alias)))
-    neutral = F.lit(0.0) if alias.startswith("__l") else F.lit(-1)
-    bases = (fits.select(*fit.by, F.inline("bases")).filter(F.col("source") == category)
-             .select(*fit.by, F.col("level").alias(category), neutral.alias(alias)))
-    return terms.unionByName(bases)
+def _of_models(value: Column, names: Sequence[str], alias: str) -> list[Column]:
+    return [F.first(F.when(F.col("model") == n, value), ignorenulls=True).alias(f"{alias}_{n}") for n in names]
 
 
-def linear_predictors(df: DataFrame, fit: Fit, names: Sequence[str] | None = None) -> DataFrame:
-    """Add ``linear_<model>``: the prediction on the model's own scale; null for a level without a coefficient."""
-    names = list(names or [s.name for s in fit.specs])
-    out, made, gone = df, {}, []
+def _group_table(fit: Fit, names: Sequence[str], smearing: bool, interval: str | None, quantile: Column | None) -> Lookup:
+    """One row a group: every model's intercept and numeric coefficients, and what intervals of one of them need."""
+    plain = F.transform(F.filter("terms", lambda t: t["level"].isNull()), lambda t: t["coef"])
+    wanted = _of_models(plain, names, "__b") + (_of_models(F.col("smearing"), names, "__s") if smearing else [])
+    table = fit.table.frame
+    if interval is not None:
+        table = table.withColumn("__t", quantile)
+        for column, alias in (("factor", "__f"), ("base_at", "__g"), ("base_weight", "__w"), ("sigma2", "__v"), ("__t", "__t")):
+            wanted += _of_models(F.col(column), [interval], alias)
+    return pin(table.groupBy(*fit.by).agg(*wanted), "models")
+
+
+def _level_table(fit: Fit, category: str, names: Sequence[str], interval: str | None) -> Lookup:
+    """One row a group and level, the base included: the coefficients of every model, and the level's part of an interval."""
+    parts = []
+    none = F.lit(None).cast("double").alias("weight")
+    if any(fit.eliminated[n] == category for n in names):
+        parts.append(fit.levels.frame.filter(F.col("source") == category).select(*fit.by, "model", F.col("level").alias(category), "coef", "at", "weight"))
+    if any(fit.eliminated[n] != category for n in names):
+        terms, bases = (fit.table.frame.select(*fit.by, "model", F.inline(c)).filter((F.col("source") == category) & F.col("level").isNotNull())
+                        for c in ("terms", "bases"))
+        at = fit.table.frame.select(*fit.by, "model", F.inline("level_factors")).filter(F.col("source") == category)
+        empty = F.lit(None).cast("array<double>").alias("at")
+        coefs = terms.select(*fit.by, "model", F.col("level").alias(category), "coef", empty, none).unionByName(
+            bases.select(*fit.by, "model", F.col("level").alias(category), F.lit(0.0).alias("coef"), empty, none))
+        parts += [coefs, at.select(*fit.by, "model", F.col("level").alias(category), F.lit(None).cast("double").alias("coef"), "at", none)]
+    rows = parts[0]
+    for p in parts[1:]:
+        rows = rows.unionByName(p)
+    wanted = _of_models(F.col("coef"), names, f"__l_{category}")
+    if interval in names:
+        wanted += _of_models(F.col("at"), [interval], f"__at_{category}") + _of_models(F.col("weight"), [interval], f"__w_{category}")
+    return pin(rows.groupBy(*fit.by, category).agg(*wanted), "level-effects")
+
+
+def _score(df: DataFrame, fit: Fit, names: Sequence[str], *, smearing: bool = False, interval: str | None = None, level: float = 0.8) -> tuple[DataFrame, list[str]]:
+    """``linear_<model>`` of every model from one join for the groups and one for each category, and the helper columns to drop.
+
+    ``smearing`` adds ``__s_<model>``, ``interval`` adds ``__half``, half the width of that model's prediction interval on its own scale.
+    """
+    quantile = None if interval is None else _t_quantiles(F.lit((1 + level) / 2), F.col("dof").cast("double"))
+    before, out = set(df.columns), lookup_join(df, _group_table(fit, names, smearing, interval, quantile), list(fit.by), null_safe=True)
+    users = {p: [n for n in names if p in fit.spec(n).predictors] for n in names for p in fit.spec(n).predictors if p in fit.categories}
+    for p, own in users.items():
+        out = lookup_join(out, _level_table(fit, p, own, interval), [*fit.by, p])
+    made = {}
     for name in names:
-        spec = fit.spec(name)
-        require_columns(df, spec.predictors, f"predict {name}")
-        b = f"__b_{name}"
-        plain = F.transform(F.filter("terms", lambda t: t["level"].isNull()), lambda t: t["coef"])
-        out = lookup_join(out, fit.lookup(fit.of(name).select(*fit.by, plain.alias(b))), list(fit.by), null_safe=True)
-        gone.append(b)
-        total = F.col(b)[0]
+        spec, total = fit.spec(name), F.col(f"__b_{name}")[0]
         for at, p in enumerate(fit.numeric(name), start=1):
-            total = total + F.col(b)[at] * feature(p, spec)
+            total = total + F.col(f"__b_{name}")[at] * feature(p, spec)
         for p in spec.predictors:
             if p in fit.categories:
-                effect = f"__l_{name}_{p}"
-                levels = _level_table(fit, name, p, F.col("coef"), effect)
-                out = lookup_join(out, fit.lookup(levels), [*fit.by, p])
-                gone.append(effect)
-                total = total + F.col(effect)
+                total = total + F.col(f"__l_{p}_{name}")
         made[f"linear_{name}"] = total
-    return out.withColumns(made).drop(*gone)
+    if interval is not None:
+        spec, gone = fit.spec(interval), fit.eliminated[interval]
+        values = [feature(p, spec) for p in fit.numeric(interval)]
+        small = [p for p in spec.predictors if p in fit.categories and p != gone]
+        centre, weight = (F.col(f"__g_{interval}"), F.col(f"__w_{interval}")) if gone is None else (F.col(f"__at_{gone}_{interval}"), F.col(f"__w_{gone}_{interval}"))
+
+        def square(mean: Column, i: Column) -> Column:
+            apart = -mean
+            for k, x in enumerate(values):
+                apart = apart + x * F.get(F.col(f"__f_{interval}")[k], i)
+            for p in small:
+                apart = apart + F.get(F.col(f"__at_{p}_{interval}"), i)
+            return apart * apart
+
+        leverage = F.aggregate(F.transform(centre, square), F.lit(0.0), lambda total, x: total + x) + weight
+        made["__half"] = F.col(f"__t_{interval}") * F.sqrt(F.col(f"__v_{interval}") * (F.lit(1.0) + leverage))
+    out = out.withColumns(made)
+    return out, [c for c in out.columns if c.startswith("__") and c not in before]
+
+
+def linear_predictors(df: DataFrame, fit: Fit, names: Sequence[str] | None = None) -> DataFrame:
+    """Add ``linear_<model>``: the prediction on the model's own scale; null for a level without a coefficient."""
+    out, gone = _score(df, fit, list(names or [s.name for s in fit.specs]))
+    return out.drop(*gone)
 
 
 def _require_scored(df: DataFrame, column: str, name: str, strict: bool) -> None:
@@ -442,15 +220,13 @@ def _require_scored(df: DataFrame, column: str, name: str, strict: bool) -> None
 def predict(df: DataFrame, fit: Fit, name: str, *, column: str = "predicted", strict: bool = True) -> DataFrame:
     """The mean prediction in the target's units: ``exp(linear) * smearing`` for a log model."""
     spec = fit.spec(name)
-    require_rows(df, _log_problems([spec], target=False), strict)
-    scored = linear_predictors(df, fit, [name])
+    require_columns(df, spec.predictors, f"predict {name}")
+    require_rows(df, log_problems([spec], target=False), strict)
+    scored, gone = _score(df, fit, [name], smearing=True)
     _require_scored(scored, f"linear_{name}", name, strict)
     linear = F.col(f"linear_{name}")
-    if not spec.log_scale:
-        return scored.withColumn(column, linear).drop(f"linear_{name}")
-    factor = fit.lookup(fit.of(name).select(*fit.by, F.col("smearing").alias("__smearing")))
-    joined = lookup_join(scored, factor, list(fit.by), null_safe=True)
-    return joined.withColumn(column, F.exp(linear) * F.col("__smearing")).drop(f"linear_{name}", "__smearing")
+    mean = F.exp(linear) * F.col(f"__s_{name}") if spec.log_scale else linear
+    return scored.withColumn(column, mean).drop(f"linear_{name}", *gone)
 
 
 @F.pandas_udf(T.DoubleType())
@@ -461,44 +237,21 @@ def _t_quantiles(probability: pd.Series, dof: pd.Series) -> pd.Series:
 def price_range(df: DataFrame, fit: Fit, name: str, *, level: float = 0.8, strict: bool = True) -> DataFrame:
     """Add ``median, mean, lower, upper``: a prediction interval that covers a share ``level``.
 
-    The variance of a prediction is ``sigma2 * (1 + x' (X'X)^-1 x)``; ``x`` is kept sparse as the intercept,
-    the numeric predictors and one entry per category.
+    The variance of a prediction is ``sigma2 * (1 + leverage)``; the leverage is a sum of squares over the terms that are not levels of the
+    eliminated category, plus one over the rows of the level.
     """
     if not 0 < level < 1:
         raise RuleError(f"level must be between 0 and 1, got {level}")
     spec = fit.spec(name)
-    require_rows(df, _log_problems([spec], target=False), strict)
-    out = linear_predictors(df, fit, [name])
+    require_columns(df, spec.predictors, f"price_range {name}")
+    require_rows(df, log_problems([spec], target=False), strict)
+    out, gone = _score(df, fit, [name], smearing=True, interval=name, level=level)
     _require_scored(out, f"linear_{name}", name, strict)
-    quantile = _t_quantiles(F.lit((1 + level) / 2), F.col("dof").cast("double"))
-    numeric_positions = F.transform(F.filter("terms", lambda t: t["level"].isNull()), lambda t: t["position"])
-    shape = pin(fit.of(name).select(*fit.by, numeric_positions.alias("__pos"), F.col("covariance").alias("__cov"),
-                                    F.col("sigma2").alias("__s2"), quantile.alias("__t"),
-                                    F.col("smearing").alias("__smearing")), "intervals")
-    out = lookup_join(out, shape, list(fit.by), null_safe=True)
-    values = [F.lit(1.0), *[feature(p, spec) for p in fit.numeric(name)]]
-    entries = [F.struct(F.col("__pos")[at].alias("at"), v.alias("x")) for at, v in enumerate(values)]
-    extra = []
-    for p in spec.predictors:
-        if p in fit.categories:
-            place = f"__p_{p}"
-            out = lookup_join(out, fit.lookup(_level_table(fit, name, p, F.col("position"), place)), [*fit.by, p])
-            extra.append(place)
-            # the base level has no column: an entry of weight 0
-            entries.append(F.struct(F.greatest(F.col(place), F.lit(0)).alias("at"),
-                                    F.when(F.col(place) >= 0, F.lit(1.0)).otherwise(F.lit(0.0)).alias("x")))
-    out = out.withColumn("__x", F.array(*entries))
-    x, cov = F.col("__x"), F.col("__cov")
-    leverage = F.aggregate(x, F.lit(0.0), lambda acc, a: acc + a["x"] * F.aggregate(
-        x, F.lit(0.0), lambda inner, b: inner + b["x"] * cov[a["at"]][b["at"]]))
-    centre = F.col(f"linear_{name}")
-    half = F.col("__t") * F.sqrt(F.col("__s2") * (F.lit(1.0) + leverage))
+    centre, half = F.col(f"linear_{name}"), F.col("__half")
     back = F.exp if spec.log_scale else (lambda c: c)
-    mean = F.exp(centre) * F.col("__smearing") if spec.log_scale else centre
-    out = out.withColumn("__half", half)
-    out = out.withColumns({"median": back(centre), "mean": mean, "lower": back(centre - F.col("__half")),
-                           "upper": back(centre + F.col("__half"))})
-    return out.drop(f"linear_{name}", "__pos", "__cov", "__s2", "__t", "__smearing", "__x", "__half", *extra)
+    mean = F.exp(centre) * F.col(f"__s_{name}") if spec.log_scale else centre
+    out = out.withColumns({"median": back(centre), "mean": mean, "lower": back(centre - half), "upper": back(centre + half)})
+    return out.drop(f"linear_{name}", *gone)
 
 
 # ---------------------------------------------------------------- scores
@@ -526,17 +279,12 @@ def model_scores(df: DataFrame, fit: Fit, names: Sequence[str] | None = None, *,
     """Per group and model: ``n, r2_model_scale, r2, median_ae, mae`` on rows the model has not seen."""
     names = list(names or [s.name for s in fit.specs])
     specs = [fit.spec(n) for n in names]
-    require_rows(df, _log_problems(specs), strict)
-    scored = linear_predictors(df, fit, names)
+    require_rows(df, log_problems(specs), strict)
+    scored, _ = _score(df, fit, names, smearing=True)
     columns = []
     for spec in specs:
         linear = F.col(f"linear_{spec.name}")
-        if spec.log_scale:
-            factor = fit.lookup(fit.of(spec.name).select(*fit.by, F.col("smearing").alias(f"__s_{spec.name}")))
-            scored = lookup_join(scored, factor, list(fit.by), null_safe=True)
-            mean = F.exp(linear) * F.col(f"__s_{spec.name}")
-        else:
-            mean = linear
+        mean = F.exp(linear) * F.col(f"__s_{spec.name}") if spec.log_scale else linear
         columns.append(F.struct(F.lit(spec.name).alias("model"), response(spec).alias("y_model"), linear.alias("linear"),
                                 F.col(spec.target).cast("double").alias("y"), mean.alias("predicted")))
     long = scored.select(*fit.by, F.inline(F.array(*columns)))
@@ -598,7 +346,7 @@ def group_importance(train: DataFrame, test: DataFrame, spec: ModelSpec, groups:
         sides = [pdf[pdf["is_test"] == flag] for flag in (False, True)]
         if any(len(side) == 0 for side in sides):
             raise ValueError("group_importance: a group has no training or no test rows")
-        fitted, tested = (_Gram(side, layout, shift) for side in sides)
+        fitted, tested = (Gram(side, layout, shift) for side in sides)
 
         def test_r2(model: ModelSpec) -> float:
             terms, bases, _, beta, _, _ = _solve(fitted, model, references)
@@ -621,6 +369,6 @@ def group_importance(train: DataFrame, test: DataFrame, spec: ModelSpec, groups:
             out.insert(position, key, [pdf[key].iloc[0]] * len(out))
         return out
 
-    both = a.table.withColumn("is_test", F.lit(False)).unionByName(b.table.withColumn("is_test", F.lit(True)))
-    result = _per_group(both, by).applyInPandas(losses, schema)
+    both = a.table(layout.categories).withColumn("is_test", F.lit(False)).unionByName(b.table(layout.categories).withColumn("is_test", F.lit(True)))
+    result = per_group(both, by).applyInPandas(losses, schema)
     return result.withColumn("shown", F.greatest("r2_loss", F.lit(0.0))).orderBy(*by, F.desc("r2_loss"), "group")

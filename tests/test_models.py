@@ -83,7 +83,7 @@ def test_exact_log_model(spark):
     assert len(pairs) == 60 and all(r.predicted == pytest.approx(r.actual) for r in pairs)
     with pytest.raises(DataError):
         predicted_vs_actual(df.limit(0), fit, "m")
-    with pytest.raises(RuleError, match="available names: m"):
+    with pytest.raises(RuleError, match="fitted are m"):
         fit.spec("other")
 
 

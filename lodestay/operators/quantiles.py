@@ -1,10 +1,10 @@
-"""Exact grouped quantiles (linear interpolation) that never gather a group in one task.
+"""Exact grouped quantiles (linear interpolation) by selecting ranks from value counts.
 
-One pass takes size, range and an estimate of the distinct values per group. Few distinct values: rows are
-reduced to ``(group, column, value) -> count``, where copies collapse on the map side and a hot group is spread
-over its values, and the frequency form of ``percentile`` finishes. Many: nothing is shuffled by value;
-the wanted ranks are bracketed by histograms of a fixed number of cells, level by level, until a bracket
-holds a handful of values. All passes read a staged narrow copy of the columns.
+Rows are reduced once to ``(group, column, value) -> count``: copies collapse on the map side, so a hot value is one row a task, and a hot group is
+spread over its values. The counts are staged; everything after reads them, not the rows. Each wanted rank has a bracket of values. While a bracket
+holds more values than one task should order, approximate quantiles of the values in it cut it to cells of about equal numbers of values, exact sums of
+their counts tell the cell with the rank, and the cell is the next bracket. A pass divides the number of values by the number of cells whatever their
+distribution; it is the measured number that ends the passes. The few values left are ordered.
 """
 
 from __future__ import annotations
@@ -19,9 +19,8 @@ from ..errors import DataError
 from ..sources.staging import stage
 from .lookup import lookup_join, pin
 
-MAP_LIMIT = 200_000
-CELLS = 4096
-LEVELS = 3
+#: Values one task orders, and the cells a larger bracket is cut to.
+BRACKET_ROWS, CELLS = 10_000, 32
 
 
 def group_quantiles(
@@ -31,14 +30,14 @@ def group_quantiles(
     *,
     sizes: Mapping[str, str] | None = None,
     null_message: str | None = None,
-    map_limit: int = MAP_LIMIT,
+    bracket_rows: int = BRACKET_ROWS,
     approximate: bool = False,
 ) -> DataFrame:
     """One row per group. ``outputs`` maps a result name to ``(column, q)``.
 
     ``sizes`` maps a result name to a column (one of those in ``outputs``) whose known values are counted.
     ``null_message`` turns missing values into a ``DataError``; by default they are skipped.
-    ``approximate`` uses ``percentile_approx`` in a single pass instead.
+    ``approximate`` uses ``percentile_approx`` in a single pass instead, after the same check.
     """
     by = list(by)
     sizes = dict(sizes or {})
@@ -59,89 +58,72 @@ def group_quantiles(
     if approximate:
         aggs = [F.percentile_approx(c, q, 10_000).alias(name) for name, (c, q) in wanted.items()]
         aggs += [F.count(c).alias(name) for name, c in sized.items()]
-        return named.groupBy(*by).agg(*aggs)
-
-    # a narrow copy: the table's own lineage, which may hold joins and shuffles, runs once
-    named = stage(named, "quantile-columns")
-    shape = pin(named.groupBy(*by).agg(
-        *[F.expr(f"struct(count({c}) AS n, count_if({c} IS NULL) AS gaps, min({c}) AS lo, max({c}) AS hi, "
-                 f"approx_count_distinct({c}) AS distinct) AS {c}") for c in names]), "quantile-shape").frame
-    checked = shape.agg(F.max(F.greatest(F.lit(0), *[F.col(f"{c}.distinct") for c in names])).alias("widest"),
-                        *[F.sum(f"{c}.gaps").alias(f"gaps_{c}") for c in names]).first()
-    if null_message and any(checked[f"gaps_{c}"] for c in names):
-        raise DataError(null_message)
+        gaps = reduce(lambda a, b: a + b, [F.count_if(F.col(c).isNull()) for c in names])
+        told = pin(named.groupBy(*by).agg(*aggs, gaps.alias("__gaps")), "quantiles").frame
+        _no_gaps(told, "__gaps", null_message)
+        return told.drop("__gaps")
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])
-    long = named.select(*by, F.inline(pairs))
-    if (checked["widest"] or 0) <= map_limit:
-        counts = long.groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n"))
-        aggs = []
-        for name, (c, q) in wanted.items():
-            value = F.when(F.col("column") == c, F.col("value"))
-            aggs.append(F.percentile(value, F.lit(q), F.col("n")).alias(name))
-        aggs += [F.coalesce(F.sum(F.when((F.col("column") == c) & F.col("value").isNotNull(), F.col("n"))),
-                            F.lit(0)).alias(name) for name, c in sized.items()]
-        return counts.groupBy(*by).agg(*aggs)
-
-    values = long.filter(F.col("value").isNotNull()).withColumn("n", F.lit(1).cast("long"))
-    found = _by_refinement(values, shape, wanted, by)
-    base = shape.select(*by, *[F.col(f"{c}.n").alias(name) for name, c in sized.items()])
-    return lookup_join(base, pin(found, "quantiles"), by, null_safe=True).select(*by, *wanted, *sizes)
-
-
-def _by_refinement(values: DataFrame, shape: DataFrame, wanted: Mapping[str, tuple[str, float]],
-                   by: list[str]) -> DataFrame:
-    asked = F.array(*[
-        F.struct(F.lit(name).alias("name"), F.lit(c).alias("column"), F.col(f"{c}.lo").alias("lo"),
-                 F.col(f"{c}.hi").alias("hi"), (F.lit(q) * (F.col(f"{c}.n") - 1)).alias("position"),
-                 F.col(f"{c}.n").alias("total")) for name, (c, q) in wanted.items()])
-    positions = pin(shape.select(*by, F.inline(asked)).filter("total > 0"), "quantile-positions").frame
+    counts = stage(named.select(*by, F.inline(pairs)).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    known = F.when(F.col("value").isNotNull(), F.col("n"))
+    shape = pin(counts.groupBy(*by, "column").agg(
+        F.coalesce(F.sum(known), F.lit(0)).alias("n"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("gaps"),
+        F.min("value").alias("lo"), F.max("value").alias("hi"), F.count("value").alias("m")), "value-shapes").frame
+    _no_gaps(shape, "gaps", null_message)
+
+    asked = F.array(*[F.struct(F.lit(name).alias("name"), F.lit(c).alias("of"), F.lit(q).alias("q")) for name, (c, q) in wanted.items()])
+    each = shape.filter("n > 0").select("*", F.inline(asked)).filter("of = column").withColumn("position", F.col("q") * (F.col("n") - 1))
     both_ranks = F.array_distinct(F.array(F.floor("position"), F.ceil("position")))
-    targets = (positions.select(*by, "column", "lo", "hi", F.explode(both_ranks).alias("rank"))
-               .distinct().withColumn("before", F.lit(0).cast("long")))
-    found = select_ranks(values, targets, [*by, "column"])
-
-    below = F.when(F.col("rank") == F.floor("position"), F.col("value"))
-    above = F.when(F.col("rank") == F.ceil("position"), F.col("value"))
-    left = positions.select(*by, "column", "name", "position")
-    right = found.select(*[F.col(c).alias(f"__k_{c}") for c in [*by, "column"]], "rank", "value")
-    condition = reduce(lambda a, b: a & b, [left[c].eqNullSafe(right[f"__k_{c}"]) for c in [*by, "column"]])
-    value = (left.join(right, condition & F.col("rank").isin(F.floor("position"), F.ceil("position")))
-             .groupBy(*by, "name", "position").agg(F.max(below).alias("a"), F.max(above).alias("b"))
-             .withColumn("v", F.col("a") + (F.col("position") - F.floor("position")) * (F.col("b") - F.col("a"))))
-    return value.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in wanted])
-
-
-def select_ranks(values: DataFrame, targets: DataFrame, keys: Sequence[str], *, cells: int = CELLS,
-                 levels: int = LEVELS) -> DataFrame:
-    """The value at each wanted rank (0-based, copies counted).
-
-    ``values``: ``keys, value, n``. ``targets``: ``keys, rank, lo, hi, before`` with a bracket that contains
-    the rank and the number of rows below it. Subtracting and dividing by constants is monotone in IEEE
-    arithmetic, so cells never disagree with the order of the values.
+    targets = each.select(*by, "column", "name", "position", F.explode(both_ranks).alias("rank"), "lo", "hi", "m", F.lit(0).cast("long").alias("before"))
+    found = select_ranks(counts.filter(F.col("value").isNotNull()), targets, [*by, "column"], bracket_rows=bracket_rows)
+
+    below = F.max(F.when(F.col("rank") == F.floor("position"), F.col("value")))
+    above = F.max(F.when(F.col("rank") == F.ceil("position"), F.col("value")))
+    part = F.max("position") - F.floor(F.max("position"))
+    values = found.groupBy(*by, "name").agg((below + part * (above - below)).alias("v"))
+    wide = values.groupBy(*by).agg(*[F.max(F.when(F.col("name") == n, F.col("v"))).alias(n) for n in wanted])
+    base = shape.groupBy(*by).agg(F.count(F.lit(1)).alias("__columns"), *[
+        F.coalesce(F.sum(F.when(F.col("column") == c, F.col("n"))), F.lit(0)).alias(name) for name, c in sized.items()])
+    return lookup_join(base, pin(wide, "quantiles"), by, null_safe=True).select(*by, *wanted, *sizes)
+
+
+def _no_gaps(table: DataFrame, column: str, message: str | None) -> None:
+    if message and not table.filter(F.col(column) > 0).isEmpty():
+        raise DataError(message)
+
+
+def select_ranks(values: DataFrame, targets: DataFrame, keys: Sequence[str], *, bracket_rows: int = BRACKET_ROWS, cells: int = CELLS) -> DataFrame:
+    """The value at each wanted rank (0-based, copies counted): the columns of ``targets`` but for the bracket's, and ``value``.
+
+    ``values``: ``keys, value, n``, values of any numeric type. ``targets``: ``keys, rank``, further names of a target, and its bracket ``lo, hi, before,
+    m``: the values that contain the rank, the copies below them and the number of rows between them.
     """
     keys = list(keys)
+    names = [c for c in targets.columns if c not in (*keys, "lo", "hi", "m", "before")]
 
-    def inside(bracket: DataFrame) -> DataFrame:
-        bounds = pin(bracket, "rank-brackets")
-        b = bounds.frame.select(*[F.col(c).alias(f"__k_{c}") for c in keys], "rank", "lo", "hi", "before")
-        if bounds.small:
-            b = F.broadcast(b)
+    def inside(brackets: DataFrame, small: bool) -> DataFrame:
+        b = brackets.select(*[F.col(c).alias(f"__k_{c}") for c in keys], *[c for c in brackets.columns if c not in keys])
         same = [values[c].eqNullSafe(b[f"__k_{c}"]) for c in keys]
         hit = reduce(lambda x, y: x & y, same + [values["value"] >= b["lo"], values["value"] <= b["hi"]])
-        return values.join(b, hit).select(*keys, "rank", "lo", "hi", "before", "value", "n")
-
-    for _ in range(levels):
-        share = (F.col("value") - F.col("lo")) / F.nullif(F.col("hi") - F.col("lo"), F.lit(0.0))
-        cell = F.coalesce(F.least(F.floor(share * cells), F.lit(cells - 1)), F.lit(0))
-        histogram = (inside(targets).withColumn("cell", cell)
-                     .groupBy(*keys, "rank", "before", "cell")
-                     .agg(F.sum("n").alias("m"), F.min("value").alias("lo"), F.max("value").alias("hi")))
-        upto = F.col("before") + F.sum("m").over(Window.partitionBy(*keys, "rank").orderBy("cell"))
-        targets = (histogram.withColumn("upto", upto)
-                   .filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("m") <= F.col("rank")))
-                   .select(*keys, "rank", "lo", "hi", (F.col("upto") - F.col("m")).alias("before")))
-    running = F.sum("n").over(Window.partitionBy(*keys, "rank").orderBy("value"))
-    return (inside(targets).withColumn("upto", F.col("before") + running)
-            .filter(F.col("upto") > F.col("rank"))
-            .groupBy(*keys, "rank").agg(F.min("value").alias("value")))
+        return values.join(F.broadcast(b) if small else b, hit).drop(*[f"__k_{c}" for c in keys])
+
+    current = pin(targets, "rank-brackets")
+    wide = (F.col("m") > bracket_rows) & (F.col("lo") < F.col("hi"))
+    while not current.frame.filter(wide).isEmpty():
+        open_ = current.frame.filter(wide)
+        cuts = F.percentile_approx("value", F.array(*[F.lit(i / cells) for i in range(1, cells)]), 100 * cells)
+        edges = pin(inside(open_, current.small).groupBy(*keys, *names).agg(cuts.alias("edges")), "rank-edges")
+        cut = lookup_join(open_, edges, [*keys, *names], null_safe=True)
+        # a value that is an edge has a cell of its own
+        cell = F.size(F.filter("edges", lambda e: e < F.col("value"))) + F.size(F.filter("edges", lambda e: e <= F.col("value")))
+        sums = inside(cut, current.small).withColumn("cell", cell).groupBy(*keys, *names, "before", "cell").agg(
+            F.sum("n").alias("copies"), F.count(F.lit(1)).alias("m"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        upto = F.col("before") + F.sum("copies").over(Window.partitionBy(*keys, *names).orderBy("cell"))
+        next_ = (sums.withColumn("upto", upto).filter((F.col("upto") > F.col("rank")) & (F.col("upto") - F.col("copies") <= F.col("rank")))
+                 .withColumn("before", F.col("upto") - F.col("copies")).select(*targets.columns))
+        current = pin(current.frame.filter(~wide).unionByName(next_), "rank-brackets")
+    settled = current.frame.filter(F.col("lo") == F.col("hi")).select(*keys, *names, F.col("lo").alias("value"))
+    running = F.col("before") + F.sum("n").over(Window.partitionBy(*keys, *names).orderBy("value"))
+    ordered = inside(current.frame.filter(F.col("lo") < F.col("hi")), current.small).withColumn("upto", running)
+    found = ordered.filter((F.col("upto") > F.col("rank"))).groupBy(*keys, *names).agg(F.min("value").alias("value"))
+    return settled.unionByName(found)

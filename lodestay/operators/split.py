@@ -1,7 +1,7 @@
 """Exact-count train/test split without a global ranking.
 
-Rows are ordered by ``md5(key:seed)`` (random) or by a numeric key. The cut is one row: counts per hash
-prefix locate the bucket with the cut, only that bucket is ranked, and every other row is compared with it.
+Rows are ordered by ``md5(key:seed)`` (random) or by a numeric key. The cut is one row, found by rank selection: the numbers that
+can hold it are narrowed until few are left, only those are ranked, and every other row is compared with it.
 """
 
 from __future__ import annotations
@@ -13,12 +13,10 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from ..errors import RuleError, require_columns
-from .lookup import Lookup, lookup_join, pin
+from ..errors import DataError, RuleError, require_columns
+from .lookup import lookup_join, pin
 from .quantiles import select_ranks
 
-PREFIX_DIGITS = 4
-
 
 def as_fraction(test_size: float) -> float:
     fraction = test_size / 100 if test_size > 1 else test_size
@@ -40,66 +38,48 @@ def split_exact(df: DataFrame, test_size: float, *, seed: int | None = None, key
     """Add a boolean ``is_test`` with exactly ``round(fraction * n)`` true rows per group (ties to even).
 
     ``key`` must identify a row within its group. With ``random_selection=False`` the rows with the largest
-    value of the single numeric key are the test rows.
+    value of the single numeric key are the test rows; a missing key is an error.
     """
     fraction = as_fraction(test_size)
     key, by = list(key), list(by)
     require_columns(df, [*key, *by], "split_exact")
     n_test = F.bround(F.lit(fraction) * F.col("n_rows")).cast("long")
 
-    if not random_selection:
+    if random_selection:
+        # an unseeded draw is still one draw: its seed is fixed here, not per row or per retry
+        salt = F.lit(uuid.uuid4().hex if seed is None else str(seed))
+        digest = F.md5(F.concat_ws(":", *[F.col(k).cast("string") for k in key], salt).cast("binary"))
+        # the first 60 bits of the digest as a number; rows that share them are told apart by the rest
+        order, tail = F.conv(F.substring(digest, 1, 15), 16, 10).cast("long"), F.struct(digest.alias("h"), *key)
+    else:
         if len(key) != 1:
             raise RuleError("split_exact: an ordered split needs one numeric key")
         numeric = isinstance(df.schema[key[0]].dataType, T.NumericType)
-        exact = F.col(key[0]) if numeric else F.col(key[0]).cast("double")
-        rounded = exact.cast("double")
-        values = df.select(*by, rounded.alias("value"), F.lit(1).cast("long").alias("n"))
-        pinned = pin(
-            values.groupBy(*by).agg(F.count("value").alias("n_rows"), F.min("value").alias("lo"), F.max("value").alias("hi"))
-            .withColumn("n_test", n_test).withColumn("n_train", F.col("n_rows") - n_test), "split-totals")
-        totals = pinned.frame
-        _check_sides(totals, by, test_size)
-        targets = totals.select(*by, (F.col("n_train") - 1).alias("rank"), "lo", "hi",
-                                F.lit(0).cast("long").alias("before"))
-        keyed = values if by else values.withColumn("__all", F.lit(1))
-        keyed_targets = targets if by else targets.withColumn("__all", F.lit(1))
-        cut = select_ranks(keyed, keyed_targets, by or ["__all"]).select(*by, F.col("value").alias("__cut"))
-        # keys beyond 2^53 can share a double: those that share the cut's are counted down in their own type
-        upper = lookup_join(df.select(*by, exact.alias("__key")), pin(cut, "split-cut"), by, null_safe=True).filter(
-            F.col("__key").cast("double") >= F.col("__cut"))
-        shared = F.when(F.col("__key").cast("double") == F.col("__cut"), F.col("__key"))
-        counted = upper.groupBy(*by, shared.alias("__key")).agg(F.count(F.lit(1)).alias("m"))
-        downwards = Window.partitionBy(*by).orderBy(F.col("__key").desc_nulls_first()).rowsBetween(Window.unboundedPreceding, 0)
-        sides = Lookup(totals.select(*by, "n_test"), pinned.small)
-        placed = lookup_join(counted.withColumn("__upto", F.sum("m").over(downwards)), sides, by, null_safe=True)
-        last = placed.filter((F.col("__upto") > F.col("n_test")) & (F.col("__upto") - F.col("m") <= F.col("n_test"))).select(
-            *by, F.col("__key").alias("__cut"))
-        joined = lookup_join(df, pin(last, "split-key"), by, null_safe=True)
-        return joined.withColumn("is_test", exact > F.col("__cut")).drop("__cut")
-
-    # an unseeded draw is still one draw: its seed is fixed here, not per row or per retry
-    salt = F.lit(uuid.uuid4().hex if seed is None else str(seed))
-    text = F.concat_ws(":", *[F.col(k).cast("string") for k in key], salt)
-    hashed = df.withColumn("__h", F.md5(text.cast("binary")))
-    prefix = F.substring("__h", 1, PREFIX_DIGITS)
-    buckets = hashed.groupBy(*by, prefix.alias("__p")).agg(F.count(F.lit(1)).alias("m"))
-    group = Window.partitionBy(*by)
-    placed = (buckets.withColumn("n_rows", F.sum("m").over(group))
-              .withColumn("upto", F.sum("m").over(group.orderBy("__p").rowsBetween(Window.unboundedPreceding, 0)))
-              .withColumn("n_test", n_test).withColumn("n_train", F.col("n_rows") - n_test))
-    found = pin(placed.filter(((F.col("upto") >= F.col("n_train")) & (F.col("upto") - F.col("m") < F.col("n_train")))
-                              | (F.col("n_train") == 0))
-                .select(*by, "__p", "n_test", "n_train", (F.col("n_train") - (F.col("upto") - F.col("m"))).alias("__k")),
-                "split-bucket")
-    _check_sides(found.frame, by, test_size)
-    candidates = hashed.select(*by, "__h", *key, prefix.alias("__p"))
-    wanted = Lookup(found.frame.select(*by, "__p", "__k"), found.small)
-    in_bucket = lookup_join(candidates, wanted, [*by, "__p"], how="inner", null_safe=True)
-    rank = F.row_number().over(Window.partitionBy(*by).orderBy("__h", *key))
-    cut = (in_bucket.withColumn("__rn", rank).filter(F.col("__rn") == F.col("__k"))
-           .select(*by, F.struct("__h", *key).alias("__cut")))
-    joined = lookup_join(hashed, pin(cut, "split-cut"), by, null_safe=True)
-    return joined.withColumn("is_test", F.struct("__h", *key) > F.col("__cut")).drop("__h", "__cut")
+        order, tail = F.col(key[0]) if numeric else F.col(key[0]).cast("double"), None
+
+    values = df.select(*by, order.alias("value"), F.lit(1).cast("long").alias("n"))
+    values = values if by else values.withColumn("__all", F.lit(1))
+    groups = by or ["__all"]
+    totals = pin(
+        values.groupBy(*groups).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(F.col("value").isNull()).alias("gaps"), F.min("value").alias("lo"), F.max("value").alias("hi"))
+        .withColumn("n_test", n_test).withColumn("n_train", F.col("n_rows") - n_test), "split-totals").frame
+    if not totals.filter("gaps > 0").isEmpty():
+        raise DataError(f"split_exact: missing value in column {key[0]}")
+    _check_sides(totals, by, test_size)
+    targets = totals.select(*groups, "n_train", (F.col("n_train") - 1).alias("rank"), "lo", "hi", F.col("n_rows").alias("m"), F.lit(0).cast("long").alias("before"))
+    cut = pin(select_ranks(values, targets, groups).select(*by, "n_train", F.col("value").alias("__cut")), "split-cut")
+    joined = lookup_join(df, cut, by, null_safe=True)
+    if tail is None:
+        return joined.withColumn("is_test", order > F.col("__cut")).drop("__cut", "n_train")
+
+    # of the rows that share the cut's bits, those that fill up the training side
+    placed = joined.select(*by, order.alias("__h"), tail.alias("__tail"), "__cut", "n_train").filter(F.col("__h") <= F.col("__cut"))
+    shared = F.when(F.col("__h") == F.col("__cut"), F.col("__tail"))
+    counted = placed.groupBy(*by, "n_train", shared.alias("__tail")).agg(F.count(F.lit(1)).alias("m"))
+    upto = F.sum("m").over(Window.partitionBy(*by).orderBy(F.col("__tail").asc_nulls_first()))
+    last = counted.withColumn("upto", upto).filter(F.col("__tail").isNotNull() & (F.col("upto") >= F.col("n_train"))).groupBy(*by).agg(F.min("__tail").alias("__last"))
+    joined = lookup_join(joined, pin(last, "split-key"), by, null_safe=True)
+    return joined.withColumn("is_test", (order > F.col("__cut")) | ((order == F.col("__cut")) & (tail > F.col("__last")))).drop("__cut", "__last", "n_train")
 
 
 def split_dataset(df: DataFrame, test_size: float, **options) -> tuple[DataFrame, DataFrame]:

@@ -154,8 +154,8 @@ def test_plausible(spark):
         filter_plausible(missing, rules)
 
 
-@pytest.mark.parametrize("map_limit", [10**6, 3])
-def test_quantiles_match_numpy_on_both_paths(spark, map_limit):
+@pytest.mark.parametrize("bracket_rows", [10_000, 3])
+def test_quantiles_match_numpy(spark, bracket_rows):
     import numpy as np
 
     rng = np.random.default_rng(7)
@@ -164,14 +164,28 @@ def test_quantiles_match_numpy_on_both_paths(spark, map_limit):
     rows = [(g, float(v)) for g, values in data.items() for v in values] + [("hot", None), ("empty", None), (None, 5.0)]
     df = spark.createDataFrame(rows, "g string, v double")
     got = {r.g: r for r in group_quantiles(df, {"a": ("v", 0.25), "b": ("v", 0.5), "c": ("v", 0.995)}, ["g"],
-                                           sizes={"n": "v"}, map_limit=map_limit).collect()}
+                                           sizes={"n": "v"}, bracket_rows=bracket_rows).collect()}
     for g, values in data.items():
         assert [got[g].a, got[g].b, got[g].c] == pytest.approx(list(np.quantile(values, [0.25, 0.5, 0.995])), rel=1e-12)
         assert got[g].n == len(values)
     assert got[None].b == 5.0
     assert got["empty"].n == 0 and got["empty"].a is None
-    single = group_quantiles(df, {"m": ("v", 0.5)}, map_limit=map_limit).first()
+    single = group_quantiles(df, {"m": ("v", 0.5)}, bracket_rows=bracket_rows).first()
     everything = np.concatenate([*data.values(), [5.0]])
     assert math.isclose(single.m, float(np.median(everything)), rel_tol=1e-12)
-    with pytest.raises(DataError, match="gap"):
-        group_quantiles(df, {"m": ("v", 0.5)}, null_message="gap")
+    for approximate in (False, True):
+        with pytest.raises(DataError, match="gap"):
+            group_quantiles(df, {"m": ("v", 0.5)}, null_message="gap", approximate=approximate)
+
+
+def test_a_hot_value_beside_many_others(spark):
+    """A third of the rows hold one value, 250,000 others are distinct and spread over 300 powers of ten: copies are one row, brackets shrink by count."""
+    import numpy as np
+    import pandas as pd
+
+    rng = np.random.default_rng(8)
+    values = np.concatenate([np.full(125_000, 7.5), 10.0 ** rng.uniform(-150, 150, 250_000)])
+    df = spark.createDataFrame(pd.DataFrame({"v": rng.permutation(values)})).repartition(8)
+    asked = {f"q{i}": ("v", q) for i, q in enumerate((0.0, 0.1, 0.4, 0.6, 0.9999, 1.0))}
+    got = group_quantiles(df, asked).first()
+    assert [got[n] for n in asked] == pytest.approx([float(np.quantile(values, q)) for _, q in asked.values()], rel=1e-12)

@@ -50,3 +50,28 @@ def test_headers_that_differ(spark, tmp_path):
     paths = [str(tmp_path / f"{c}_listings.csv") for c in ("rome", "oslo")]
     got = read_listings(spark, paths, ["id", "price", "beds"]).orderBy("id").collect()
     assert [tuple(r) for r in got] == [(1, "$10", 2.0, "rome"), (2, "$20", 4.0, "oslo")]
+
+
+def test_ordered_split_needs_every_key(spark):
+    df = spark.createDataFrame([(i if i % 5 else None,) for i in range(100)], "id long")
+    with pytest.raises(DataError, match="missing value in column id"):
+        split_exact(df, 0.2, random_selection=False)
+    assert split_exact(df.filter("id is not null"), 0.25, random_selection=False).filter("is_test").count() == 20
+
+
+def test_random_split_follows_the_digest(spark, monkeypatch):
+    """The same rows as a ranking of all, with brackets of a few rows."""
+    import hashlib
+
+    from lodestay.operators import split
+
+    ranked = split.select_ranks
+    monkeypatch.setattr(split, "select_ranks", lambda *a: ranked(*a, bracket_rows=5, cells=4))
+    keys = [(g, i) for g in ("a", "b") for i in range(300)]
+    df = spark.createDataFrame(keys, "city string, id int").repartition(5)
+    marked = split_exact(df, 0.3, seed=9, by=["city"]).collect()
+    for city in ("a", "b"):
+        order = sorted(range(300), key=lambda i: hashlib.md5(f"{i}:9".encode()).hexdigest())
+        assert sorted(r.id for r in marked if r.city == city and r.is_test) == sorted(order[210:])
+    twice = spark.createDataFrame([(1,)] * 10 + [(2,)], "id int")
+    assert split_exact(twice, 0.5, seed=1).filter("is_test").count() in (0, 1, 10)

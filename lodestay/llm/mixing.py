@@ -3,7 +3,7 @@
 Every source gets a target number of words. Blocks of equal length are seats: the Sainte-Laguë method (highest quotients of
 target / 1, 3, 5, ...) turns targets into whole numbers of blocks, first for the sources, then for the shards of each
 source by the words they hold. Inside a shard documents stand in a seeded order and the quota runs through it, as often as needed.
-Shards hold a bounded number of documents, so a source with a third of all rows is many shards.
+Shards hold a bounded number of documents, so a source with a third of all rows is many shards and a small one is a single shard.
 """
 
 from __future__ import annotations
@@ -54,23 +54,27 @@ def mix(docs: DataFrame, id_col: str = "doc_id", source_col: str = "source", tex
         block_words: int = BLOCK_WORDS, shard_rows: int = SHARD_ROWS, seed: str = SEED) -> DataFrame:
     """The rows with ``size, source_size, target, taken`` (words the mix takes of each); columns of these names are replaced.
 
-    A null text has size 0 and is never taken; a null source is a source of its own, ordered last; a null id is ordered by its text
-    alone. Repeated rows are separate documents. Empty tables give empty results.
+    A null text has size 0 and is never taken; a null source is a source of its own, ordered last. Shard and order of a row follow from its id and text
+    together, so rows with a null or one id are spread like others; repeated rows are separate documents. Other columns stay as they are, whatever
+    their names. Empty tables give empty results.
     """
     docs = docs.drop("size", "source_size", "target", "taken")
-    shards = max(1, -(-docs.count() // shard_rows))
-    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit(""))))
-    # the crc spreads documents over shards, the digest orders them inside; both follow from the id alone
-    placed = docs.withColumn("size", _size(F.col(text_col))).withColumn("_order", digest).withColumn(
-        "_shard", F.pmod(F.conv(F.substring("_order", 25, 8), 16, 10).cast("long"), F.lit(shards))).withColumn(
-        "_source", F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("t")))
-    sums = stage(placed.groupBy("_source", "_shard").agg(F.sum("size").alias("shard_size")), "mix-sizes")
-    quotas = stage(_quotas(sums, block_words), "mix-quotas")
-    before = F.coalesce(F.sum("size").over(W.partitionBy("_source", "_shard").orderBy("_order", id_col, "size", F.md5(F.coalesce(text_col, F.lit("")))).rowsBetween(
-        W.unboundedPreceding, -1)), F.lit(0))
-    rows = placed.withColumn("_before", before).join(quotas, ["_source", "_shard"])
-    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("_rest") - F.col("_before")))
-    return rows.withColumn("taken", (F.col("_full") * F.col("size") + extra).cast("long")).select(
+    own = "_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    source, shard, order, before = (f"{own}{c}" for c in ("source", "shard", "order", "before"))
+    digest = F.md5(F.concat(F.lit(seed + "|"), F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.lit("|"), F.coalesce(F.col(text_col), F.lit(""))))
+    keyed = docs.withColumn(source, F.coalesce(F.concat(F.lit("s"), F.col(source_col)), F.lit("t")))
+    # a source has shards for its own rows only: a small one is not cut into as many as a large one
+    shards = stage(keyed.groupBy(source).agg(F.ceil(F.count("*") / shard_rows).alias(f"{own}shards")), "mix-shards")
+    placed = keyed.join(shards, source).withColumn("size", _size(F.col(text_col))).withColumn(order, digest).withColumn(
+        shard, F.pmod(F.conv(F.substring(order, 25, 8), 16, 10).cast("long"), F.col(f"{own}shards"))).drop(f"{own}shards")
+    sums = stage(placed.groupBy(F.col(source).alias("_source"), F.col(shard).alias("_shard")).agg(F.sum("size").alias("shard_size")), "mix-sizes")
+    quotas = stage(_quotas(sums, block_words), "mix-quotas").toDF(source, shard, "source_size", "target", f"{own}full", f"{own}rest")
+    seen = F.coalesce(F.sum("size").over(W.partitionBy(source, shard).orderBy(order).rowsBetween(W.unboundedPreceding, -1)), F.lit(0))
+    rows = placed.withColumn(before, seen).join(quotas, [source, shard])
+    extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col(f"{own}rest") - F.col(before)))
+    return rows.withColumn("taken", (F.col(f"{own}full") * F.col("size") + extra).cast("long")).select(
         *docs.columns, "size", "source_size", "target", "taken")
 
 
@@ -97,17 +101,23 @@ def _quotas(sums: DataFrame, block_words: int) -> DataFrame:
 
 
 def repeated(docs: DataFrame, text_col: str = "text", count_col: str = "n_chars", **options) -> DataFrame:
-    """The mixed corpus: each row as often as ``mix`` takes it whole, and once more cut after the last word taken of it."""
-    mixed = mix(docs, text_col=text_col, **options)
-    whole = F.floor(F.col("taken") / F.col("size"))
-    times = mixed.where("taken > 0").withColumn("_part", F.col("taken") - whole * F.col("size")).withColumn("_whole", whole)
-    copies = times.withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.col("_whole") + F.when(F.col("_part") > 0, 1).otherwise(0))))
+    """The mixed corpus: each row as often as ``mix`` takes it whole, and once more cut after the last word taken of it.
+
+    Rows without words, null texts among them, are never taken; an empty table stays empty. ``count_col``, if it is there, counts a cut text anew.
+    """
+    own = "_"
+    while any(c.startswith(own) for c in docs.columns):
+        own += "_"
+    whole, part, nth = (f"{own}{c}" for c in ("whole", "part", "nth"))
+    mixed = mix(docs, text_col=text_col, **options).where("taken > 0")
+    times = mixed.withColumn(whole, F.floor(F.col("taken") / F.col("size"))).withColumn(part, F.col("taken") - F.col(whole) * F.col("size"))
+    copies = times.withColumn(nth, F.explode(F.sequence(F.lit(1).cast("long"), F.col(whole) + F.when(F.col(part) > 0, 1).otherwise(0))))
     pieces = F.regexp_extract_all(F.col(text_col), F.lit(r"[\x20\x09-\x0D]*[^\x20\x09-\x0D]+"), F.lit(0))
-    head = F.array_join(F.slice(pieces, F.lit(1), F.col("_part").cast("int")), "")
-    cut = F.when(F.col("_n") > F.col("_whole"), head).otherwise(F.col(text_col))
-    out = copies.withColumn(text_col, cut)
+    head = F.array_join(F.slice(pieces, F.lit(1), F.col(part).cast("int")), "")
+    last = F.col(nth) > F.col(whole)
+    out = copies.withColumn(text_col, F.when(last, head).otherwise(F.col(text_col)))
     if count_col in docs.columns:
-        out = out.withColumn(count_col, F.when(F.col("_n") > F.col("_whole"), F.length(text_col)).otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType))
+        out = out.withColumn(count_col, F.when(last, F.length(text_col)).otherwise(F.col(count_col)).cast(docs.schema[count_col].dataType))
     return out.select(*docs.columns)
 
 
@@ -127,8 +137,8 @@ def _apportion_sql(votes: str, group: str, key: str, name: str) -> str:
 
 ORACLE_SQL = rf"""
 WITH docs AS (SELECT doc_id, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0)::BIGINT AS size,
-    coalesce('s' || source, 't') AS src, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '')) AS ord, coalesce(text, '') AS txt FROM documents),
-placed AS (SELECT *, ('0x' || substr(ord, 25, 8))::BIGINT % (SELECT greatest(1, (count(*) + {SHARD_ROWS - 1}) // {SHARD_ROWS}) FROM docs) AS shard FROM docs),
+    coalesce('s' || source, 't') AS src, md5('{SEED}|' || coalesce(doc_id::VARCHAR, '') || '|' || coalesce(text, '')) AS ord FROM documents),
+placed AS (SELECT *, ('0x' || substr(ord, 25, 8))::BIGINT % ((count(*) OVER (PARTITION BY src) + {SHARD_ROWS - 1}) // {SHARD_ROWS}) AS shard FROM docs),
 sums AS (SELECT src, shard, sum(size)::BIGINT AS shard_size FROM placed GROUP BY ALL),
 sources AS (SELECT src, sum(shard_size)::BIGINT AS source_size FROM sums GROUP BY ALL),
 weighted AS (SELECT *, ((row_number() OVER (ORDER BY src) - 1) % 3 + 1)::DOUBLE AS weight, ({MOST_REPEATS} * source_size)::DOUBLE AS cap FROM sources),
@@ -143,6 +153,6 @@ shards AS (SELECT sums.src, shard, shard_size, source_size, target, won AS seats
 passes AS (SELECT *, least(won * {BLOCK_WORDS}, {MOST_REPEATS} * shard_size) AS quota_words FROM quota),
 runs AS (SELECT *, CASE WHEN shard_size > 0 THEN quota_words // shard_size ELSE 0 END AS full_passes FROM passes)
 SELECT doc_id, size, source_size, target, (full_passes * size + greatest(0, least(size, quota_words - full_passes * shard_size
-    - coalesce(sum(size) OVER (PARTITION BY src, shard ORDER BY ord, doc_id NULLS FIRST, size, md5(txt) ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
+    - coalesce(sum(size) OVER (PARTITION BY src, shard ORDER BY ord ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0))))::BIGINT AS taken
 FROM placed JOIN runs USING (src, shard)
 """

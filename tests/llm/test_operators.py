@@ -322,3 +322,18 @@ def test_tiny_and_huge_vectors_change_no_link(spark):
     frame = spark.createDataFrame([(i, v.tolist(), 1) for i, v in made], "vec_id long, embedding array<double>, label int")
     got = {r.vec_id: r.n_links for r in vector_index.link_vectors(frame).collect()}
     assert [got[i] for i in range(len(made))] == (near.sum(axis=1) - 1).tolist() and got[60] >= 3 and got[64] >= 2
+
+
+def test_mixing_small_sources_null_ids_and_clashing_names(spark):
+    """A small source beside a large one reaches its target, null ids spread over shards, and columns named like the operator's own stay."""
+    rows_in = [(None if i % 3 else i, "small" if i < 60 else "large", f"{i} two three" if i < 60 else " ".join([str(i)] * 200), i, i, i, i, i) for i in range(2060)]
+    frame = spark.createDataFrame(rows_in, "doc_id long, source string, text string, _shard int, _full int, __order int, _rest int, taken int").repartition(4)
+    made = mixing.mix(frame, shard_rows=100).collect()
+    small = [r for r in made if r.source == "small"]
+    assert sum(r.taken for r in small) == 540 == small[0].target and small[0].source_size == 180
+    large = [r for r in made if r.source == "large"]
+    assert abs(sum(r.taken for r in large) - large[0].target) <= 16 and all(r.taken <= 3 * r["size"] for r in made)
+    assert sorted((r._shard, r._full, r["__order"], r._rest) for r in made) == [(i,) * 4 for i in range(2060)]
+    assert len({r.taken for r in large if r.doc_id is None}) > 1
+    again = mixing.repeated(frame.drop("taken"), shard_rows=100)
+    assert again.columns == frame.drop("taken").columns and again.where("source = 'small'").count() == 180

@@ -31,9 +31,11 @@ def analysis_run(df: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = (
                  strict: bool = True, drop: Sequence[str] = ("amenities", "bathrooms_text")) -> Analysis:
     """Fit on the training side and score on the test side, every city on its own.
 
-    The split rows are staged without the long texts: fitting and scoring read them several times.
+    The split rows are staged without the long texts: fitting and scoring read them several times. Rows that
+    carry their side already, as ``is_test``, keep it.
     """
-    marked = split_exact(df.drop(*drop), rules.test_size, seed=rules.split_seed, key=key, by=by)
+    df = df.drop(*drop)
+    marked = df if "is_test" in df.columns else split_exact(df, rules.test_size, seed=rules.split_seed, key=key, by=by)
     rows = stage(marked, "split")
     train, test = (rows.filter(F.col("is_test") == flag).drop("is_test") for flag in (False, True))
     fits = fit_models(train, rules.models, by=by, reference_levels=rules.reference_levels, strict=strict)

@@ -16,6 +16,7 @@ from ..operators.features import (cap_values, centered_squares, distance_to_cent
 from ..operators.lookup import Lookup, pin
 from ..operators.missing import missing_rules
 from ..operators.rows import dedupe_first, drop_outliers, drop_zero, filter_plausible
+from ..operators.split import split_exact
 from ..rules import Rules
 from ..sources.staging import stage
 
@@ -73,13 +74,18 @@ def clean_listings(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str]
 
 def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] = ("city",), city: str | None = None,
                  order_by: Sequence[str] | None = None, keep: Sequence[str] = (), drop_text: bool = False,
-                 strict: bool = True) -> tuple[DataFrame, Fitted]:
+                 strict: bool = True, fit_on: str = "all", key: Sequence[str] = ("id",)) -> tuple[DataFrame, Fitted]:
     """Cleaned listings with every feature, and the values an apartment needs later.
 
     After the staged de-duplication everything is narrow: statistics come back as small lookups. ``drop_text``
     leaves the long texts out of the result once the dummies are made, which keeps the second staged
     table small.
+
+    ``fit_on="train"`` splits the cleaned listings first (``key`` names a row), learns caps, kept districts and centres from the training side alone and
+    keeps the side as ``is_test``, which the analysis then uses. No later step drops rows, so it is the split the analysis would make.
     """
+    if fit_on not in ("all", "train"):
+        raise RuleError(f"fit_on must be all or train, got {fit_on}")
     by = list(by)
     df = clean_listings(raw, rules, by=by, city=city, order_by=order_by, keep=keep, strict=strict,
                         defer_checks=True)
@@ -97,10 +103,16 @@ def training_run(raw: DataFrame, rules: Rules = Rules(), *, by: Sequence[str] =
                  | {f"a text of {', '.join(dict.fromkeys(r.source for r in rules.dummies))} is missing": F.col("__gap")},
                  strict)
     df = df.drop("__gap")
-    caps = pin(group_caps(df, rules.caps, by, strict), "caps")
-    kept = pin(frequent_categories(df, rules.category, by).select(*by, rules.category.column), "kept")
+    if fit_on == "train":
+        df = stage(split_exact(df, rules.test_size, seed=rules.split_seed, key=key, by=by), "clean-split")
+
+    def side(rows: DataFrame) -> DataFrame:
+        return rows.filter(~F.col("is_test")) if fit_on == "train" else rows
+
+    caps = pin(group_caps(side(df), rules.caps, by, strict), "caps")
+    kept = pin(frequent_categories(side(df), rules.category, by).select(*by, rules.category.column), "kept")
     df = cap_values(df, caps, rules.caps, by, strict=False)
-    centers = pin(df.groupBy(*by).agg(*[
+    centers = pin(side(df).groupBy(*by).agg(*[
         (F.avg(r.source) if r.center else F.first(F.lit(0.0))).alias(f"center_{r.source}") for r in rules.squares]),
         "centers")
     for rule in rules.ratios:

@@ -12,7 +12,7 @@ from ..plans.analysis import analysis_run
 from ..plans.findings import market_findings, market_job
 from ..plans.scoring import prediction_run, pricing_report
 from ..plans.training import inference_run, training_run
-from ..rules import AMENITIES
+from ..rules import AMENITIES, STATUS_MESSAGES
 from ..sources.staging import stage, staging_path
 from ..streaming.scorer import stream_score
 from .checks import Z_90, check, km, one_number_model, t_value
@@ -32,6 +32,26 @@ def training_run_query(spark, sf_dir):
     return df.select(*_WHOLE, *[rounded(c) for c in _FLOATS])
 
 
+_TRAIN_SIDE = """
+  clean_split AS (SELECT * EXCLUDE (rn, n), rn > n - CAST(round_even(0.2 * n, 0) AS BIGINT) AS is_test FROM (
+    SELECT *, row_number() OVER (PARTITION BY city ORDER BY md5(concat(CAST(id AS VARCHAR), ':42')), id) AS rn,
+      count(*) OVER (PARTITION BY city) AS n FROM clean)),
+  t_caps AS (SELECT city, room_type, floor(quantile_cont(accommodates, 0.995)) AS cap FROM clean_split WHERE NOT is_test GROUP BY city, room_type),
+  t_capped AS (SELECT c.* REPLACE (CASE WHEN accommodates > cap THEN CAST(cap AS INTEGER) ELSE accommodates END AS accommodates)
+    FROM clean_split c LEFT JOIN t_caps USING (city, room_type)),
+  t_kept AS (SELECT city, district FROM clean_split WHERE NOT is_test GROUP BY city, district HAVING count(*) >= 40),
+  t_centers AS (SELECT city, avg(accommodates) AS c_acc, avg(review_scores_rating) AS c_rating FROM t_capped WHERE NOT is_test GROUP BY city)"""
+
+
+@query("training_run_train", check("clean", """SELECT c.city, id, is_test, accommodates,
+    CASE WHEN k.district IS NULL THEN '_other' ELSE c.district END AS district, round(pow(accommodates - c_acc, 2), 6) AS accommodates_sq,
+    round(pow(review_scores_rating - c_rating, 2), 6) AS rating_sq
+    FROM t_capped c JOIN t_centers USING (city) LEFT JOIN t_kept k ON k.city = c.city AND k.district = c.district""", _TRAIN_SIDE))
+def training_run_train(spark, sf_dir):
+    df, _ = train(listings(spark, sf_dir), fit_on="train")
+    return df.select("city", "id", "is_test", "accommodates", "district", rounded("accommodates_sq"), rounded("rating_sq"))
+
+
 _INFERRED = ("accommodates_sq", "rating_sq", "proximity_city_center", "occupancy_rate", "ratio_occupancy_availability",
              "bedrooms", "beds", "bathrooms")
 
@@ -87,13 +107,36 @@ _SMALL_REFERENCE = """
       AND a.district = fine.district AND a.room_type = fine.room_type)"""
 
 
-@query("analysis_run_small", check("final_split", """SELECT city, count(*) AS n,
+_SMALL_SCORES = check("final_split", """SELECT city, count(*) AS n,
     round(1 - sum(pow(y - linear, 2)) / (var_pop(y) * count(*)), 6) AS r2_model_scale,
     round(1 - sum(pow(price - predicted, 2)) / (var_pop(price) * count(*)), 6) AS r2,
     round(median(abs(price - predicted)), 6) AS median_ae, round(avg(abs(price - predicted)), 6) AS mae
     FROM scored GROUP BY city""", _SMALL_SQL, """scored AS (SELECT test.city, price, ln(price) AS y,
       a + slope * accommodates AS linear, exp(a + slope * accommodates) * smearing AS predicted
-      FROM test JOIN s_group USING (city, room_type) JOIN s_fit USING (city))"""))
+      FROM test JOIN s_group USING (city, room_type) JOIN s_fit USING (city))""")
+
+
+@query("market_job_small", _SMALL_SCORES)
+def market_job_small(spark, sf_dir):
+    scores = market_job(listings(spark, sf_dir), SMALL, by=BY, order_by=ORDER, keep=("copy_order",)).filter("model = 'price'")
+    return scores.select("city", "n", *[rounded(c) for c in ("r2_model_scale", "r2", "median_ae", "mae")])
+
+
+@query("market_findings_small", check("final_split", """
+    SELECT city, section, line, label, round(value, 6) AS value FROM (
+      SELECT city, 'overview' AS section, unnest(range(5))::INTEGER AS line,
+        unnest(['listings', 'median price', 'first quartile price', 'third quartile price', 'median revenue']) AS label,
+        unnest([count(*)::DOUBLE, median(price), quantile_cont(price, 0.25), quantile_cont(price, 0.75), median(estimated_revenue)]) AS value
+      FROM final_split GROUP BY city
+      UNION ALL SELECT city, 'model quality', 1, 'price', 1 - sum(pow(ln(price) - a - slope * accommodates, 2)) / (var_pop(ln(price)) * count(*))
+      FROM test JOIN s_group USING (city, room_type) JOIN s_fit USING (city) GROUP BY city)""", _SMALL_SQL))
+def market_findings_small(spark, sf_dir):
+    found = market_findings(analysed(spark, sf_dir, SMALL)[0], replace(SMALL, importance_groups={"size": ("accommodates",)}))
+    shown = (F.col("section") == "overview") | ((F.col("section") == "model quality") & (F.col("label") == "price"))
+    return found.filter(shown).select("city", "section", "line", "label", rounded("value"))
+
+
+@query("analysis_run_small", _SMALL_SCORES)
 def analysis_run_small(spark, sf_dir):
     scores = analysed(spark, sf_dir, SMALL)[0].scores.filter("model = 'price'")
     return scores.select("city", "n", *[rounded(c) for c in ("r2_model_scale", "r2", "median_ae", "mae")])
@@ -123,6 +166,27 @@ def prediction_run_small(spark, sf_dir):
                      rounded("revenue.estimate", "revenue", 2), "assessment.status", rounded(near, "near_km"))
 
 
+_STATUS = """CASE WHEN "group" = 'listed' THEN
+      CASE WHEN price < lower THEN CASE WHEN own >= high_reference THEN 'underpriced' ELSE 'not_price_problem' END
+      WHEN price > upper THEN CASE WHEN own >= high_reference THEN 'unexplained_premium' ELSE 'overpriced' END
+      ELSE 'in_line' END END"""
+_MESSAGES = ", ".join(f"('{k}', '{v}')" for k, v in STATUS_MESSAGES.items())
+
+
+@query("pricing_report_small", check(("final_split", "inferred"), f"""SELECT city, id,
+    CASE WHEN district = '_other' THEN 'other districts' ELSE district END AS district, room_type, status,
+    round(CASE WHEN "group" = 'listed' THEN greatest(lower - price, price - upper, 0.0) END, 6) AS difference,
+    CASE WHEN price < lower THEN 'below the range' WHEN price > upper THEN 'above the range' ELSE 'inside the range' END AS position, message
+    FROM (SELECT *, {_STATUS} AS status FROM referenced) JOIN messages USING (status) UNION ALL
+    SELECT city, id, CASE WHEN district = '_other' THEN 'other districts' ELSE district END, room_type, NULL, NULL, NULL, NULL
+    FROM referenced WHERE "group" <> 'listed'""", _SMALL_SQL, _SMALL_RANGE, _SMALL_REFERENCE,
+    f"messages(status, message) AS (VALUES {_MESSAGES})"))
+def pricing_report_small(spark, sf_dir):
+    analysis, fitted = analysed(spark, sf_dir, SMALL)
+    bundle = prediction_run(inference_run(apartments(spark, sf_dir), fitted, SMALL), analysis, SMALL)
+    return pricing_report(bundle, SMALL).select("city", "id", "district", "room_type", "status", rounded("difference"), "position", "message")
+
+
 @query("analysis_run")
 def analysis_run_query(spark, sf_dir):
     return analysed(spark, sf_dir)[0].scores

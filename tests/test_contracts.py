@@ -9,6 +9,7 @@ from lodestay.operators.columns import set_types
 from lodestay.operators.spatial import nearest_k
 from lodestay.operators.split import split_exact
 from lodestay.sources.listings import read_listings
+from lodestay.sources.reports import save_report
 
 
 def test_distance_of_missing_coordinates(spark):
@@ -75,3 +76,14 @@ def test_random_split_follows_the_digest(spark, monkeypatch):
         assert sorted(r.id for r in marked if r.city == city and r.is_test) == sorted(order[210:])
     twice = spark.createDataFrame([(1,)] * 10 + [(2,)], "id int")
     assert split_exact(twice, 0.5, seed=1).filter("is_test").count() in (0, 1, 10)
+
+
+def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
+    path = f"{tmp_path}/report"
+    save_report(spark.range(5), path)
+    broken = spark.range(0, 1000, 1, 8).select(F.when(F.col("id") == 900, F.raise_error(F.lit("half way")).cast("long")).otherwise(F.col("id")).alias("id"))
+    with pytest.raises(Exception, match="half way"):
+        save_report(broken, path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(5)) and [p.name for p in tmp_path.iterdir()] == ["report"]
+    save_report(spark.read.parquet(path).filter("id > 2"), path)
+    assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4] and [p.name for p in tmp_path.iterdir()] == ["report"]

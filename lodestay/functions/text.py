@@ -7,20 +7,20 @@ from pyspark.sql import functions as F
 
 
 def parse_value(text: Column, type_name: str, lenient: bool = False) -> Column:
-    """``"$1,250.00"`` -> 1250.0; blank -> null. Other text fails the job, or gives null if lenient."""
+    """``"$2,080.50"`` -> 2080.5; blank -> null. Other text fails the job, or gives null if lenient."""
     cleaned = F.nullif(F.translate(F.trim(text), "$,", ""), F.lit(""))
     return cleaned.try_cast(type_name) if lenient else cleaned.cast(type_name)
 
 
 def parse_bathrooms(text: Column) -> Column:
-    """Number of bathrooms in a description: "1.5 shared baths" -> 1.5, "Half-bath" -> 0.5, else null."""
+    """Number of bathrooms in a description: "3 baths" -> 3, "Private half-bath" -> 0.5, else null."""
     lowered = F.lower(text)
     first_word = F.split(F.trim(lowered), r"\s+").getItem(0)
     return F.when(lowered.contains("half"), F.lit(0.5)).otherwise(first_word.try_cast("double"))
 
 
 def format_eur(amount: Column, digits: int = 0) -> Column:
-    """Euro text with thousands commas: 1234 -> ``€1,234``, -1234 -> ``€-1,234``."""
+    """Euro text with thousands commas: 98765 -> ``€98,765``, a minus sign stands after the symbol."""
     return F.concat(F.lit("€"), F.format_number(amount, digits))
 
 

@@ -89,7 +89,7 @@ def comparable_listings(queries: DataFrame, listings: DataFrame, *, n: int = 5,
     Columns: ``query_key``, ``columns`` of the listing, ``distance_km``, ``rank``.
     """
     if n < 1:
-        raise RuleError(f"n must be at least 1, got {n}")
+        raise RuleError(f"{n} comparable listings were asked for, one is the least")
     by = list(by)
     require_columns(listings, [*by, room_type, bedrooms, *columns], "comparable_listings")
     require_columns(queries, [*by, room_type, bedrooms, *query_key], "comparable_listings")

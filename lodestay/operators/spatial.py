@@ -52,7 +52,7 @@ def nearest_k(
     neighbours; a ``query_key`` that two queries share is an error.
     """
     if k < 1:
-        raise RuleError(f"n must be at least 1, got {k}")
+        raise RuleError(f"{k} nearest rows were asked for, one is the least")
     if round_km is not None and not 0 <= round_km <= 6:
         raise RuleError("round_km must be between 0 and 6")
     query_key, scope, order_by = list(query_key), list(scope), list(order_by)

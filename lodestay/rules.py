@@ -327,7 +327,7 @@ class Rules:
         for spec in self.models:
             if spec.name == name:
                 return spec
-        raise RuleError(f"no fit named {name}, available names: {', '.join(s.name for s in self.models)}")
+        raise RuleError(f"no model named {name}; there are {', '.join(s.name for s in self.models)}")
 
     @property
     def ratio_denominators(self) -> tuple[str, ...]:

@@ -80,13 +80,14 @@ def read_listings(spark: SparkSession, paths: str | list[str], columns: Iterable
     return reduce(DataFrame.unionByName, [reader.csv(same).select(*typed, source.alias("file_city")) for same in alike.values()])
 
 
-def read_cities(spark: SparkSession, cities: Mapping[str, City], data_dir: str) -> DataFrame:
-    """The files of every available city as one table with a ``city`` column."""
+def read_cities(spark: SparkSession, cities: Mapping[str, City], data_dir: str, columns: Iterable[str] = RELEVANT_COLUMNS,
+                multi_line: bool = True) -> DataFrame:
+    """The files of every available city as one table with a ``city`` column; ``columns`` and ``multi_line`` as in :func:`read_listings`."""
     found = available_cities(spark, cities, data_dir)
     if not found:
         raise RuleError(f"no listings file of a known city in {data_dir}")
     names = spark.createDataFrame([(c.lower(), c) for c in found], "file_city string, city string")
-    listings = read_listings(spark, [city_path(c, data_dir) for c in found])
+    listings = read_listings(spark, [city_path(c, data_dir) for c in found], columns, multi_line)
     return listings.join(F.broadcast(names), "file_city").drop("file_city")
 
 

@@ -8,7 +8,8 @@ from lodestay.functions.geo import haversine_km
 from lodestay.operators.columns import set_types
 from lodestay.operators.spatial import nearest_k
 from lodestay.operators.split import split_exact
-from lodestay.sources.listings import read_listings
+from lodestay.rules import City
+from lodestay.sources.listings import read_cities, read_listings
 from lodestay.sources.reports import save_report
 
 
@@ -87,3 +88,18 @@ def test_a_failed_report_leaves_the_old_one(spark, tmp_path):
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == list(range(5)) and [p.name for p in tmp_path.iterdir()] == ["report"]
     save_report(spark.read.parquet(path).filter("id > 2"), path)
     assert sorted(r.id for r in spark.read.parquet(path).collect()) == [3, 4] and [p.name for p in tmp_path.iterdir()] == ["report"]
+
+
+def test_cities_without_line_breaks_are_read_by_many_tasks(spark, tmp_path):
+    lines = ["id,note,price"] + [f'{i},"a, ""quoted"" note",$1' for i in range(4000)]
+    for city in ("Athens", "Madrid"):
+        (tmp_path / f"{city.lower()}_listings.csv").write_text("\n".join(lines))
+    cities = {c: City(0.0, 0.0, "EUR") for c in ("Athens", "Madrid", "Nowhere")}
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "20000")
+    try:
+        whole, split = (read_cities(spark, cities, str(tmp_path), ("id", "note"), multi_line=m) for m in (True, False))
+        assert split.rdd.getNumPartitions() > whole.rdd.getNumPartitions()
+        assert sorted(whole.collect()) == sorted(split.collect()) and split.groupBy("city").count().orderBy("city").collect() == [("Athens", 4000), ("Madrid", 4000)]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)

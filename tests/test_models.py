@@ -244,35 +244,30 @@ def test_rating_step_example():
 
 
 def test_assessment(spark):
-    cases = [("underpriced", 50.0, 0.8, 16.0), ("not_price_problem", 50.0, 0.3, 16.0), ("in_line", 100.0, 0.8, 0.0),
-             ("overpriced", 160.0, 0.3, 20.0), ("unexplained_premium", 160.0, 0.8, 20.0), ("in_line", 66.0, 0.3, 0.0),
-             ("in_line", 140.0, 0.3, 0.0)]
-    df = spark.createDataFrame([(*c, 66.0, 140.0, 0.6) for c in cases],
-                               "want string, price double, occupancy double, diff double, lower double, upper double, "
-                               "reference double")
+    cases = [("underpriced", 71.0, 0.5, 9.0), ("not_price_problem", 79.0, 0.1, 1.0), ("in_line", 80.0, 0.9, 0.0), ("in_line", 120.0, 0.0, 0.0),
+             ("overpriced", 133.0, 0.49, 13.0), ("unexplained_premium", 121.0, 0.9, 1.0)]
+    df = spark.createDataFrame([(*c, 80.0, 120.0, 0.5) for c in cases],
+                               "want string, price double, occupancy double, diff double, lower double, upper double, reference double")
     for r in assess_listing(df).collect():
         assert (r.status, r.difference) == (r.want, r["diff"])
 
 
 def test_occupancy_reference(spark):
-    rows = ([("A", "E", i / 100) for i in range(1, 21)] + [("B", "E", v) for v in (0.5, 0.6, 0.7)]
-            + [("A", "P", v) for v in (0.3, 0.4)])
+    rows = [("A", "E", v) for v in (0.2, 0.4, 0.6, 0.9)] + [("B", "E", v) for v in (0.1, 0.3)] + [("C", "P", 0.5)]
     train = spark.createDataFrame(rows, "district string, room_type string, occupancy_rate double")
-    rule = OccupancyRule(("district", "room_type"), 20, "room_type", 0.75)
-    asked = spark.createDataFrame([(1, "A", "E"), (2, "B", "E"), (3, "Z", "E")], "id int, district string, room_type string")
+    rule = OccupancyRule(("district", "room_type"), 4, "room_type", 0.75)
+    asked = spark.createDataFrame([(1, "A", "E"), (2, "B", "E"), (3, "Z", "E"), (4, "C", "P")], "id int, district string, room_type string")
     got = occupancy_reference(asked, train, rule, {"mid": 0.5, "high": 0.75}).orderBy("id").collect()
-    assert [r.mid for r in got] == pytest.approx([0.105, 0.12, 0.12])
-    assert got[0].high == pytest.approx(0.1525)
+    assert [r.mid for r in got] == pytest.approx([0.5, 0.35, 0.35, 0.5])
+    assert [r.high for r in got] == pytest.approx([0.675, 0.55, 0.55, 0.5])
     with pytest.raises(DataError):
-        occupancy_reference(asked.withColumn("room_type", F.lit("Hotel room")), train, rule)
+        occupancy_reference(asked.withColumn("room_type", F.lit("Tent")), train, rule)
 
 
 def test_revenue(spark):
-    df = spark.createDataFrame([(1, "listed", 72, 0.9, 101.0, 66.0, 140.0, 150.0), (2, "new", None, 0.4, 100.0, 66.0, 140.0, None)],
-                               "id int, group string, estimated_occupancy_l365d int, reference double, mean double, "
-                               "lower double, upper double, price double")
+    df = spark.createDataFrame([(1, "listed", 100, 0.7, 90.0, 60.0, 130.0, 85.0), (2, "new", None, 0.2, 110.0, 60.0, 130.0, None)],
+                               "id int, group string, estimated_occupancy_l365d int, reference double, mean double, lower double, upper double, price double")
     listed, new = revenue_estimate(df).orderBy("id").collect()
-    assert (listed.nights, listed.revenue, listed.revenue_lower, listed.revenue_upper, listed.own_revenue) == (
-        72.0, 7272.0, 4752.0, 10080.0, 10800.0)
-    assert (new.nights, new.revenue) == (146.0, 14600.0)
+    assert (listed.nights, listed.revenue, listed.revenue_lower, listed.revenue_upper, listed.own_revenue) == (100.0, 9000.0, 6000.0, 13000.0, 8500.0)
+    assert (new.nights, new.revenue) == (pytest.approx(73.0), pytest.approx(8030.0))
     assert new.revenue_lower is None and new.own_revenue is None

@@ -8,6 +8,8 @@ from functools import partial
 from pyspark.sql import functions as F
 
 from ..operators.effects import coefficients
+from ..operators.moments import INTERCEPT, feature, response
+from ..operators.regression import linear_predictors
 from ..plans.analysis import analysis_run
 from ..plans.findings import market_findings, market_job
 from ..plans.scoring import prediction_run, pricing_report
@@ -197,6 +199,26 @@ def ols_fit_full(spark, sf_dir):
     return coefficients(analysed(spark, sf_dir)[0].fits)
 
 
+_CATEGORIES = ("room_type", "district")
+_PRICE = RULES.model("price")
+
+
+@query("normal_equations_full", check("final_split", "SELECT city, term, 0.0::DOUBLE AS imbalance, n FROM (" + " UNION ALL ".join(
+    [f"SELECT city, '{t}' AS term, count(*) AS n FROM train GROUP BY city" for t in (INTERCEPT, *(c for c in _PRICE.predictors if c not in _CATEGORIES))]
+    + [f"SELECT city, concat('{c}: ', {c}), count(*) FROM train GROUP BY city, {c}" for c in _CATEGORIES]) + ")"))
+def normal_equations_full(spark, sf_dir):
+    """Least squares with every predictor has no closed form, but its residuals are orthogonal to each column: shown for every term of the price model."""
+    analysis, _ = analysed(spark, sf_dir)
+    scored = linear_predictors(analysis.train, analysis.fits, ["price"]).withColumn("e", response(_PRICE) - F.col("linear_price"))
+    parts = [F.struct(F.lit(INTERCEPT).alias("term"), F.lit(1.0).alias("x"))]
+    parts += [F.struct(F.concat(F.lit(f"{c}: "), c).alias("term"), F.lit(1.0).alias("x")) if c in analysis.fits.categories else
+              F.struct(F.lit(c).alias("term"), feature(c, _PRICE).alias("x")) for c in _PRICE.predictors]
+    long = scored.select("city", "e", F.inline(F.array(*parts)))
+    size = F.sqrt(F.sum(F.col("x") * F.col("x")) * F.sum(F.col("e") * F.col("e")))
+    imbalance = F.round(F.abs(F.coalesce(F.sum(F.col("x") * F.col("e")) / F.nullif(size, F.lit(0.0)), F.lit(0.0))), 6)
+    return long.groupBy("city", "term").agg(imbalance.alias("imbalance"), F.count(F.lit(1)).alias("n"))
+
+
 @query("group_importance_full")
 def group_importance_full(spark, sf_dir):
     return analysed(spark, sf_dir)[0].importance(RULES)

@@ -213,15 +213,95 @@ def test_language_model(docs, none):
     assert all(r.train_tokens == total and r.score < 0 for r in made) and rows(language_model.score(none, F.lit(False))) == []
 
 
+def small_vocabulary(texts):
+    counts = collections.Counter(w for t in texts for w in t.decode().split())
+    return language_model.Vocabulary(list(counts), np.array(list(counts.values())), len(texts), np.zeros((language_model.BUCKETS, 2)))
+
+
 @pytest.mark.parametrize("back", [2, 3])
 def test_language_model_uses_words_further_back(back):
     """A change of the word two or three back changes the features; inside a class the last two words and the one before count as well."""
-    model = language_model.Model({f"w{i}": 9 - i for i in range(9)}, 1, np.zeros((language_model.BUCKETS, 2)), 45, 9)
-    symbols, other = np.arange(6), np.arange(6)
+    vocab = small_vocabulary([b"a b c d e f g h i"])
+    model = language_model.Model(vocab.mass, vocab.symbol, 12)
+    codes = np.arange(6, dtype=np.uint32)
+    other = codes.copy()
     other[5 - back] = 8
     for at, used in enumerate((language_model._TOP_FEATURES, language_model._INNER_FEATURES)):
-        changed = [k for k in used if model.features(symbols, np.array([0]))[at][5, k] != model.features(other, np.array([0]))[at][5, k]]
-        assert changed == ([1, 2] if back == 2 else [3] if at == 0 else [])
+        found = [model.features(c, language_model.symbols_of(c, vocab.symbol), np.array([0]))[at] for c in (codes, other)]
+        assert [k for k in used if found[0][k, 5] != found[1][k, 5]] == ([1, 2] if back == 2 else [3] if at == 0 else [])
+
+
+def plain_model(texts, rounds, vocab):
+    """The same training, token by token, with a dictionary for each feature row."""
+    m = language_model
+    code, model = vocab.codes(), m.Model(vocab.mass, vocab.symbol, m.row_bits(vocab.total))
+    weights = [collections.defaultdict(lambda: np.zeros(m.CLASSES)), collections.defaultdict(lambda: np.zeros(m.PER_CLASS))]
+
+    def tokens(text):
+        codes = np.array([*(code[w] for w in text.lower().split()), m._END_CODE], dtype=np.uint32)
+        symbols = m.symbols_of(codes, vocab.symbol)
+        return list(zip(symbols, *(f.T for f in model.features(codes, symbols, np.array([0])))))
+
+    def chances(symbol, *found):
+        for table, bias, rows in zip(weights, (model.class_bias, model.inner_bias[symbol // m.PER_CLASS]), found):
+            logits = np.exp(bias + sum(table[r] for r in rows))
+            yield logits / logits.sum()
+
+    def gain(seen, share, w):
+        expected = seen.sum() * share
+        return np.log1p(np.maximum((seen - expected - m.PENALTY * w) / (expected + m.PENALTY), -0.9))
+
+    seen = [collections.defaultdict(lambda n=n: np.zeros(n)) for n in (m.CLASSES, m.PER_CLASS)]
+    for text in texts:
+        for s, *found in tokens(text):
+            for table, rows, which in zip(seen, found, (s // m.PER_CLASS, s % m.PER_CLASS)):
+                for r in rows:
+                    table[r][which] += 1
+    for table, held, share in zip(weights, seen, (np.exp(model.class_bias), np.exp(model.inner_bias).mean(axis=0))):
+        for r in held:
+            table[r] = m.START * gain(held[r], share, table[r])
+    for at in range(m.ROUNDS):
+        sums = [collections.defaultdict(float), collections.defaultdict(float)]
+        for text, dealt in zip(texts, rounds):
+            if dealt == at:
+                for s, *found in tokens(text):
+                    for table, p, rows in zip(sums, chances(s, *found), found):
+                        for r in rows:
+                            table[r] = table[r] + p
+        for table, held, expected in zip(weights, seen, sums):
+            for r, e in expected.items():
+                table[r] = table[r] + m.STEP * gain(held[r], e / e.sum(), table[r])
+    return lambda text: sum(np.log10(top[s // m.PER_CLASS] * inner[s % m.PER_CLASS]) for s, *f in tokens(text) for top, inner in [chances(s, *f)])
+
+
+def sentences(n):
+    random = np.random.default_rng(3)
+    names = [f"n{i}" for i in range(30)]
+    return [" ".join(f"the {random.choice(names)} likes {a} and {a[::-1]}x" for a in random.choice(names, 1 + i % 9)) for i in range(n)]
+
+
+def test_language_model_scores_by_brute_force_and_for_any_tasks(spark):
+    texts = sentences(160)
+    frame = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    held = F.col("doc_id") % 4 == 3
+    made = [{r.doc_id: r for r in language_model.score(frame.repartition(n, "doc_id"), held).collect()} for n in (2, 32)]
+    training = [t.encode() for i, t in enumerate(texts) if i % 4 != 3]
+    rounds = [r[0] for r in frame.where(~held).orderBy("doc_id").select(F.pmod(F.xxhash64("doc_id", "text"), F.lit(language_model.ROUNDS))).collect()]
+    plain = plain_model(training, rounds, small_vocabulary(training))
+    for i, text in enumerate(texts):
+        assert made[0][i].score == pytest.approx(made[1][i].score, rel=1e-6)
+        if not set(text.split()) - {w for t in training for w in t.decode().split()}:  # an unseen word has a share of its bucket besides
+            assert made[0][i].score == pytest.approx(plain(text.encode()), rel=1e-4)
+    for one in made:
+        assert sum(r.score - r.base_score for r in one.values() if r.held_out) > 0
+
+
+def test_language_model_joins_words_outside_the_head(spark, docs, monkeypatch):
+    """A head of a few words leaves the others to the join; counts and base scores stay the same."""
+    whole = {(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6), r.train_tokens) for r in language_model.score(docs, F.col("doc_id") == 2).collect()}
+    monkeypatch.setattr(language_model, "HEAD", 12)
+    made = {(r.doc_id, r.n_tokens): (r.n_known, round(r.base_score, 6), r.train_tokens) for r in language_model.score(docs, F.col("doc_id") == 2).collect()}
+    assert made == whole
 
 
 def test_language_id(docs, none):

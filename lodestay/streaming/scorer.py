@@ -9,15 +9,17 @@ from pyspark.sql.streaming import StreamingQuery
 from ..errors import RuleError
 from ..plans.analysis import Analysis
 from ..plans.training import Fitted, inference_run
-from ..operators.regression import price_range
+from ..plans.versions import Version, load_version, version_names
+from ..operators.regression import Fit, price_range
 from ..rules import Rules
 
 
-def score_rows(apartments: DataFrame, fitted: Fitted, analysis: Analysis, rules: Rules = Rules()) -> DataFrame:
+def score_rows(apartments: DataFrame, fitted: Fitted, models: Analysis | Fit, rules: Rules = Rules()) -> DataFrame:
     """Prepared and priced rows with ``reject_reason`` (null for a scored row). Batch or stream, no state."""
+    fits = models if isinstance(models, Fit) else models.fits
     spec = rules.model("price")
     prepared = inference_run(apartments, fitted, rules, strict=False)
-    priced = price_range(prepared, analysis.fits, "price", level=rules.interval_level, strict=False)
+    priced = price_range(prepared, fits, "price", level=rules.interval_level, strict=False)
     unknown_room = F.col("median").isNull()
     # what the predictors are made of: a gap in it is a gap in the price
     made = [(rules.distance.target, c) for c in (rules.distance.latitude, rules.distance.longitude)]
@@ -31,6 +33,15 @@ def score_rows(apartments: DataFrame, fitted: Fitted, analysis: Analysis, rules:
     return priced.withColumn("reject_reason", reason)
 
 
+def _store(batch: DataFrame, batch_id: int, output: str) -> None:
+    """Accepted and other rows of a micro-batch, each in the batch's own sub-folder."""
+    batch.persist()
+    for name, rows in (("scored", batch.filter("reject_reason IS NULL").drop("reject_reason")),
+                       ("rejected", batch.filter("reject_reason IS NOT NULL"))):
+        rows.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
+    batch.unpersist()
+
+
 def stream_score(source: DataFrame, fitted: Fitted, analysis: Analysis, *, output: str, checkpoint: str,
                  rules: Rules = Rules(), available_now: bool = True) -> StreamingQuery:
     """Start the scorer: accepted rows to ``<output>/scored``, others to ``<output>/rejected``.
@@ -41,13 +52,27 @@ def stream_score(source: DataFrame, fitted: Fitted, analysis: Analysis, *, outpu
     if not source.isStreaming:
         raise RuleError("stream_score: the source is not a stream")
     scored = score_rows(source, fitted, analysis, rules)
+    writer = scored.writeStream.foreachBatch(lambda batch, batch_id: _store(batch, batch_id, output)).option("checkpointLocation", checkpoint)
+    return (writer.trigger(availableNow=True) if available_now else writer).start()
+
+
+def stream_refreshed(source: DataFrame, versions: str, *, output: str, checkpoint: str, rules: Rules = Rules(),
+                     available_now: bool = True) -> StreamingQuery:
+    """``stream_score`` with the latest fit in the folder ``versions`` at the start of each micro-batch.
+
+    All rows of a batch are scored by one version, kept with them as ``fit_version``. A batch repeated after a failure may take a newer version than
+    its lost attempt; it replaces all that the attempt wrote. The tables of a version are read once, when it first appears.
+    """
+    if not source.isStreaming:
+        raise RuleError("stream_refreshed: the source is not a stream")
+    spark = source.sparkSession
+    held: list[Version] = [load_version(spark, versions, rules)]
 
-    def store(batch: DataFrame, batch_id: int) -> None:
-        batch.persist()
-        for name, rows in (("scored", batch.filter("reject_reason IS NULL").drop("reject_reason")),
-                           ("rejected", batch.filter("reject_reason IS NOT NULL"))):
-            rows.write.mode("overwrite").parquet(f"{output}/{name}/batch={batch_id}")
-        batch.unpersist()
+    def score(batch: DataFrame, batch_id: int) -> None:
+        if held[0].name != version_names(spark, versions)[-1]:
+            held[0] = load_version(spark, versions, rules)
+        rows = score_rows(batch, held[0].fitted, held[0].fits, rules)
+        _store(rows.withColumn("fit_version", F.lit(held[0].name)), batch_id, output)
 
-    writer = scored.writeStream.foreachBatch(store).option("checkpointLocation", checkpoint)
+    writer = source.writeStream.foreachBatch(score).option("checkpointLocation", checkpoint)
     return (writer.trigger(availableNow=True) if available_now else writer).start()

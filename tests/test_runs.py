@@ -4,8 +4,8 @@ from dataclasses import replace
 import pytest
 from pyspark.sql import functions as F
 
-from lodestay import (Fitted, RuleError, analysis_run, inference_run, market_findings, prediction_run, pricing_report,
-                      training_run)
+from lodestay import (Fitted, RuleError, analysis_run, drop_versions, inference_run, load_version, market_findings, prediction_run,
+                      pricing_report, publish_version, score_rows, stream_refreshed, training_run, version_names)
 from lodestay.errors import DataError
 from lodestay.operators.market import market_overview, price_boxplot, price_histogram
 from lodestay.rules import AMENITIES, Rules
@@ -145,6 +145,45 @@ def test_prediction_invariants(spark, run, tmp_path):
         inference_run(before.drop("is_superhost"), fitted, SMALL_RULES)
 
 
+@needs_data
+def test_stream_takes_a_new_fit_between_batches(spark, run, tmp_path):
+    _, fitted, analysis = run
+    root, feed, output = (str(tmp_path / n) for n in ("versions", "feed", "out"))
+    source = apartments(spark, SF).filter("id < 60").withColumn("latitude", F.when(F.col("id") % 7 > 0, F.col("latitude")))
+    with pytest.raises(RuleError, match="no version"):
+        stream_refreshed(spark.readStream.schema(source.schema).parquet(str(tmp_path)), root, output=output, checkpoint=str(tmp_path / "c"))
+    half = replace(analysis.fits, table=replace(analysis.fits.table, frame=analysis.fits.table.frame.withColumn("smearing", F.lit(0.5))))
+    names = [publish_version(fitted, half, root)]
+    assert version_names(spark, root) == names and load_version(spark, root, SMALL_RULES).name == names[0]
+    source.filter("id < 30").write.parquet(feed)
+    stream = stream_refreshed(spark.readStream.schema(source.schema).parquet(feed), root, output=output, checkpoint=str(tmp_path / "c"),
+                              rules=SMALL_RULES, available_now=False)
+    try:
+        stream.processAllAvailable()
+        names.append(publish_version(fitted, analysis.fits, root))
+        source.filter("id >= 30").write.mode("append").parquet(feed)
+        stream.processAllAvailable()
+    finally:
+        stream.stop()
+    rejected = spark.read.parquet(f"{output}/rejected")
+    assert {(r.id, r.reject_reason) for r in rejected.collect()} == {(r.id, "missing latitude") for r in source.filter("latitude IS NULL").collect()}
+    for fits, part, name in ((half, "id < 30", names[0]), (analysis.fits, "id >= 30", names[1])):
+        want = {r.id: r for r in score_rows(source, fitted, fits, SMALL_RULES).filter(part).filter("latitude IS NOT NULL").collect()}
+        made = {r.id: r for r in spark.read.parquet(f"{output}/scored").filter(part).collect()}
+        assert made.keys() == want.keys() and want
+        for i, r in want.items():
+            assert made[i].fit_version == name and made[i]["mean"] == pytest.approx(r["mean"]) and made[i].lower == pytest.approx(r.lower)
+    with pytest.raises(RuleError, match="other predictors: price"):
+        load_version(spark, root, replace(SMALL_RULES, models=tuple(replace(m, predictors=m.predictors[1:]) if m.name == "price" else m
+                                                                    for m in SMALL_RULES.models)))
+    with pytest.raises(RuleError, match="no version"):
+        load_version(spark, root, SMALL_RULES, "000000000009-" + "0" * 32)
+    # a version that was never finished has no name
+    (tmp_path / "versions" / "state-unfinished").mkdir()
+    assert drop_versions(spark, root, keep=1) == names[:1] and version_names(spark, root) == names[1:]
+    assert load_version(spark, root, SMALL_RULES).name == names[1]
+
+
 @needs_data
 def test_findings(run):
     _, _, analysis = run
@@ -164,7 +203,7 @@ def test_one_city_without_key(spark):
 
 
 QUICK = ("scan_cities", "dedupe_first", "missing_rules", "cap_values", "nearest_category", "split_exact", "ols_fit",
-         "group_importance", "price_range", "training_run", "prediction_run_small", "stream_score")
+         "group_importance", "price_range", "training_run", "prediction_run_small", "stream_score", "stream_refreshed")
 
 
 @needs_data

@@ -122,7 +122,7 @@ class Model:
     def _softmax(logits: np.ndarray) -> np.ndarray:
         logits -= logits.max(axis=1, keepdims=True)
         np.exp(logits, out=logits)
-        logits /= (logits @ np.ones(logits.shape[1], dtype=np.float32))[:, None]
+        logits /= logits.sum(axis=1, keepdims=True)
         return logits
 
     def chances(self, symbols: np.ndarray, rows: np.ndarray, inner_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,7 +339,7 @@ def _gather(codes: DataFrame, model: Model, add: Callable[[Model, list[np.ndarra
 
     blocks = "b long, w binary"
     result = [np.zeros(w.shape, dtype=np.float32) for w in model.weights]
-    for r in codes.coalesce(tasks).mapInArrow(run, blocks).repartition("b").mapInArrow(merge, blocks).toLocalIterator():
+    for r in codes.coalesce(tasks).mapInArrow(run, blocks).repartition("b").mapInArrow(merge, blocks).collect():
         table, at = result[r.b // per_table], r.b % per_table * BLOCK
         table[at:at + BLOCK] = np.frombuffer(r.w, dtype=np.float32).reshape(-1, table.shape[1])
     shared.destroy()

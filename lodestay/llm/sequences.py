@@ -32,10 +32,12 @@ BATCH_ROWS = 256
 SHARD_IDS = 1 << 26
 #: Encoded pieces a worker remembers; beyond, it starts anew.
 CACHE = 700_000
+#: New pieces given to the tokenizer at once; its objects are dropped before the next.
+TOGETHER = 32
 # Unicode white space, as the tokenizer's own pattern splits it.
 _SPACE = "\t-\r \x85\xa0" + "".join(map(chr, (0x1680, *range(0x2000, 0x200B), 0x2028, 0x2029, 0x202F, 0x205F, 0x3000)))
 _LETTERS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u00ff"
-_PIECE = re.compile(f" ?[{_LETTERS}]+(?=[.,;:!?|%&*#$/()'\"-])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
+_PIECE = re.compile(f" ?[{_LETTERS}]++(?=[.,;:!?|%&*#$/()'\"-])| ?[^{_SPACE}]+|[{_SPACE}]+(?![^{_SPACE}])|[{_SPACE}]+")
 
 
 class _Codes(dict):
@@ -86,12 +88,12 @@ class Encoder:
         split = [self._pieces(t) for t in texts]
         which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
         fresh, self.known.fresh = self.known.fresh, []
-        coded = []
-        for at in range(0, len(fresh), 1024):
-            coded += [np.array(c.ids, dtype=self.width) for c in self.tokenizer.encode_batch_fast(fresh[at:at + 1024], add_special_tokens=False)]
         if fresh:
-            self.ids = np.concatenate([self.ids, *coded])
-            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum([len(c) for c in coded])])
+            coded = [c.ids for at in range(0, len(fresh), TOGETHER)
+                     for c in self.tokenizer.encode_batch_fast(fresh[at:at + TOGETHER], add_special_tokens=False)]
+            sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
+            self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), dtype=self.width, count=int(sizes.sum()))])
+            self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
         ids, ends = self.ids, self.ends
         counts = ends[which + 1] - ends[which]
         sums = np.concatenate([[0], np.cumsum(counts)])

@@ -15,12 +15,12 @@ from .lookup import Lookup, lookup_join, pin
 from .quantiles import group_quantiles
 
 
-def group_caps(df: DataFrame, rule: CapRule, by: Sequence[str] = (), strict: bool = True) -> DataFrame:
-    """``floor(quantile)`` per group: columns ``by``, the group column, ``cap_<column>``."""
+def group_caps(df: DataFrame, rule: CapRule, by: Sequence[str] = (), strict: bool = True, weight: str | None = None) -> DataFrame:
+    """``floor(quantile)`` per group: columns ``by``, the group column, ``cap_<column>``. A row stands for ``weight`` rows."""
     require_columns(df, [*rule.columns, rule.group_by, *by], "group_caps")
     keys = [*by, rule.group_by]
     message = f"group_caps: a column of {', '.join(rule.columns)} has a missing value" if strict else None
-    raw = group_quantiles(df, {f"cap_{c}": (c, rule.quantile) for c in rule.columns}, keys, null_message=message)
+    raw = group_quantiles(df, {f"cap_{c}": (c, rule.quantile) for c in rule.columns}, keys, null_message=message, weight=weight)
     return raw.select(*keys, *[F.floor(f"cap_{c}").cast("double").alias(f"cap_{c}") for c in rule.columns])
 
 
@@ -113,10 +113,10 @@ def distance_to_center(df: DataFrame, rule: DistanceRule, *, center: tuple[float
     return result.drop(rule.latitude, rule.longitude) if rule.delete else result
 
 
-def frequent_categories(df: DataFrame, rule: CategoryRule, by: Sequence[str] = ()) -> DataFrame:
-    """Category values with at least ``min_count`` rows: ``by``, the column, ``n``."""
+def frequent_categories(df: DataFrame, rule: CategoryRule, by: Sequence[str] = (), weight: str | None = None) -> DataFrame:
+    """Category values with at least ``min_count`` rows: ``by``, the column, ``n``. A row stands for ``weight`` rows."""
     require_columns(df, [rule.column, *by], "frequent_categories")
-    counts = df.groupBy(*by, rule.column).agg(F.count(F.lit(1)).alias("n"))
+    counts = df.groupBy(*by, rule.column).agg((F.sum(weight) if weight else F.count(F.lit(1))).alias("n"))
     return counts.filter(F.col("n") >= rule.min_count)
 
 

@@ -15,7 +15,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ..errors import DataError
+from ..errors import DataError, RuleError
 from ..sources.staging import stage
 from .lookup import lookup_join, pin
 
@@ -32,13 +32,17 @@ def group_quantiles(
     null_message: str | None = None,
     bracket_rows: int = BRACKET_ROWS,
     approximate: bool = False,
+    weight: str | None = None,
 ) -> DataFrame:
     """One row per group. ``outputs`` maps a result name to ``(column, q)``.
 
     ``sizes`` maps a result name to a column (one of those in ``outputs``) whose known values are counted.
     ``null_message`` turns missing values into a ``DataError``; by default they are skipped.
     ``approximate`` uses ``percentile_approx`` in a single pass instead, after the same check.
+    ``weight`` names a whole-number column: how many rows a row stands for (exact quantiles only).
     """
+    if approximate and weight:
+        raise RuleError("approximate quantiles take plain rows, not weighted ones")
     by = list(by)
     sizes = dict(sizes or {})
     sources: dict[str, tuple[str, Column]] = {}
@@ -53,7 +57,8 @@ def group_quantiles(
     wanted = {name: (register(source), float(q)) for name, (source, q) in outputs.items()}
     sized = {name: register(source) for name, source in sizes.items()}
     names = [c for c, _ in sources.values()]
-    named = df.select(*by, *[expr.alias(c) for c, expr in sources.values()])
+    copies = F.lit(1) if weight is None else F.col(weight)
+    named = df.select(*by, *[expr.alias(c) for c, expr in sources.values()], copies.cast("long").alias("__n"))
 
     if approximate:
         aggs = [F.percentile_approx(c, q, 10_000).alias(name) for name, (c, q) in wanted.items()]
@@ -64,7 +69,7 @@ def group_quantiles(
         return told.drop("__gaps")
 
     pairs = F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).alias("value")) for c in names])
-    counts = stage(named.select(*by, F.inline(pairs)).groupBy(*by, "column", "value").agg(F.count(F.lit(1)).alias("n")), "value-counts")
+    counts = stage(named.select(*by, "__n", F.inline(pairs)).groupBy(*by, "column", "value").agg(F.sum("__n").alias("n")), "value-counts")
     known = F.when(F.col("value").isNotNull(), F.col("n"))
     shape = pin(counts.groupBy(*by, "column").agg(
         F.coalesce(F.sum(known), F.lit(0)).alias("n"), F.sum(F.when(F.col("value").isNull(), F.col("n"))).alias("gaps"),

@@ -101,13 +101,19 @@ def fit_models(df: DataFrame, specs: Sequence[ModelSpec], *, by: Sequence[str] =
     first level in order. ``learned`` reuses moments of the same rows.
     """
     specs, by = tuple(specs), tuple(by)
-    learned = learned or moments(df, specs, by, strict=strict)
+    return _with_smearing(df, fit_moments(learned or moments(df, specs, by, strict=strict), specs, reference_levels=reference_levels))
+
+
+def fit_moments(learned: Moments, specs: Sequence[ModelSpec], *, reference_levels: Mapping[str, str] | None = None) -> Fit:
+    """The same from moments alone. The smearing factor is a mean over rows under the final coefficients, so it is not there: terms,
+    effects and linear predictors can be had, predictions in the target's units need ``fit_models(..., learned=...)``."""
+    specs = tuple(specs)
     gone = eliminated(learned, specs)
     tables = [solve_models(learned, [s for s in specs if gone[s.name] == c], c, dict(reference_levels or {})) for c in dict.fromkeys(gone.values())]
     solved, levels = tables[0]
     for more, other in tables[1:]:
         solved, levels = solved.unionByName(more), levels.unionByName(other)
-    return _with_smearing(df, Fit(by, specs, learned.layout.categories, pin(solved, "fits"), pin(levels, "levels"), gone))
+    return Fit(learned.by, specs, learned.layout.categories, pin(solved, "fits"), pin(levels, "levels"), gone)
 
 
 def _with_smearing(df: DataFrame, fit: Fit) -> Fit:

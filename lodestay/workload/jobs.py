@@ -9,17 +9,19 @@ from pyspark.sql import functions as F
 
 from ..operators.effects import coefficients
 from ..operators.moments import INTERCEPT, feature, response
-from ..operators.regression import linear_predictors
+from ..operators.regression import fit_moments, linear_predictors
 from ..plans.analysis import analysis_run
 from ..plans.findings import market_findings, market_job
 from ..plans.scoring import prediction_run, pricing_report
-from ..plans.training import inference_run, training_run
+from ..plans.snapshots import add_counts, add_moments, fitted_from_counts, merged_moments
+from ..plans.training import clean_listings, inference_run, training_run
 from ..plans.versions import publish_version
 from ..rules import AMENITIES, STATUS_MESSAGES
 from ..sources.staging import stage, staging_path
 from ..streaming.scorer import stream_refreshed, stream_score
 from .checks import Z_90, check, km, one_number_model, t_value
 from .fixture import BY, ORDER, RULES, apartments, listings
+from .modelling import BASES, SIZE, split_rows
 from .registry import query, rounded
 
 train = partial(training_run, rules=RULES, by=BY, order_by=ORDER, keep=("copy_order",), drop_text=True)
@@ -55,6 +57,47 @@ def training_run_train(spark, sf_dir):
     return df.select("city", "id", "is_test", "accommodates", "district", rounded("accommodates_sq"), rounded("rating_sq"))
 
 
+def _snapshots(rows):
+    """A table as three snapshots of unlike sizes."""
+    return {name: rows.filter(f"id % 10 {which}") for name, which in (("first", "< 2"), ("second", "= 2"), ("third", "> 2"))}
+
+
+@query("training_run_snapshots", check(("caps", "kept", "centers"), """
+    SELECT city, 'cap' AS learned, room_type AS name, cap_accommodates AS value, cap_bedrooms AS bedrooms, cap_beds AS beds, cap_bathrooms AS bathrooms FROM caps
+    UNION ALL SELECT city, 'kept', district, NULL, NULL, NULL, NULL FROM kept
+    UNION ALL SELECT city, 'accommodates', NULL, round(c_acc, 6), NULL, NULL, NULL FROM centers
+    UNION ALL SELECT city, 'review_scores_rating', NULL, round(c_rating, 6), NULL, NULL, NULL FROM centers"""))
+def training_run_snapshots(spark, sf_dir):
+    clean = stage(clean_listings(listings(spark, sf_dir), RULES, by=BY, order_by=ORDER, keep=("copy_order",)), "clean")
+    root = staging_path(spark, "snapshots")
+    for name, rows in _snapshots(clean).items():
+        add_counts(rows, root, name, RULES, by=BY)
+    fitted = fitted_from_counts(spark, root, RULES, by=BY)
+    none = F.lit(None).cast("double")
+
+    def told(table, learned, name, value):
+        caps = [F.col(f"cap_{c}") if learned == "cap" else none for c in ("bedrooms", "beds", "bathrooms")]
+        return table.frame.select("city", F.lit(learned).alias("learned"), name.cast("string").alias("name"), value.alias("value"),
+                                  *[c.alias(n) for c, n in zip(caps, ("bedrooms", "beds", "bathrooms"))])
+
+    out = told(fitted.caps, "cap", F.col("room_type"), F.col("cap_accommodates")).unionByName(told(fitted.kept, "kept", F.col("district"), none))
+    for c in ("accommodates", "review_scores_rating"):
+        out = out.unionByName(told(fitted.centers, c, F.lit(None), rounded(f"center_{c}")))
+    return out
+
+
+@query("ols_fit_snapshots", check("split", """SELECT city, term, round(coef, 6) AS coef, round(se, 6) AS se, n, dof,
+    round(sigma2, 6) AS sigma2 FROM s_terms JOIN s_fit USING (city)""", "train AS (SELECT * FROM split WHERE NOT is_test)",
+    one_number_model("accommodates", "train", "s")))
+def ols_fit_snapshots(spark, sf_dir):
+    root = staging_path(spark, "snapshots")
+    for name, rows in _snapshots(split_rows(spark, sf_dir).filter(~F.col("is_test"))).items():
+        add_moments(rows, root, name, [SIZE], by=BY)
+    fit = fit_moments(merged_moments(spark, root), [SIZE], reference_levels=BASES)
+    return coefficients(fit, "size").join(fit.of("size").select("city", "n", "dof", "sigma2"), "city").select(
+        "city", "term", rounded("coef"), rounded("se"), "n", "dof", rounded("sigma2"))
+
+
 _INFERRED = ("accommodates_sq", "rating_sq", "proximity_city_center", "occupancy_rate", "ratio_occupancy_availability",
              "bedrooms", "beds", "bathrooms")
 

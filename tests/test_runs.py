@@ -203,7 +203,8 @@ def test_one_city_without_key(spark):
 
 
 QUICK = ("scan_cities", "dedupe_first", "missing_rules", "cap_values", "nearest_category", "split_exact", "ols_fit",
-         "group_importance", "price_range", "training_run", "prediction_run_small", "stream_score", "stream_refreshed")
+         "group_importance", "price_range", "training_run", "prediction_run_small", "stream_score", "stream_refreshed",
+         "training_run_snapshots", "ols_fit_snapshots")
 
 
 @needs_data

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import gc
 import re
+import sys
+import types
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -18,6 +20,12 @@ WORD = r"[^\x20\x09-\x0D]+"
 LETTER = re.compile(r"[^\W\d_]")
 
 
+def kept(name: str) -> dict:
+    """A dictionary a worker process keeps from task to task. Code travels to executors by value, so the globals of these modules are new in every task."""
+    home = sys.modules.setdefault("__lodestay_kept__", types.ModuleType("__lodestay_kept__"))
+    return home.__dict__.setdefault(name, {})
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

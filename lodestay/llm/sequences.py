@@ -23,7 +23,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage, staging_path
-from .common import ranges, slices
+from .common import kept, ranges, slices
 
 LENGTH = 2048
 END_ID = 0
@@ -83,7 +83,8 @@ class Encoder:
 
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
-        if len(self.known) > CACHE:
+        # a batch that failed half way may have left pieces without ids
+        if len(self.known) > CACHE or len(self.known) != len(self.ends) - 1:
             self.forget()
         split = [self._pieces(t) for t in texts]
         which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
@@ -101,14 +102,10 @@ class Encoder:
         return ids[ranges(ends[which], counts)], np.diff(sums[bounds])
 
 
-_encoders: dict[str, Encoder] = {}
-
-
 def encoder(path: str) -> Encoder:
     """One encoder for each file and worker process."""
-    if path not in _encoders:
-        _encoders[path] = Encoder(path)
-    return _encoders[path]
+    known = kept("encoders")
+    return known[path] if path in known else known.setdefault(path, Encoder(path))
 
 
 class _Shard:

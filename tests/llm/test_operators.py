@@ -4,12 +4,13 @@ import collections
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 import xxhash
 from pyspark.sql import functions as F
 
 from lodestay.llm import decontaminate, language_id, language_model, mixing, quality, repeats, sequences, simhash, token_counts, vector_index
-from lodestay.llm.common import components, crc_bucket
+from lodestay.llm.common import components, crc_bucket, kept
 from lodestay.llm.queries import tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, size long, score double, h long"
@@ -178,6 +179,34 @@ def test_sequences(docs, none):
     assert rows(sequences.read_documents(sequences.write_sequences(none, tokenizer("byte_bpe_50k.json")))) == []
 
 
+def test_encoder_recovers_from_a_failed_batch(monkeypatch):
+    coder = sequences.Encoder(tokenizer("byte_bpe_50k.json"))
+    wanted = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in ("one two", "two three")]
+
+    class Broken:
+        def encode_batch_fast(self, *_, **__):
+            raise RuntimeError("lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(coder, "tokenizer", Broken())
+        with pytest.raises(RuntimeError):
+            coder.encode(["one two"])
+    ids, counts = coder.encode(["one two", "two three"])
+    assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == wanted
+
+
+def test_an_encoder_stays_with_its_worker(spark):
+    """Tasks by value have new globals; what is kept outlives them: of many tasks only the first of each worker finds nothing."""
+    def first(batches):
+        for _ in batches:
+            home = kept("test")
+            home["seen"] = home.get("seen", 0) + 1
+            yield pa.RecordBatch.from_pydict({"first": [home["seen"] == 1]})
+
+    found = [r.first for r in spark.range(64).repartition(64).mapInArrow(first, "first boolean").collect()]
+    assert sum(found) < len(found) / 2
+
+
 def test_mixing(docs, none):
     made = mixing.mix(docs, block_words=4, shard_rows=3).collect()
     assert len(made) == len(ROWS)

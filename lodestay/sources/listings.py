@@ -74,8 +74,9 @@ def read_listings(spark: SparkSession, paths: str | list[str], columns: Iterable
         head = reader.csv(path)
         require_columns(head, columns, f"read_listings, {path}")
         alike.setdefault(tuple(head.columns), []).append(path)
-    # the city's "file" may also be a folder of part files
-    source = F.regexp_extract(F.url_decode(F.col("_metadata.file_path")), f"([^/]*){FILE_SUFFIX}(/[^/]*)?$", 1)
+    # the city's "file" may also be a folder of part files; no more than these two names are searched, for every row
+    tail = F.substring_index(F.col("_metadata.file_path"), "/", -2)
+    source = F.regexp_extract(F.url_decode(tail), f"([^/]*){FILE_SUFFIX}(/[^/]*)?$", 1)
     typed = [F.col(c).cast(_TYPED[c]).alias(c) if c in _TYPED else F.col(c) for c in columns]
     return reduce(DataFrame.unionByName, [reader.csv(same).select(*typed, source.alias("file_city")) for same in alike.values()])
 

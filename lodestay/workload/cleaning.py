@@ -13,7 +13,7 @@ from ..operators.missing import (fill_from_text, impute_group_median, impute_or_
                                  missing_fill_zero, missing_rules)
 from ..operators.rows import dedupe_first, drop_outliers, drop_zero, filter_plausible, outlier_fences
 from ..rules import COLUMN_TYPES, LABEL_MAPPING, RELEVANT_COLUMNS, SUBSCORES, TERM_LABELS
-from ..sources.listings import city_path, read_apartments, read_cities, read_listings
+from ..sources.listings import city_path, file_system_of, read_apartments, read_cities, read_listings
 from ..sources.reports import save_report
 from ..sources.staging import stage, staging_path
 from .checks import PARSE_BATHROOMS, check
@@ -61,10 +61,18 @@ def scan_listings(spark, sf_dir):
 @query("scan_cities", check("listings", f"SELECT city, {_SCAN} FROM listings"))
 def scan_cities(spark, sf_dir):
     folder = staging_path(spark, "csv")
-    raw = stage(listings(spark, sf_dir), "raw")
+    raw = listings(spark, sf_dir).select(*RELEVANT_COLUMNS, "city")
+    # one pass writes the folders of all cities; each then gets the name that the reader looks for
+    written = staging_path(spark, "cities")
+    raw.write.partitionBy("city").option("header", True).option("escape", '"').csv(written)
+    file_system, root = file_system_of(spark, folder)
+    file_system.mkdirs(root)
     for city in FIXTURE_CITIES:
-        raw.filter(F.col("city") == city).select(*RELEVANT_COLUMNS).write.option("header", True).option(
-            "escape", '"').csv(city_path(city, folder))
+        found, named = (file_system_of(spark, p)[1] for p in (f"{written}/city={city}", city_path(city, folder)))
+        if not file_system.exists(found):
+            raw.filter(F.lit(False)).drop("city").write.option("header", True).csv(named.toString())
+        elif not file_system.rename(found, named):
+            raise OSError(f"{found.toString()} was not renamed to {named.toString()}")
     return _scan_output(read_cities(spark, {**FIXTURE_CITIES, **RULES.cities, "NOWHERE": FIXTURE_CITIES["ASIA"]}, folder),
                         "city")
 

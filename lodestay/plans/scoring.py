@@ -58,7 +58,9 @@ def prediction_run(prepared: DataFrame, analysis: Analysis, rules: Rules = Rules
     """One row per apartment: price, revenue and assessment structs, arrays of tips and comparable listings."""
     by = list(analysis.by)
     keys = apartment_key(prepared, key, by)
-    priced = price_apartments(prepared, analysis, rules, group=group, strict=strict)
+    # a table of apartments may be one file that one task reads, and a row's interval and tips are long sums: they are dealt out by key, as the join wants them
+    dealt = prepared.repartition(int(prepared.sparkSession.conf.get("spark.sql.shuffle.partitions")), *keys)
+    priced = price_apartments(dealt, analysis, rules, group=group, strict=strict)
     near = comparable_listings(prepared, analysis.train, n=rules.comparables, query_key=keys, by=by,
                                distance=rules.distance, **search)
     columns = [c for c in near.columns if c not in keys]

@@ -1,7 +1,11 @@
 """Steps whose cost must not grow faster than their rows."""
 
+from types import SimpleNamespace
+
+import pytest
 from pyspark.sql import DataFrameWriter
 
+from lodestay.plans import scoring
 from lodestay.sources.listings import read_listings
 from lodestay.workload.cleaning import scan_cities
 from lodestay.workload.fixture import FIXTURE_CITIES, listings
@@ -45,3 +49,17 @@ def test_the_city_is_looked_for_in_the_last_names_of_a_path(spark, tmp_path):
     rows = read_listings(spark, str(folder), ["id"])
     assert {r.file_city for r in rows.collect()} == {"new york"}
     assert "substring_index" in rows._jdf.queryExecution().optimizedPlan().toString()
+
+
+def test_apartments_of_one_task_are_dealt_out_before_they_are_priced(spark, monkeypatch):
+    class Seen(Exception):
+        pass
+
+    def price(prepared, *args, **options):
+        raise Seen(prepared.rdd.getNumPartitions(), sorted(r.id for r in prepared.collect()))
+
+    monkeypatch.setattr(scoring, "price_apartments", price)
+    one = spark.createDataFrame([("x", k) for k in range(50)], "city string, id long").coalesce(1)
+    with pytest.raises(Seen) as seen:
+        scoring.prediction_run(one, SimpleNamespace(by=("city",)))
+    assert seen.value.args == (int(spark.conf.get("spark.sql.shuffle.partitions")), list(range(50)))

@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from ..errors import RuleError, require_columns, require_rows
 from ..rules import OutlierRule, PlausibilityRule
@@ -18,10 +19,12 @@ def dedupe_first(df: DataFrame, keys: Sequence[str], order_by: Sequence[str]) ->
     """Keep the first row per key in the order of ``order_by``.
 
     The ``row_number() = 1`` filter becomes a group limit on the map side, so at most one row per key and
-    task is shuffled, however many copies one key has.
+    task is shuffled, however many copies one key has. Rows are sorted by their keys twice; a sort compares the
+    first key by its leading bytes, so numbers stand before texts, few of which may be distinct.
     """
     require_columns(df, [*keys, *order_by], "dedupe_first")
-    window = Window.partitionBy(*keys).orderBy(*order_by)
+    numbers_first = sorted(keys, key=lambda c: not isinstance(df.schema[c].dataType, T.NumericType))
+    window = Window.partitionBy(*numbers_first).orderBy(*order_by)
     return df.withColumn("__rn", F.row_number().over(window)).filter("__rn = 1").drop("__rn")
 
 

@@ -5,6 +5,7 @@ from types import SimpleNamespace
 import pytest
 from pyspark.sql import DataFrameWriter
 
+from lodestay.operators.rows import dedupe_first
 from lodestay.plans import scoring
 from lodestay.sources.listings import read_listings
 from lodestay.workload.cleaning import scan_cities
@@ -51,6 +52,13 @@ def test_the_city_is_looked_for_in_the_last_names_of_a_path(spark, tmp_path):
     assert "substring_index" in rows._jdf.queryExecution().optimizedPlan().toString()
 
 
+def test_rows_are_sorted_by_numbers_before_texts(spark):
+    df = spark.createDataFrame([("x", 1, 2), ("x", 1, 1), ("y", 1, 3), (None, None, 4), (None, None, 5)], "city string, id long, at int")
+    kept = dedupe_first(df, ["city", "id"], ["at"])
+    assert sorted(r.at for r in kept.collect()) == [1, 3, 4] and kept.columns == df.columns
+    assert "Sort [id" in kept._jdf.queryExecution().executedPlan().toString()
+
+
 def test_apartments_of_one_task_are_dealt_out_before_they_are_priced(spark, monkeypatch):
     class Seen(Exception):
         pass

@@ -1,10 +1,12 @@
 """Steps whose cost must not grow faster than their rows."""
 
+import hashlib
 from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import DataFrameWriter
 
+from lodestay.operators import split
 from lodestay.operators.rows import dedupe_first
 from lodestay.plans import scoring
 from lodestay.sources.listings import read_listings
@@ -71,3 +73,33 @@ def test_apartments_of_one_task_are_dealt_out_before_they_are_priced(spark, monk
     with pytest.raises(Seen) as seen:
         scoring.prediction_run(one, SimpleNamespace(by=("city",)))
     assert seen.value.args == (int(spark.conf.get("spark.sql.shuffle.partitions")), list(range(50)))
+
+
+def _split_in_python(rows, fraction, seed):
+    """(group, key) -> is_test for whole groups in the order of digest and key; copies of a key have one side."""
+    sides = {}
+    for group in {g for g, _ in rows}:
+        def order(k):
+            return hashlib.md5((f"{seed}" if k is None else f"{k}:{seed}").encode()).hexdigest(), k is not None, k or 0
+        own = sorted((k for g, k in rows if g == group), key=order)
+        last = own[len(own) - round(fraction * len(own)) - 1]
+        sides |= {(group, k): order(k) > order(last) for k in own}
+    return sides
+
+
+@pytest.mark.parametrize("cell_rows", [500_000, 3])
+def test_random_split_reads_its_rows_twice_whatever_their_digests(spark, monkeypatch, cell_rows):
+    rows = [(g, k) for g in ("a", "b", None) for k in [*range(400), None, *[7] * 50]]
+    df = spark.createDataFrame(rows, "g string, k long")
+
+    def narrowed_step_by_step(*_, **__):
+        raise AssertionError("the digests were narrowed by approximate quantiles, several passes over all rows")
+
+    monkeypatch.setattr(split, "select_ranks", narrowed_step_by_step)
+    monkeypatch.setattr(split, "CELL_ROWS", cell_rows, raising=False)
+    monkeypatch.setattr(split, "DIGITS", 1, raising=False)
+    got = split.split_exact(df, 0.2, seed=42, key=["k"], by=["g"]).collect()
+    assert len(got) == len(rows)
+    assert {(r.g, r.k): r.is_test for r in got} == _split_in_python(rows, 0.2, 42)
+    alone = split.split_exact(df.filter("g = 'a'"), 0.2, seed=42, key=["k"]).collect()
+    assert {(r.g, r.k): r.is_test for r in alone} == _split_in_python([r for r in rows if r[0] == "a"], 0.2, 42)

@@ -36,6 +36,8 @@ HEAD = 200_000
 #: Rounds, the parts of the first and the later steps that are taken, and the penalty on half the square of a weight.
 ROUNDS, START, STEP, PENALTY = 4, 0.4, 0.4, 8.0
 BATCH, BLOCK = 16384, 1024
+#: Tokens whose logits are worked on at a time: few enough for them to stay in a core's cache.
+CACHED = 2048
 #: Features of the classes: last word, last two, second and third word back (skips); inside a class the first three of them.
 _TOP_FEATURES, _INNER_FEATURES = (0, 1, 2, 3), (0, 1, 2)
 #: Codes below it are head words; the end of a text; from ``_TAIL`` on bucket (8 bits) and hash (23 bits) of other words.
@@ -118,24 +120,22 @@ class Model:
         parts = list(self.parts(codes, starts, symbols))
         return np.concatenate([p[1] for p in parts], axis=1), np.concatenate([p[2] for p in parts], axis=1)
 
-    @staticmethod
-    def _softmax(logits: np.ndarray) -> np.ndarray:
-        logits -= logits.max(axis=1, keepdims=True)
-        np.exp(logits, out=logits)
-        logits /= logits.sum(axis=1, keepdims=True)
-        return logits
-
-    def chances(self, symbols: np.ndarray, rows: np.ndarray, inner_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Probabilities of all classes, and of the symbols in the token's own class."""
-        found = []
+    def _shares(self, symbols: np.ndarray, rows: np.ndarray, inner_rows: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        """What probabilities are in proportion to, and its sums by token: of all classes, then of the symbols in the token's own class."""
         for table, bias, places in ((self.weights[0], self.class_bias, rows), (self.weights[1], self.inner_bias[symbols // PER_CLASS], inner_rows)):
             logits = table.take(places[0], axis=0)
             other = np.empty_like(logits)
             for r in places[1:]:
                 logits += table.take(r, axis=0, out=other, mode="clip")
             logits += bias
-            found.append(self._softmax(logits))
-        return found[0], found[1]
+            logits -= logits.max(axis=1, keepdims=True)
+            np.exp(logits, out=logits)
+            yield logits, logits.sum(axis=1, keepdims=True)
+
+    def chances(self, symbols: np.ndarray, rows: np.ndarray, inner_rows: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Probabilities of all classes, and of the symbols in the token's own class."""
+        top, inner = (np.divide(shares, sums, out=shares) for shares, sums in self._shares(symbols, rows, inner_rows))
+        return top, inner
 
     def parts(self, codes: np.ndarray, starts: np.ndarray, symbols: np.ndarray | None = None,
               size: int = BATCH) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
@@ -155,26 +155,30 @@ class Model:
     def log_scores(self, codes: np.ndarray, starts: np.ndarray) -> np.ndarray:
         """log10 of each symbol's probability."""
         out = []
-        for symbols, rows, inner_rows in self.parts(codes, starts):
-            top, inner = self.chances(symbols, rows, inner_rows)
-            i = np.arange(len(symbols))
-            out.append(np.log10(np.maximum(top[i, symbols // PER_CLASS].astype(float) * inner[i, symbols % PER_CLASS], 1e-30)))
+        for symbols, rows, inner_rows in self.parts(codes, starts, size=CACHED):
+            i, own = np.arange(len(symbols)), (symbols // PER_CLASS, symbols % PER_CLASS)
+            top, inner = (shares[i, which] / sums[:, 0] for (shares, sums), which in zip(self._shares(symbols, rows, inner_rows), own))
+            out.append(np.log10(np.maximum(top.astype(float) * inner, 1e-30)))
         return np.concatenate(out)
 
     def observe(self, sums: list[np.ndarray], codes: np.ndarray, starts: np.ndarray) -> None:
         """Adds to ``sums``, a line for each class and a column for each row, how often feature rows met classes, and symbols of the class."""
-        for symbols, rows, inner_rows in self.parts(codes, starts, size=1 << 18):
+        for symbols, rows, inner_rows in self.parts(codes, starts):
             for table, found, which in zip(sums, (rows, inner_rows), (symbols // PER_CLASS, symbols % PER_CLASS)):
                 for r in found:
-                    cell, n = np.unique((which << self.bits) + r, return_counts=True)
-                    table.reshape(-1)[cell] += n
+                    np.add.at(table.reshape(-1), (which << self.bits) + r, 1.0)
 
     def expect(self, sums: list[np.ndarray], codes: np.ndarray, starts: np.ndarray) -> None:
         """Adds to ``sums`` the same, as this model expects it."""
         rows = 1 << self.bits
         for symbols, *found in self.parts(codes, starts, size=min(max(BATCH, rows), 1 << 17)):
-            for table, chances, places in zip(sums, self.chances(symbols, *found), found):
-                for line, chance in zip(table, np.ascontiguousarray(chances.T, dtype=np.float64)):
+            lines = [np.empty((len(table), len(symbols))) for table in sums]
+            for at in range(0, len(symbols), CACHED):
+                cut = slice(at, at + CACHED)
+                for into, chances in zip(lines, self.chances(symbols[cut], *(places[:, cut] for places in found))):
+                    into[:, cut] = chances.T
+            for table, whole, places in zip(sums, lines, found):
+                for line, chance in zip(table, whole):
                     for r in places:
                         line += np.bincount(r, chance, rows)
 

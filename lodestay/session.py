@@ -11,6 +11,8 @@ SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # generated methods above 8000 bytes are never compiled to machine code; fall back to smaller ones
     "spark.sql.codegen.hugeMethodLimit": "8000",
+    # one loop over all columns of a wide row stays just below that limit and runs badly compiled; wide operators work by their own small projections
+    "spark.sql.codegen.maxFields": "25",
 }
 
 

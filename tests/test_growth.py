@@ -5,6 +5,7 @@ from types import SimpleNamespace
 
 import pytest
 from pyspark.sql import DataFrameWriter
+from pyspark.sql import functions as F
 
 from lodestay.operators import split
 from lodestay.operators.rows import dedupe_first
@@ -103,3 +104,15 @@ def test_random_split_reads_its_rows_twice_whatever_their_digests(spark, monkeyp
     assert {(r.g, r.k): r.is_test for r in got} == _split_in_python(rows, 0.2, 42)
     alone = split.split_exact(df.filter("g = 'a'"), 0.2, seed=42, key=["k"]).collect()
     assert {(r.g, r.k): r.is_test for r in alone} == _split_in_python([r for r in rows if r[0] == "a"], 0.2, 42)
+
+
+def _operators(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_operators_over_wide_rows_work_by_small_projections(spark, tmp_path):
+    path = str(tmp_path / "wide")
+    spark.range(20).select("id", *[(F.col("id") % k).cast("double").alias(f"c{k}") for k in range(1, 40)]).write.parquet(path)
+    wide = spark.read.parquet(path).filter("c3 > 0").withColumns({f"c{k}": F.col(f"c{k}") + k for k in range(1, 40)})
+    assert "*(1)" not in _operators(wide) and "*(1)" in _operators(spark.read.parquet(path).filter("c3 > 0").select(F.col("c2") + 1))
+    assert sorted(r.c39 for r in wide.select("c39").collect()) == sorted(float(k + 39) for k in range(20) if k % 3)

@@ -15,8 +15,10 @@ def parse_value(text: Column, type_name: str, lenient: bool = False) -> Column:
 def parse_bathrooms(text: Column) -> Column:
     """Number of bathrooms in a description: "3 baths" -> 3, "Private half-bath" -> 0.5, else null."""
     lowered = F.lower(text)
-    first_word = F.split(F.trim(lowered), r"\s+").getItem(0)
-    return F.when(lowered.contains("half"), F.lit(0.5)).otherwise(first_word.try_cast("double"))
+    # a split compiles its pattern for every row, and a cast that fails costs an exception: words that hold no number are told apart first
+    first_word = F.regexp_extract(F.trim(lowered), r"^(\S*)", 1)
+    number = F.when(first_word.rlike("[0-9]|inf|nan"), first_word.try_cast("double"))
+    return F.when(lowered.contains("half"), F.lit(0.5)).otherwise(number)
 
 
 def format_eur(amount: Column, digits: int = 0) -> Column:

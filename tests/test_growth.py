@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
+from lodestay.functions.text import parse_bathrooms
 from lodestay.operators import split
 from lodestay.operators.rows import dedupe_first
 from lodestay.plans import scoring
@@ -116,3 +117,12 @@ def test_operators_over_wide_rows_work_by_small_projections(spark, tmp_path):
     wide = spark.read.parquet(path).filter("c3 > 0").withColumns({f"c{k}": F.col(f"c{k}") + k for k in range(1, 40)})
     assert "*(1)" not in _operators(wide) and "*(1)" in _operators(spark.read.parquet(path).filter("c3 > 0").select(F.col("c2") + 1))
     assert sorted(r.c39 for r in wide.select("c39").collect()) == sorted(float(k + 39) for k in range(20) if k % 3)
+
+
+def test_bathroom_texts_are_read_without_a_pattern_or_an_exception_a_row(spark):
+    want = {"3 baths": 3.0, "  1.5 shared": 1.5, "Half-bath": 0.5, "Private half-bath": 0.5, "Bathroom": None, "": None, "   ": None, "\t2 baths": None,
+            "2\tbaths": 2.0, "1e1 baths": 10.0, "-2 baths": -2.0, "Infinity baths": float("inf"), "-inf": float("-inf"), "2d": 2.0, "0x1p3": 8.0,
+            "2,5 baths": None, "information": None, "bath 2": None, "\u0663 baths": None, None: None}
+    df = spark.createDataFrame([(t,) for t in want], "t string").select("t", parse_bathrooms(F.col("t")).alias("n"))
+    assert {r.t: r.n for r in df.collect()} == want
+    assert "split(" not in df._jdf.queryExecution().optimizedPlan().toString()

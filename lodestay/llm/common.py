@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import ctypes
 import gc
 import re
 import sys
@@ -26,6 +27,36 @@ def kept(name: str) -> dict:
     return home.__dict__.setdefault(name, {})
 
 
+def give_back() -> None:
+    """Returns memory that was freed in this process to the system; else it stays with the process, beside what the JVM takes."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # only glibc has it
+    if trim:
+        trim(0)
+
+
+def lean(function: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], *names: str) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """The same task, which drops what its worker process keeps beside ``names`` before it begins, and gives its own memory back when it ends.
+
+    Spark hands worker processes on from one operator's tasks to the next one's, which would carry the dictionaries and the peaks of all before.
+    """
+
+    def run(batches):
+        home = sys.modules.get("__lodestay_kept__")
+        others = [k for k, v in vars(home).items() if isinstance(v, dict) and not k.startswith("__") and k not in names] if home else []
+        for k in others:
+            vars(home)[k].clear()
+        if others:
+            gc.collect()
+            give_back()
+        try:
+            yield from function(batches)
+        finally:
+            give_back()
+
+    return run
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
@@ -53,7 +84,7 @@ def arrow_map(df: DataFrame, function: Callable[[pa.RecordBatch], Iterator[pa.Re
             if batch.num_rows:
                 yield from function(batch)
 
-    return df.mapInArrow(run, schema)
+    return df.mapInArrow(lean(run), schema)
 
 
 def slices(batch: pa.RecordBatch, column: int, limit: int = 4 << 20) -> Iterator[pa.RecordBatch]:

@@ -15,7 +15,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import lower_words, slices
+from .common import lean, lower_words, slices
 from .repeats import _MIX, _numbered, _word_hashes, rolling
 
 GRAM, SCORE = 3, 0.6
@@ -159,7 +159,7 @@ def _block_leaks(rows: DataFrame, ids: list, tokens: list, schema: str, least_sc
             yield pa.record_batch([pa.array(np.full(len(some), size)), pa.array(some), pa.array(n[some])], names=["size", "at", "n"])
 
     totals = {size: np.zeros(len(g), dtype=np.int64) for size, g in grams.items()}
-    for r in rows.select("text").mapInArrow(count, "size long, at long, n long").groupBy("size", "at").agg(F.sum("n").alias("n")).toLocalIterator():
+    for r in rows.select("text").mapInArrow(lean(count), "size long, at long, n long").groupBy("size", "at").agg(F.sum("n").alias("n")).toLocalIterator():
         totals[r.size][r.at] = r.n
     chosen: dict[int, tuple[int, int, np.ndarray]] = {}
     for size, (h, owner) in seeds.items():
@@ -213,7 +213,7 @@ def _block_leaks(rows: DataFrame, ids: list, tokens: list, schema: str, least_sc
                     docs, found_items, scores, ends = zip(*out)
                     yield pa.table({"doc_id": part.column(0).take(pa.array(docs)), "item_id": pa.array(found_items), "score": pa.array(scores), "end_word": pa.array(ends)}).to_batches()[0]
 
-    return stage(rows.select("id", "text").mapInArrow(score, schema), "leaks")
+    return stage(rows.select("id", "text").mapInArrow(lean(score), schema), "leaks")
 
 
 def _regions(places: list[int], around: int, length: int):

@@ -13,7 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from .common import LETTER, slices
+from .common import LETTER, lean, slices
 
 UNKNOWN = "und"
 #: Training windows for each language, and their length in characters.
@@ -62,7 +62,10 @@ class Network:
     def probabilities(self, lanes: np.ndarray) -> np.ndarray:
         """(length, lanes, languages)"""
         s, _, _ = self.states(lanes)
-        logits = s[0] @ self.p["out"][:HIDDEN] + s[1] @ self.p["out"][HIDDEN:] + self.p["bias"]
+        logits = s[0] @ self.p["out"][:HIDDEN]
+        logits += s[1] @ self.p["out"][HIDDEN:]
+        logits += self.p["bias"]
+        del s
         logits -= logits.max(axis=-1, keepdims=True)
         np.exp(logits, out=logits)
         logits /= logits.sum(axis=-1, keepdims=True)
@@ -178,4 +181,4 @@ def identify(docs: DataFrame, held_out: Column, id_col: str = "doc_id", text_col
 
     given = rows.select("id", "held", "text", "rest")
     schema = f"doc_id {docs.schema[id_col].dataType.simpleString()}, held_out boolean, lang_pred string, score double, rest {given.schema['rest'].dataType.simpleString()}"
-    return given.mapInArrow(run, schema).select("doc_id", "held_out", "lang_pred", "score", *(["rest"] if rest else []))
+    return given.mapInArrow(lean(run), schema).select("doc_id", "held_out", "lang_pred", "score", *(["rest"] if rest else []))

@@ -19,6 +19,7 @@ ORACLES: dict[str, str] = {}
 def prepared(spark: SparkSession) -> SparkSession:
     """Session settings of the package, and Arrow batches that stay small with long texts."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
     return tune(spark)
 
 

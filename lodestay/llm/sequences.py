@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import os
 import re
+import sys
 import uuid
 import zlib
 from itertools import chain
@@ -23,15 +24,16 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage, staging_path
-from .common import kept, ranges, slices
+from .common import kept, lean, ranges, slices
 
 LENGTH = 2048
 END_ID = 0
 #: Sequences in a record batch, and ids after which a task begins another shard.
 BATCH_ROWS = 256
 SHARD_IDS = 1 << 26
-#: Encoded pieces a worker remembers; beyond, it starts anew.
-CACHE = 700_000
+#: Bytes of encoded pieces a worker remembers, and those of one beside its text and ids (number, place in the dictionary, end, uses); beyond, the half
+#: used least goes.
+CACHE, ENTRY = 64 << 20, 112
 #: New pieces given to the tokenizer at once; its objects are dropped before the next.
 TOGETHER = 32
 # Unicode white space, as the tokenizer's own pattern splits it.
@@ -72,6 +74,23 @@ class Encoder:
 
     def forget(self):
         self.known, self.ids, self.ends = _Codes(), np.empty(0, dtype=self.width), np.zeros(1, dtype=np.int64)
+        self.uses, self.held = np.zeros(0, dtype=np.int64), 0
+
+    def _size(self, pieces: list[str], ids: int) -> int:
+        return sum(map(sys.getsizeof, pieces)) + ENTRY * len(pieces) + ids * self.ids.itemsize
+
+    def _drop_rare(self):
+        """The half of the pieces used most stays; former uses count half from now on."""
+        often = np.sort(np.argsort(-self.uses, kind="stable")[: len(self.uses) // 2])
+        pieces = list(self.known)
+        pieces = [pieces[i] for i in often.tolist()]
+        counts = np.diff(self.ends)[often]
+        ids, uses = self.ids[ranges(self.ends[often], counts)], self.uses[often] // 2
+        held = self._size(pieces, len(ids))
+        self.forget()
+        if held <= CACHE // 4 * 3:  # else a few long pieces hold most
+            self.known.update(zip(pieces, range(len(pieces))))
+            self.ids, self.ends, self.uses, self.held = ids, np.concatenate([[0], np.cumsum(counts)]), uses, held
 
     def _pieces(self, text: str) -> list[str]:
         if self.special is None or not self.special.search(text):
@@ -84,8 +103,10 @@ class Encoder:
     def encode(self, texts: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """All ids, and how many each text has."""
         # a batch that failed half way may have left pieces without ids
-        if len(self.known) > CACHE or len(self.known) != len(self.ends) - 1:
+        if len(self.known) != len(self.ends) - 1:
             self.forget()
+        elif self.held > CACHE:
+            self._drop_rare()
         split = [self._pieces(t) for t in texts]
         which = np.fromiter(map(self.known.__getitem__, chain.from_iterable(split)), dtype=np.int64)
         fresh, self.known.fresh = self.known.fresh, []
@@ -95,6 +116,10 @@ class Encoder:
             sizes = np.fromiter(map(len, coded), dtype=np.int64, count=len(coded))
             self.ids = np.concatenate([self.ids, np.fromiter(chain.from_iterable(coded), dtype=self.width, count=int(sizes.sum()))])
             self.ends = np.concatenate([self.ends, self.ends[-1] + np.cumsum(sizes)])
+            self.held += self._size(fresh, int(sizes.sum()))
+        uses = np.bincount(which, minlength=len(self.known))
+        uses[: len(self.uses)] += self.uses
+        self.uses = uses
         ids, ends = self.ids, self.ends
         counts = ends[which + 1] - ends[which]
         sums = np.concatenate([[0], np.cumsum(counts)])
@@ -191,7 +216,7 @@ def write_sequences(docs: DataFrame, tokenizer_path: str, folder: str | None = N
 
     plain = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     ordered = plain.repartitionByRange("id").sortWithinPartitions("id", F.xxhash64("text"))
-    manifest = stage(ordered.mapInArrow(run, MANIFEST), "manifest")
+    manifest = stage(ordered.mapInArrow(lean(run, "encoders"), MANIFEST), "manifest")
     before = F.sum("n_ids").over(W.partitionBy(F.lit(0)).orderBy("part", "shard").rowsBetween(W.unboundedPreceding, -1))
     return manifest.withColumn("first_id", F.coalesce(before, F.lit(0)))
 
@@ -223,4 +248,4 @@ def read_documents(manifest: DataFrame) -> DataFrame:
 
     shards = manifest.select("ids_file", "docs_file", "first_id")
     spread = max(1, min(manifest.sparkSession.sparkContext.defaultParallelism * 4, manifest.count()))
-    return shards.repartition(spread).mapInArrow(run, "doc_id long, start long, n_tokens long, ids_crc32 long")
+    return shards.repartition(spread).mapInArrow(lean(run), "doc_id long, start long, n_tokens long, ids_crc32 long")

@@ -23,7 +23,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ..sources.staging import stage
-from .common import arrow_map, components, lower_words
+from .common import arrow_map, components, lean, lower_words
 from .repeats import _numbered
 
 SEED = 42
@@ -219,7 +219,7 @@ def links(values: DataFrame, run_limit: int = RUN_LIMIT) -> DataFrame:
     """``a, b``: links that connect exactly those of the distinct ``fp`` which the 3-bit rule connects."""
     keyed = values.select(F.explode(F.array(*_keys("fp"))).alias("key"), "fp")
     sorted_rows = keyed.repartition("key").sortWithinPartitions("key", "fp")
-    found = stage(sorted_rows.mapInArrow(_match(run_limit), "a long, b long"), "simhash-links")
+    found = stage(sorted_rows.mapInArrow(lean(_match(run_limit)), "a long, b long"), "simhash-links")
     plain = found.where("b is not null")
     if found.where("b is null").isEmpty():
         return plain
@@ -338,7 +338,7 @@ def _candidates(texts: DataFrame, similarity: float) -> DataFrame:
     shared = stage(keyed.groupBy("key").agg(F.count("*").alias("n"), F.min("sid").alias("first")).where("n > 1"), "bands")
     few = keyed.join(shared.where(F.col("n") <= PART_ROWS), "key").select("sid", F.col("key").alias("group"))
     met = few.join(texts, "sid").select("group", "sid", "minima").repartition("group").sortWithinPartitions("group")
-    near = met.mapInArrow(_match_similar(similarity - SLACK), "a long, b long")
+    near = met.mapInArrow(lean(_match_similar(similarity - SLACK)), "a long, b long")
     crowd = keyed.join(shared.where(F.col("n") > PART_ROWS), "key").select(F.col("sid").alias("a"), F.col("first").alias("b"))
     return components(near.union(crowd.distinct()))
 
@@ -392,7 +392,7 @@ def similar_links(rows: DataFrame, prints: DataFrame, shingle: int, similarity:
         F.xxhash64("root", "time", F.pmod(F.xxhash64("sid", "time"), F.col("parts"))).alias("group"), "sid", "top", "minima", "shingles")
 
     def compared(groups, label):
-        return stage(groups.repartition("group").sortWithinPartitions("group").mapInArrow(_match_exact(similarity), "a long, b long"), label)
+        return stage(groups.repartition("group").sortWithinPartitions("group").mapInArrow(lean(_match_exact(similarity)), "a long, b long"), label)
 
     found = compared(dealt, "similar")
     found = found.union(compared(_uncompared(members, found), "similar"))

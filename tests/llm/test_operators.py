@@ -1,6 +1,7 @@
 """Every operator on rows with nulls, empty and long texts, repeated rows, clashing columns and no rows, against brute-force versions."""
 
 import collections
+import sys
 import zlib
 
 import numpy as np
@@ -10,8 +11,8 @@ import xxhash
 from pyspark.sql import functions as F
 
 from lodestay.llm import decontaminate, language_id, language_model, mixing, quality, repeats, sequences, simhash, token_counts, vector_index
-from lodestay.llm.common import components, crc_bucket, kept
-from lodestay.llm.queries import tokenizer
+from lodestay.llm.common import arrow_map, components, crc_bucket, kept, lean
+from lodestay.llm.queries import prepared, tokenizer
 
 SCHEMA = "doc_id long, text string, lang string, source string, size long, score double, h long"
 EN = "the quick brown fox jumps over the lazy dog and runs far away from the old house near the river "
@@ -207,6 +208,50 @@ def test_an_encoder_stays_with_its_worker(spark):
     assert sum(found) < len(found) / 2
 
 
+def test_an_encoder_is_bounded_by_bytes(monkeypatch):
+    """Few long pieces weigh as much as many short ones; what is used most stays, and no ids change."""
+    monkeypatch.setattr(sequences, "CACHE", 1 << 16)
+    coder = sequences.Encoder(tokenizer("byte_bpe_50k.json"))
+    for i in range(200):
+        texts = ["often used", f"{i}x" * 400 + f" short{i}"]
+        ids, counts = coder.encode(texts)
+        want = [coder.tokenizer.encode(t, add_special_tokens=False).ids for t in texts]
+        assert [x.tolist() for x in np.split(ids, np.cumsum(counts)[:-1])] == want
+        assert sum(map(sys.getsizeof, coder.known)) <= (1 << 16) + 4096
+    assert " used" in coder.known and "0x" * 400 not in coder.known
+    ids, counts = coder.encode(["y" * 70000])
+    assert ids.tolist() == coder.tokenizer.encode("y" * 70000, add_special_tokens=False).ids
+    assert coder.encode(["often used"])[0].tolist() == coder.tokenizer.encode("often used", add_special_tokens=False).ids
+
+
+def test_a_worker_drops_what_other_operators_kept(spark):
+    def keep(batches):
+        for batch in batches:
+            kept("mine")["large"] = bytes(1 << 20)
+            kept("others")["large"] = bytes(1 << 20)
+            yield pa.RecordBatch.from_pydict({"n": [1]})
+
+    def look(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"mine": [len(kept("mine"))], "others": [len(kept("others"))]})
+
+    spark.range(32).repartition(32).mapInArrow(keep, "n long").collect()
+    found = spark.range(32).repartition(32).mapInArrow(lean(look, "mine"), "mine long, others long").collect()
+    assert sum(r.mine for r in found) and not sum(r.others for r in found)
+    found = spark.range(32).repartition(32).select("id").transform(lambda df: arrow_map(df, lambda b: look([b]), "mine long, others long")).collect()
+    assert not sum(r.mine for r in found)
+
+
+def test_batches_are_bounded_by_bytes(spark):
+    def sizes(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_pydict({"size": [batch.nbytes], "n": [batch.num_rows]})
+
+    texts = prepared(spark).range(12).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).coalesce(1)
+    found = texts.mapInArrow(sizes, "size long, n long").collect()
+    assert sum(r.n for r in found) == 12 and max(r.size for r in found) < 5 << 20
+
+
 def test_mixing(docs, none):
     made = mixing.mix(docs, block_words=4, shard_rows=3).collect()
     assert len(made) == len(ROWS)

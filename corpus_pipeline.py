@@ -12,6 +12,8 @@ from lodestay.sources.staging import stage
 
 #: Documents whose best language gets less than this share of their bytes' probability are rejected.
 LEAST_LANGUAGE = 0.4
+#: Of an Arrow batch; its rows are whole documents, which tasks of all stages hold beside their own work.
+BATCH_BYTES = "2m"
 
 
 def identify_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -55,7 +57,7 @@ def write_ids(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def _stage(function):
-    return lambda spark, docs, sf_dir: function(prepared(spark), docs, sf_dir)
+    return lambda spark, docs, sf_dir: function(prepared(spark, BATCH_BYTES), docs, sf_dir)
 
 
 STAGES = [("language_id", _stage(identify_language)), ("simhash", _stage(drop_near_copies)), ("decontaminate", _stage(drop_leaks)),
@@ -66,7 +68,7 @@ ORACLE_SQL = None
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """The last stage's rows, from all documents."""
-    docs = table(prepared(spark), sf_dir, "documents")
+    docs = table(prepared(spark, BATCH_BYTES), sf_dir, "documents")
     for name, function in STAGES:
         docs = stage(function(spark, docs, sf_dir), f"pipeline-{name}")
     return docs

@@ -16,10 +16,15 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
 
-def prepared(spark: SparkSession) -> SparkSession:
-    """Session settings of the package, and Arrow batches that stay small with long texts."""
+def prepared(spark: SparkSession, batch_bytes: str | None = None) -> SparkSession:
+    """Session settings of the package, and Arrow batches that stay small with long texts; their bytes are those of the application if none are given."""
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
-    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", "2m")
+    most = "spark.sql.execution.arrow.maxBytesPerBatch"
+    batch_bytes = batch_bytes or spark.sparkContext.getConf().get(most)
+    if batch_bytes:
+        spark.conf.set(most, batch_bytes)
+    else:
+        spark.conf.unset(most)
     return tune(spark)
 
 

@@ -33,7 +33,7 @@ BATCH_ROWS = 256
 SHARD_IDS = 1 << 26
 #: Bytes of encoded pieces a worker remembers, and those of one beside its text and ids (number, place in the dictionary, end, uses); beyond, the half
 #: used least goes.
-CACHE, ENTRY = 64 << 20, 112
+CACHE, ENTRY = 80 << 20, 112
 #: New pieces given to the tokenizer at once; its objects are dropped before the next.
 TOGETHER = 32
 # Unicode white space, as the tokenizer's own pattern splits it.

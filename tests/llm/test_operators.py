@@ -10,6 +10,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
+import corpus_pipeline
 from lodestay.llm import decontaminate, language_id, language_model, mixing, quality, repeats, sequences, simhash, token_counts, vector_index
 from lodestay.llm.common import arrow_map, components, crc_bucket, kept, lean
 from lodestay.llm.queries import prepared, tokenizer
@@ -242,14 +243,18 @@ def test_a_worker_drops_what_other_operators_kept(spark):
     assert not sum(r.mine for r in found)
 
 
-def test_batches_are_bounded_by_bytes(spark):
+def test_batches_of_the_pipeline_are_bounded_by_bytes(spark):
     def sizes(batches):
         for batch in batches:
             yield pa.RecordBatch.from_pydict({"size": [batch.nbytes], "n": [batch.num_rows]})
 
-    texts = prepared(spark).range(12).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).coalesce(1)
-    found = texts.mapInArrow(sizes, "size long, n long").collect()
-    assert sum(r.n for r in found) == 12 and max(r.size for r in found) < 5 << 20
+    seen = []
+    stage = corpus_pipeline._stage(lambda spark, docs, _: seen.extend(docs.mapInArrow(sizes, "size long, n long").collect()))
+    stage(spark, spark.range(12).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).coalesce(1), "")
+    assert sum(r.n for r in seen) == 12 and max(r.size for r in seen) < 5 << 20
+    prepared(spark)  # other queries' batches are as before
+    texts = spark.range(12).select(F.repeat(F.lit("x"), 1 << 20).alias("text")).coalesce(1)
+    assert [r.n for r in texts.mapInArrow(sizes, "size long, n long").collect()] == [12]
 
 
 def test_mixing(docs, none):
